@@ -1,0 +1,100 @@
+"""Run queries next to their SQL twins: ``python tests/compare.py [scale] [name ...]``."""
+
+from __future__ import annotations
+
+import sys
+import time
+from pathlib import Path
+
+import duckdb
+import pandas as pd
+
+ROOT = Path(__file__).resolve().parent.parent
+sys.path.insert(0, str(ROOT))
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
+    return con
+
+
+def canonical(rows: list[tuple], columns: list[str]) -> list[tuple]:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+
+    def cell(v):
+        if v is None or (isinstance(v, float) and v != v):
+            return ""
+        if isinstance(v, bool):
+            return str(v)
+        if isinstance(v, (int, float)):
+            return f"{float(v) + 0.0:.6f}"
+        if isinstance(v, pd.Timestamp):
+            return str(v.date())
+        return str(v)
+
+    return sorted(tuple(cell(r[i]) for i in order) for r in rows)
+
+
+def spark_rows(df):
+    return canonical([tuple(r) for r in df.collect()], df.columns)
+
+
+def sql_rows(con, sql: str):
+    cur = con.execute(sql)
+    return canonical(cur.fetchall(), [d[0] for d in cur.description])
+
+
+def difference(got: list[tuple], want: list[tuple]) -> str | None:
+    if got == want:
+        return None
+    if len(got) != len(want):
+        return f"{len(got)} rows, expected {len(want)}"
+    bad = [(g, w) for g, w in zip(got, want) if g != w]
+    return f"{len(bad)} of {len(got)} rows differ, first {bad[0]}"
+
+
+def main(argv: list[str]) -> int:
+    import __spark_entry__ as entry
+    from pyspark.sql import SparkSession
+
+    spark = (
+        SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
+        .config("spark.driver.memory", "8g").config("spark.ui.enabled", "false")
+        .config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    sf_dir = f"/root/testdata/sf{argv[0] if argv else '0.01'}"
+    con = connect(sf_dir)
+    queries, sqls = entry.queries(), entry.oracle_sql()
+    failed = 0
+    for name in argv[1:] or queries:
+        start = time.time()
+        try:
+            df = queries[name](spark, sf_dir)
+            got = spark_rows(df)
+            took = time.time() - start
+            if name not in sqls:
+                print(f"{name:28s} rows only: {len(got)} {took:.1f}s", flush=True)
+                continue
+            start = time.time()
+            problem = difference(got, sql_rows(con, sqls[name]))
+            names = {d[0] for d in con.description}
+            if names != set(df.columns):
+                problem = f"columns {names ^ set(df.columns)}"
+            failed += problem is not None
+            print(f"{name:28s} {problem or 'ok'} rows={len(got)} {took:.1f}s sql {time.time() - start:.1f}s", flush=True)
+        except Exception as e:  # noqa: BLE001
+            failed += 1
+            print(f"{name:28s} ERROR {type(e).__name__} {str(e)[:600]}", flush=True)
+    spark.stop()
+    return failed
+
+
+if __name__ == "__main__":
+    sys.exit(main(sys.argv[1:]))
