@@ -23,10 +23,10 @@ SITE = ("site",)
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    return df.select(
+    return df.selectExpr(
         *[
-            F.round(F.col(f"`{f.name}`"), 6).alias(f.name)
-            if isinstance(f.dataType, T.DoubleType) else F.col(f"`{f.name}`")
+            f"round(`{f.name}`, 6) AS `{f.name}`"
+            if isinstance(f.dataType, T.DoubleType) else f"`{f.name}`"
             for f in df.schema.fields
         ]
     )
@@ -153,8 +153,7 @@ def training_table(spark, d):
 
 def incomplete_dates(spark, d):
     return training.incomplete_dates(
-        lab_features_wide(spark, d), census_counts(spark, d).select("date").distinct(),
-        usage(spark, d),
+        adapters.lab_lines(spark, d), census_counts(spark, d), usage(spark, d)
     )
 
 

@@ -70,8 +70,8 @@ def report_name(file_name: Column) -> Column:
 
 def weekday_one_hot(df: DataFrame, date: str = "date") -> DataFrame:
     """Seven 0/1 columns Mon..Sun, independent of locale."""
-    return df.withColumns(
-        {d: (F.weekday(date) == k).cast("int") for k, d in enumerate(WEEKDAYS)}
+    return df.selectExpr(
+        "*", *[f"CAST(weekday(`{date}`) = {k} AS INT) AS {d}" for k, d in enumerate(WEEKDAYS)]
     )
 
 

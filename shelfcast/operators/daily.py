@@ -39,7 +39,7 @@ def census_wide(counts: DataFrame, wards: Sequence[str], keys: Keys = ()) -> Dat
 
 def census_long(wide: DataFrame, wards: Sequence[str], keys: Keys = ()) -> DataFrame:
     """Wide census back to (date, ward, n)."""
-    return wide.unpivot([*keys, "date"], [F.col(f"`{w}`") for w in wards], "ward", "n")
+    return wide.unpivot([*keys, "date"], [f"`{w}`" for w in wards], "ward", "n")
 
 
 def missing_wards(counts: DataFrame, wards: Sequence[str]) -> DataFrame:

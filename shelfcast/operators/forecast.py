@@ -1,22 +1,22 @@
 """Three-day usage forecast: one small ridge regression per key and retrain date.
 
-All models of a backfill are fitted at once. A training row is sent to each retrain whose window
-holds it, so a group is one window (``history`` rows) and never grows with the data. Scoring is
-plain column arithmetic on the joined coefficients.
+All models of a backfill are fitted at once. A row is sent to each retrain whose training window
+holds it and to the one model that scores it, so a group is one window (``history`` rows) plus
+the rows up to the next retrain, and never grows with the data.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfcast.operators.moving import forward_sum
+from shelfcast.operators.partitioning import spread
 from shelfcast.operators.training import RESPONSE, predictors, smoothed_columns
 
 Keys = Sequence[str]
@@ -27,98 +27,81 @@ def three_day_target(usage: DataFrame, keys: Keys = (), column: str = "used") ->
     return usage.withColumn("y3", forward_sum(column, 3, keys))
 
 
-def _ridge(window: pd.DataFrame, names: list[str], smoothed: list[str], lag: int, penalty: float):
-    """Intercept and coefficients in the predictors' own units, with the scaler used."""
-    x = window[names].astype(float).copy()
-    x.loc[x.index[:lag], smoothed] = np.nan
-    center, scale = x.mean(), x.std(ddof=1)
-    usable = scale.index[(scale > 0)]
-    z = (x[usable] - center[usable]) / scale[usable]
-    fit = z.notna().all(axis=1) & window["y3"].notna()
-    z, y = z[fit].to_numpy(), window.loc[fit, "y3"].to_numpy(dtype=float)
-    coef = dict.fromkeys(names, 0.0)
-    if not len(y):
-        return np.nan, coef, center, scale
+def _window_rows(x: np.ndarray, smoothed: np.ndarray, lag: int) -> np.ndarray:
+    """A cut restarts its trailing means: their first ``lag`` rows have no value."""
+    x = x.copy()
+    x[:lag, smoothed] = np.nan
+    return x
+
+
+def _fit_ridge(x: np.ndarray, y: np.ndarray, penalty: float) -> tuple[float, np.ndarray]:
+    """Intercept and coefficients in the predictors' own units, fitted on standardised columns."""
+    coef = np.zeros(x.shape[1])
+    known = ~np.isnan(x)
+    counts = np.maximum(known.sum(axis=0), 1)
+    center = np.where(known, x, 0).sum(axis=0) / counts
+    scale = np.sqrt(
+        np.where(known, (x - center) ** 2, 0).sum(axis=0) / np.maximum(counts - 1, 1)
+    )
+    use = scale > 0
+    z = (x[:, use] - center[use]) / scale[use]
+    rows = ~np.isnan(z).any(axis=1) & ~np.isnan(y)
+    if not rows.any():
+        return float("nan"), coef
+    z, y = z[rows], y[rows]
     mean_z, mean_y = z.mean(axis=0), y.mean()
     gram = (z - mean_z).T @ (z - mean_z) + penalty * np.eye(z.shape[1])
     beta = np.linalg.solve(gram, (z - mean_z).T @ (y - mean_y))
-    coef.update(zip(usable, beta / scale[usable].to_numpy()))
-    intercept = mean_y - mean_z @ beta - sum(coef[c] * center[c] for c in usable)
-    return float(intercept), coef, center, scale
+    coef[use] = beta / scale[use]
+    return float(mean_y - mean_z @ beta - coef[use] @ center[use]), coef
 
 
-def fit_models(
-    table: DataFrame,
-    retrained: DataFrame,
-    keys: Keys = (),
-    history: int = 200,
-    smoothing: int = 7,
-    penalty: float = 15.0,
-) -> DataFrame:
-    """Models of all retrain dates: (keys, model_date, intercept, coef map, center map, scale map).
-
-    ``retrained`` has (date, retrain) per key. The window is the ``history`` rows before the
-    retrain date; its last two rows have no complete three-day target yet and do not take part.
-    """
-    by = [*keys, "date"]
-    names = predictors(table, keys)
-    smoothed = smoothed_columns(names)
-    ordered = Window.partitionBy(*keys).orderBy("date")
-    rows = (
-        three_day_target(table, keys, RESPONSE)
-        .withColumn("row", F.row_number().over(ordered))
-        .join(retrained.select(*by, "retrain"), by, "left")
-    )
-    starts = rows.filter(F.col("retrain") & (F.col("row") > history)).groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct(F.col("row").alias("row"), F.col("date").alias("date"))))
-        .alias("starts")
-    )
-    rows = rows.drop("date", "retrain", RESPONSE)
-    joined = rows.join(starts, list(keys)) if keys else rows.crossJoin(F.broadcast(starts))
-    member = F.filter(
-        "starts", lambda m: (m["row"] > F.col("row")) & (m["row"] <= F.col("row") + history)
-    )
-    windows = joined.select(
-        *keys, "row", *[F.col(f"`{c}`").cast("double").alias(c) for c in names],
-        F.col("y3").cast("double").alias("y3"), F.explode(member).alias("m"),
-    ).select(
-        *keys, F.col("m.date").alias("model_date"), "row",
-        *[F.col(f"`{c}`") for c in names],
-        F.when(F.col("row") <= F.col("m.row") - 3, F.col("y3")).alias("y3"),
+def _packed(table: DataFrame, names: Sequence[str], keys: Keys) -> DataFrame:
+    """Predictors in one array column, with row number and target."""
+    by = "PARTITION BY " + ", ".join(f"`{k}`" for k in keys) if keys else ""
+    values = ", ".join(f"CAST(`{c}` AS DOUBLE)" for c in names)
+    return three_day_target(table, keys, RESPONSE).selectExpr(
+        *[f"`{k}`" for k in keys], "date", "CAST(y3 AS DOUBLE) AS y3", f"array({values}) AS x",
+        f"row_number() OVER ({by} ORDER BY date) AS row",
     )
 
-    number_map = T.MapType(T.StringType(), T.DoubleType())
+
+def fit_model(
+    window: DataFrame, keys: Keys = (), smoothing: int = 7, penalty: float = 15.0
+) -> DataFrame:
+    """Model of one training window per key: (keys, predictors, intercept, coef)."""
+    names = predictors(window, keys)
+    smoothed = np.isin(names, smoothed_columns(names))
+    packed = _packed(window, names, keys)
     schema = T.StructType(
         [
-            *[windows.schema[k] for k in keys],
-            T.StructField("model_date", T.DateType()),
+            *[packed.schema[k] for k in keys],
+            T.StructField("predictors", T.ArrayType(T.StringType())),
             T.StructField("intercept", T.DoubleType()),
-            *[T.StructField(c, number_map) for c in ("coef", "center", "scale")],
+            T.StructField("coef", T.ArrayType(T.DoubleType())),
         ]
     )
-    heads = [*keys, "model_date"]
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("row").reset_index(drop=True)
-        intercept, coef, center, scale = _ridge(pdf, names, smoothed, smoothing - 1, penalty)
-        out = pdf.loc[:0, heads].copy()
-        out["intercept"] = intercept
-        for name, values in (("coef", coef), ("center", center), ("scale", scale)):
-            out[name] = [{k: (None if v != v else float(v)) for k, v in dict(values).items()}]
-        return out
+        pdf = pdf.sort_values("row")
+        x = _window_rows(np.stack(pdf["x"].to_numpy()), smoothed, smoothing - 1)
+        intercept, coef = _fit_ridge(x, pdf["y3"].to_numpy(dtype=float), penalty)
+        out = pdf[list(keys)].head(1).copy()
+        return out.assign(predictors=[list(names)], intercept=intercept, coef=[coef.tolist()])
 
-    return windows.groupBy(*heads).applyInPandas(fit, schema)
+    return spread(packed, keys).groupBy(*keys).applyInPandas(fit, schema)
 
 
-def score(table: DataFrame, models: DataFrame, keys: Keys = ()) -> DataFrame:
-    """(date, t_pred) of rows that carry the ``model_date`` in force."""
-    names = predictors(table.drop("model_date"), keys)
-    joined = table.join(models, [*keys, "model_date"])
-    terms = [
-        F.col(f"`{c}`").cast("double") * F.coalesce(F.col("coef")[c], F.lit(0.0)) for c in names
-    ]
-    total = reduce(lambda a, b: a + b, terms, F.col("intercept"))
-    return joined.select(*keys, "date", "model_date", total.alias("t_pred"))
+def score(table: DataFrame, model: DataFrame, keys: Keys = ()) -> DataFrame:
+    """(date, t_pred) by plain column arithmetic; the model is one row per key."""
+    names = predictors(table, keys)
+    coef = F.map_from_arrays("predictors", "coef")
+    model = model.select(*keys, "intercept", coef.alias("_coef"))
+    joined = table.join(model, list(keys)) if keys else table.crossJoin(F.broadcast(model))
+    terms = [f"CAST(`{c}` AS DOUBLE) * _coef['{c}']" for c in names]
+    return joined.selectExpr(
+        *[f"`{k}`" for k in keys], "date", " + ".join(["intercept", *terms]) + " AS t_pred"
+    )
 
 
 def rolling_forecast(
@@ -129,13 +112,56 @@ def rolling_forecast(
     smoothing: int = 7,
     penalty: float = 15.0,
 ) -> DataFrame:
-    """Forecast of every date from the first retrain with a full window on."""
-    models = fit_models(table, retrained, keys, history, smoothing, penalty)
-    ordered = Window.partitionBy(*keys).orderBy("date")
-    latest = ordered.rowsBetween(Window.unboundedPreceding, 0)
-    rows = table.join(retrained.select(*keys, "date", "retrain"), [*keys, "date"], "left")
-    usable = F.col("retrain") & (F.row_number().over(ordered) > history)
-    rows = rows.withColumn("_own", F.when(usable, F.col("date"))).withColumn(
-        "model_date", F.last("_own", ignorenulls=True).over(latest)
+    """(date, model_date, t_pred) of every date from the first retrain with a full window on.
+
+    ``retrained`` has (date, retrain) per key. A model trains on the ``history`` rows before its
+    retrain date, as far as their three-day target is known by then, and scores the rows from that
+    date up to the next retrain. One pass over the table: windows tell each row its models.
+    """
+    names = predictors(table, keys)
+    smoothed = np.isin(names, smoothed_columns(names))
+    by = [*keys, "date"]
+    part = "PARTITION BY " + ", ".join(f"`{k}`" for k in keys) if keys else ""
+    rows = (
+        _packed(table, names, keys)
+        .join(retrained.select(*by, "retrain"), by, "left")
+        .withColumn(
+            "own",
+            F.expr(
+                f"CASE WHEN retrain AND row > {history} "
+                "THEN named_struct('row', row, 'date', date) END"
+            ),
+        )
+    )
+    uses = rows.selectExpr(
+        "*",
+        f"""collect_list(own) OVER ({part} ORDER BY date
+            ROWS BETWEEN 1 FOLLOWING AND {history} FOLLOWING) AS trains""",
+        f"""last(own, true) OVER ({part} ORDER BY date
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS scores""",
+    ).selectExpr(
+        *[f"`{k}`" for k in keys], "date", "row", "x", "y3",
+        """explode(concat(transform(trains, m -> named_struct('m', m, 'train', true)),
+            filter(array(named_struct('m', scores, 'train', false)), u -> u.m IS NOT NULL))) AS u""",
+    ).selectExpr(
+        *[f"`{k}`" for k in keys], "u.m.date AS model_date", "u.train", "date", "row", "x",
+        "CASE WHEN u.train AND row <= u.m.row - 3 THEN y3 END AS y3",
     )
-    return score(rows.drop("retrain", "_own"), models, keys)
+    heads = [*keys, "model_date"]
+    schema = T.StructType(
+        [
+            *[uses.schema[k] for k in heads],
+            T.StructField("date", T.DateType()),
+            T.StructField("t_pred", T.DoubleType()),
+        ]
+    )
+
+    def fit_and_score(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("row")
+        x, train = np.stack(pdf["x"].to_numpy()), pdf["train"].to_numpy(dtype=bool)
+        window = _window_rows(x[train], smoothed, smoothing - 1)
+        intercept, coef = _fit_ridge(window, pdf["y3"].to_numpy(dtype=float)[train], penalty)
+        out = pdf.loc[~train, [*heads, "date"]]
+        return out.assign(t_pred=intercept + x[~train] @ coef)
+
+    return spread(uses, heads).groupBy(*heads).applyInPandas(fit_and_score, schema)

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfcast.operators.partitioning import spread
 from shelfcast.settings import Params
 
 Keys = Sequence[str]
@@ -139,7 +140,7 @@ def order_ledger(
     schema = T.StructType(
         [*days.schema.fields, *[T.StructField(c, T.DoubleType()) for c in LEDGER_COLUMNS]]
     )
-    ledger = days.groupBy(*keys).applyInPandas(lambda pdf: fold(pdf), schema)
+    ledger = spread(days, keys).groupBy(*keys).applyInPandas(lambda pdf: fold(pdf), schema)
     head = [*keys, "date", "plt_used", "t_pred"]
     alert = (F.col("r1") + F.col("r2")) <= F.lit(float(fold.min_inventory))
     return ledger.select(*head, alert.alias("alert"), *LEDGER_COLUMNS)

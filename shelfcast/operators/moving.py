@@ -7,7 +7,7 @@ window, hence one shuffle and one sort.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,9 +48,12 @@ def smooth(
 ) -> DataFrame:
     """Replace feature columns by their trailing mean."""
     columns = columns or [c for c in features.columns if c not in (*keys, "date")]
-    smoothed: Mapping[str, Column] = {
-        c: moving_mean(F.col(f"`{c}`"), size, keys).alias(c) for c in columns
-    }
-    return features.select(
-        *[smoothed[c] if c in smoothed else F.col(f"`{c}`") for c in features.columns]
+    by = "PARTITION BY " + ", ".join(f"`{k}`" for k in keys) if keys else ""
+    frame = f"OVER ({by} ORDER BY date ROWS BETWEEN {size - 1} PRECEDING AND CURRENT ROW)"
+    return features.selectExpr(
+        *[
+            f"CASE WHEN count(`{c}`) {frame} = {size} THEN avg(`{c}`) {frame} END AS `{c}`"
+            if c in columns else f"`{c}`"
+            for c in features.columns
+        ]
     )

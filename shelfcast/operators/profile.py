@@ -10,23 +10,18 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS_PER_E = 256  # a bucket spans 0.4 % of its values
 _SHIFT = 200_000  # above BUCKETS_PER_E * |ln v| of every double
 
-
-def ordered_bucket(v: Column) -> Column:
-    """Integer that never decreases as ``v`` grows; NULL for NULL."""
-    size = (F.floor(F.log(F.abs(v)) * BUCKETS_PER_E) + _SHIFT).cast("int")
-    return F.when(v > 0, size).when(v < 0, -size).when(v == 0, 0)
-
-
-def _centre(bucket: Column) -> Column:
-    """A value inside the bucket (up to rounding)."""
-    size = F.exp((F.abs(bucket) - _SHIFT) / BUCKETS_PER_E)
-    return F.when(bucket > 0, size).when(bucket < 0, -size).otherwise(0.0)
+# Integer that never decreases as the value grows; NULL for NULL.
+_BUCKET = f"""CAST(CASE WHEN value > 0 THEN floor(ln(value) * {BUCKETS_PER_E}) + {_SHIFT}
+    WHEN value < 0 THEN -(floor(ln(-value) * {BUCKETS_PER_E}) + {_SHIFT})
+    WHEN value = 0 THEN 0 END AS INT)"""
+# A value inside the bucket, up to rounding.
+_CENTRE = f"(sign(bucket) * exp((abs(bucket) - {_SHIFT}) / {BUCKETS_PER_E}))"
 
 
 def value_counts(
@@ -58,123 +53,115 @@ def profile(
     if not keys:
         raise ValueError("profile needs at least one key column")
     tallies = dict(tallies or {})
-    counts = counts.withColumn("bucket", ordered_bucket(F.col("value")))
+    counts = counts.withColumn("bucket", F.expr(_BUCKET))
     stats = _group_stats(_bucket_totals(counts, keys, tallies), keys, tallies)
-    stat_names = ["n", "n_missing", "min", "max", "mean", "sd", *tallies]
+    names = ["n", "n_missing", "min", "max", "mean", "sd", *tallies]
+    firsts = [F.expr(f"first(`{c}`) AS `{c}`") for c in names]
     if not probs:
-        return stats.groupBy(*keys).agg(*[F.first(c).alias(c) for c in stat_names])
-
-    position = [(F.col("n") - 1) * p for p in probs]
-    low = [F.floor(x) for x in position]
-    high = [F.least(x + 1, F.col("n") - 1) for x in low]
-
-    def holds(rank: Column, start: Column, end: Column) -> Column:
-        return (start <= rank) & (rank < end)
-
-    wanted = F.col("n") == 0
-    for rank in [*low, *high]:
-        wanted = wanted | holds(rank, F.col("before"), F.col("before") + F.col("bucket_n"))
-    buckets = stats.filter(wanted).select(
-        *keys, "bucket", "before", F.struct(*stat_names).alias("stats")
-    )
+        return stats.groupBy(*keys).agg(*firsts)
 
-    inner = counts.alias("c").join(
-        buckets.alias("b"),
-        [F.col(f"c.{k}").eqNullSafe(F.col(f"b.{k}")) for k in [*keys, "bucket"]],
-    )
-    ranked = inner.select(
-        *[f"c.{k}" for k in keys], "c.bucket", "c.value", F.col("c.n").alias("value_n"),
-        "b.before", "b.stats",
+    low = [f"floor((n - 1) * {p!r}D)" for p in probs]
+    high = [f"least({x} + 1, n - 1)" for x in low]
+    wanted = " OR ".join(
+        f"(before <= {rank} AND {rank} < before + bucket_n)" for rank in [*low, *high]
     )
-    within = (
-        Window.partitionBy(*keys, "bucket")
-        .orderBy("value")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    ranked = ranked.withColumn(
-        "start", F.col("before") + F.coalesce(F.sum("value_n").over(within), F.lit(0))
-    ).select(*keys, "value", "start", (F.col("start") + F.col("value_n")).alias("end"), "stats",
-             "stats.n")
+    buckets = stats.filter(f"n = 0 OR {wanted}").drop("bucket_n")
+    ranked = _rank_within_buckets(counts, buckets, keys)
 
-    def at(rank: Column, out: str) -> Column:
-        return F.max(F.when(holds(rank, F.col("start"), F.col("end")), F.col(out)))
+    def at(rank: str, out: str, name: str) -> Column:
+        return F.expr(f"max(CASE WHEN start <= {rank} AND {rank} < end THEN {out} END) AS {name}")
 
     picked = ranked.groupBy(*keys).agg(
-        F.first("stats").alias("stats"),
-        *[
-            F.struct(
-                at(low[i], "value").alias("lo"),
-                at(high[i], "value").alias("hi"),
-                at(low[i], "start").alias("under_lo"),
-                at(low[i], "end").alias("upto_lo"),
-                F.max(position[i] - low[i]).alias("part"),
-            ).alias(f"p{i}")
-            for i in range(len(probs))
-        ],
-    )
-    out = picked.select(
-        *keys,
-        "stats.*",
+        *firsts,
         *[
-            F.expr(f"p{i}.lo + p{i}.part * (p{i}.hi - p{i}.lo)").alias(f"q{i}")
+            column
             for i in range(len(probs))
+            for column in (
+                at(low[i], "value", f"lo{i}"),
+                at(high[i], "value", f"hi{i}"),
+                at(low[i], "start", f"under{i}"),
+                at(low[i], "end", f"upto{i}"),
+            )
         ],
-        *[f"p{i}" for i in range(len(probs))],
     )
-    return out.select(
-        *keys,
-        *stat_names,
-        *[f"q{i}" for i in range(len(probs))],
-        *[
-            F.when(F.col(f"q{i}") > F.col(f"p{i}.lo"), F.col(f"p{i}.upto_lo"))
-            .otherwise(F.col(f"p{i}.under_lo"))
-            .alias(f"below_q{i}")
-            for i in range(len(probs))
-        ],
+    parts = range(len(probs))
+    quantiles = [
+        f"lo{i} + ((n - 1) * {probs[i]!r}D - {low[i]}) * (hi{i} - lo{i}) AS q{i}" for i in parts
+    ]
+    below = [f"CASE WHEN q{i} > lo{i} THEN upto{i} ELSE under{i} END AS below_q{i}" for i in parts]
+    return picked.selectExpr("*", *quantiles).selectExpr(
+        *_names(keys), *_names(names), *[f"q{i}" for i in parts], *below
     )
 
 
+def _names(columns: Sequence[str]) -> list[str]:
+    return [f"`{c}`" for c in columns]
+
+
 def _bucket_totals(counts: DataFrame, keys: Sequence[str], tallies: Mapping[str, Column]):
     """Per bucket: count, extremes, and moments about the bucket's own centre."""
-    v, n = F.col("value"), F.col("n")
-    off = v - _centre(F.col("bucket"))
     return (
         counts.groupBy(*keys, "bucket")
         .agg(
-            F.sum("n").alias("bucket_n"),
-            F.min("value").alias("bucket_min"),
-            F.max("value").alias("bucket_max"),
-            F.sum(off * n).alias("s1"),
-            F.sum(off * off * n).alias("s2"),
-            *[F.sum(F.when(cond, n).otherwise(0)).alias(name) for name, cond in tallies.items()],
+            F.expr("sum(n) AS bucket_n"),
+            F.expr("min(value) AS bucket_min"),
+            F.expr("max(value) AS bucket_max"),
+            F.expr(f"sum((value - {_CENTRE}) * n) AS s1"),
+            F.expr(f"sum((value - {_CENTRE}) * (value - {_CENTRE}) * n) AS s2"),
+            *[F.sum(F.when(cond, F.col("n")).otherwise(0)).alias(c) for c, cond in tallies.items()],
         )
-        .withColumn("bucket_mean", _centre(F.col("bucket")) + F.col("s1") / F.col("bucket_n"))
-        .withColumn(
-            "bucket_m2",
-            F.greatest(F.col("s2") - F.col("s1") * F.col("s1") / F.col("bucket_n"), F.lit(0.0)),
+        .selectExpr(
+            *_names(keys), "bucket", "bucket_n", "bucket_min", "bucket_max", *_names(tallies),
+            "CASE WHEN bucket IS NULL THEN 0 ELSE bucket_n END AS known",
+            f"{_CENTRE} + s1 / bucket_n AS bucket_mean",
+            "greatest(s2 - s1 * s1 / bucket_n, 0D) AS bucket_m2",
         )
     )
 
 
 def _group_stats(hist: DataFrame, keys: Sequence[str], tallies: Mapping[str, Column]) -> DataFrame:
     """Bucket rows with their group's statistics and the number of values in earlier buckets."""
-    group = Window.partitionBy(*keys)
-    earlier = group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    known = F.when(F.col("bucket").isNotNull(), F.col("bucket_n")).otherwise(0)
-    hist = hist.select(
-        "*",
-        F.sum(known).over(group).alias("n"),
-        F.sum(F.col("bucket_n") - known).over(group).alias("n_missing"),
-        F.min("bucket_min").over(group).alias("min"),
-        F.max("bucket_max").over(group).alias("max"),
-        (F.sum(F.when(known > 0, F.col("bucket_mean") * known)).over(group)
-         / F.nullif(F.sum(known).over(group), F.lit(0))).alias("mean"),
-        F.coalesce(F.sum(known).over(earlier), F.lit(0)).alias("before"),
+    by = ", ".join(_names(keys))
+    ordered = f"PARTITION BY {by} ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING"
+    group = f"OVER ({ordered} AND UNBOUNDED FOLLOWING)"  # one sort serves both frames
+    earlier = f"OVER ({ordered} AND 1 PRECEDING)"
+    hist = hist.selectExpr(
+        *_names(keys), "bucket", "bucket_n", "known", "bucket_mean", "bucket_m2",
+        f"sum(known) {group} AS n",
+        f"sum(bucket_n - known) {group} AS n_missing",
+        f"min(bucket_min) {group} AS min",
+        f"max(bucket_max) {group} AS max",
+        f"sum(bucket_mean * known) {group} / nullif(sum(known) {group}, 0) AS mean",
+        f"coalesce(sum(known) {earlier}, 0) AS before",
+        *[f"sum(`{c}`) {group} AS `{c}`" for c in tallies],
+    )
+    m2 = f"sum(bucket_m2 + known * (bucket_mean - mean) * (bucket_mean - mean)) {group}"
+    return hist.selectExpr(
+        *_names(keys), "bucket", "bucket_n", "before", "n", "n_missing", "min", "max", "mean",
+        f"CASE WHEN n > 1 THEN sqrt({m2} / (n - 1)) END AS sd",
+        *_names(tallies),
+    )
+
+
+def _rank_within_buckets(counts: DataFrame, buckets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of the given buckets with the ranks [start, end) their value takes in the group.
+
+    Keys are compared null-safe: a NULL key is a group like any other, and no filter gets in
+    between that would keep both readers of ``counts`` from sharing its shuffle.
+    """
+    rows = counts.withColumnRenamed("n", "value_n").alias("c").join(
+        buckets.alias("b"),
+        [F.col(f"c.`{k}`").eqNullSafe(F.col(f"b.`{k}`")) for k in [*keys, "bucket"]],
     )
-    gap = F.col("bucket_mean") - F.col("mean")
-    m2 = F.sum(F.when(known > 0, F.col("bucket_m2") + known * gap * gap)).over(group)
-    return hist.select(
-        *keys, "bucket", "bucket_n", "before", "n", "n_missing", "min", "max", "mean",
-        F.when(F.col("n") > 1, F.sqrt(m2 / (F.col("n") - 1))).alias("sd"),
-        *[F.sum(name).over(group).alias(name) for name in tallies],
+    mine = [f"c.`{k}`" for k in keys]
+    theirs = [f"b.`{c}`" for c in buckets.columns if c not in (*keys, "bucket")]
+    by = ", ".join([*_names(keys), "bucket"])
+    return (
+        rows.selectExpr(*mine, "c.bucket", "c.value", "c.value_n", *theirs)
+        .selectExpr(
+            "*",
+            f"""before + coalesce(sum(value_n) OVER (PARTITION BY {by} ORDER BY value
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start""",
+        )
+        .withColumn("end", F.expr("start + value_n"))
     )

@@ -15,8 +15,8 @@ Keys = Sequence[str]
 RESPONSE = "plt_used"
 
 
-def _quoted(names: Sequence[str]) -> list:
-    return [F.col(f"`{c}`") for c in names]
+def _quoted(names: Sequence[str]) -> list[str]:
+    return [f"`{c}`" for c in names]
 
 
 def training_table(
@@ -34,7 +34,7 @@ def training_table(
         "seven_lag", moving_mean(RESPONSE, smoothing, keys)
     )
     joined = used.join(smooth(features, smoothing, keys), by).join(census, by)
-    return weekday_one_hot(joined).select(
+    return weekday_one_hot(joined).selectExpr(
         *_quoted([*by, *WEEKDAYS, "seven_lag", *labs, *wards, RESPONSE])
     )
 
@@ -42,13 +42,18 @@ def training_table(
 def incomplete_dates(
     features: DataFrame, census: DataFrame, usage: DataFrame, keys: Keys = ()
 ) -> DataFrame:
-    """Usage dates without lab features or census, with the feed that lacks them."""
+    """Usage dates without lab features or census, with the feed that lacks them.
+
+    Both feeds may come as raw rows: only their distinct dates take part.
+    """
     by = [*keys, "date"]
     dates = usage.select(*by)
     return reduce(
         DataFrame.unionByName,
         [
-            dates.join(feed.select(*by), by, "left_anti").withColumn("missing_feed", F.lit(name))
+            dates.join(feed.select(*by).distinct(), by, "left_anti").withColumn(
+                "missing_feed", F.lit(name)
+            )
             for name, feed in (("labs", features), ("census", census))
         ],
     )
@@ -71,23 +76,20 @@ def fit_scaler(table: DataFrame, keys: Keys = ()) -> DataFrame:
     names = predictors(table, keys)
     wide = table.groupBy(*keys).agg(
         *[
-            F.struct(
-                F.avg(c).alias("center"), F.stddev_samp(c).alias("scale")
-            ).alias(f"_{i}")
-            for i, c in enumerate(_quoted(names))
-        ]
-    )
-    pairs = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("predictor"),
-                F.col(f"_{i}.center").alias("center"),
-                F.col(f"_{i}.scale").alias("scale"),
-            )
+            F.expr(f"{fn}(`{c}`) AS {out}{i}")
             for i, c in enumerate(names)
+            for fn, out in (("avg", "c"), ("stddev_samp", "s"))
         ]
     )
-    return wide.select(*keys, F.inline(pairs))
+    rows = ", ".join(f"{_text(c)}, c{i}, s{i}" for i, c in enumerate(names))
+    return wide.selectExpr(
+        *_quoted(keys), f"stack({len(names)}, {rows}) AS (predictor, center, scale)"
+    )
+
+
+def _text(name: str) -> str:
+    """SQL string literal."""
+    return "'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def apply_scaler(
@@ -102,25 +104,22 @@ def apply_scaler(
     A zero or missing scale gives NULL. The scaler becomes one row of two maps per key; without
     keys that single row is broadcast, with keys it is an ordinary join.
     """
-    names = predictors(table, keys)
     params = scaler.groupBy(*keys).agg(
         F.map_from_entries(F.collect_list(F.struct("predictor", "center"))).alias("_center"),
         F.map_from_entries(F.collect_list(F.struct("predictor", "scale"))).alias("_scale"),
     )
     joined = table.join(params, list(keys)) if keys else table.crossJoin(F.broadcast(params))
 
-    def scaled(c: str):
-        v = F.col(f"`{c}`").cast("double")
+    def scaled(c: str) -> str:
+        v = f"CAST(`{c}` AS DOUBLE)"
         if center:
-            v = v - F.col("_center")[c]
+            v = f"({v} - _center[{_text(c)}])"
         if scale:
-            v = F.try_divide(v, F.col("_scale")[c])
-        return v.alias(c)
+            v = f"try_divide({v}, _scale[{_text(c)}])"
+        return f"{v} AS `{c}`"
 
     kept = {*keys, "date", RESPONSE}
-    return joined.select(
-        *[F.col(f"`{c}`") if c in kept else scaled(c) for c in table.columns]
-    )
+    return joined.selectExpr(*[f"`{c}`" if c in kept else scaled(c) for c in table.columns])
 
 
 def rolling_scaler(
@@ -138,23 +137,26 @@ def rolling_scaler(
     """
     names = list(columns or predictors(table, keys))
     smoothed = set(smoothed_columns(names))
-    ordered = Window.partitionBy(*keys).orderBy("date")
-    long_frame = ordered.rowsBetween(-history, -1)
-    short_frame = ordered.rowsBetween(-(history - smoothing + 1), -1)
-    enough = F.row_number().over(ordered) > history
-    pairs = []
-    for name in names:
-        frame = short_frame if name in smoothed else long_frame
-        c = F.col(f"`{name}`")
-        pairs.append(
-            F.struct(
-                F.lit(name).alias("predictor"),
-                F.when(enough, F.avg(c).over(frame)).alias("center"),
-                F.when(enough, F.stddev_samp(c).over(frame)).alias("scale"),
-            )
-        )
-    return table.select(*keys, "date", F.array(*pairs).alias("_pairs")).select(
-        *keys, "date", F.inline("_pairs")
+    by = "PARTITION BY " + ", ".join(_quoted(keys)) if keys else ""
+
+    def over(rows_back: int) -> str:
+        return f"OVER ({by} ORDER BY date ROWS BETWEEN {rows_back} PRECEDING AND 1 PRECEDING)"
+
+    frames = {c: over(history - smoothing + 1 if c in smoothed else history) for c in names}
+    wide = table.selectExpr(
+        *_quoted([*keys, "date"]),
+        f"row_number() OVER ({by} ORDER BY date) > {history} AS _enough",
+        *[f"avg(`{c}`) {frames[c]} AS c{i}" for i, c in enumerate(names)],
+        *[f"stddev_samp(`{c}`) {frames[c]} AS s{i}" for i, c in enumerate(names)],
+    )
+    rows = ", ".join(f"{_text(c)}, c{i}, s{i}" for i, c in enumerate(names))
+    long = wide.selectExpr(
+        *_quoted([*keys, "date"]), "_enough",
+        f"stack({len(names)}, {rows}) AS (predictor, center, scale)",
+    )
+    return long.selectExpr(
+        *_quoted([*keys, "date"]), "predictor",
+        "CASE WHEN _enough THEN center END AS center", "CASE WHEN _enough THEN scale END AS scale",
     )
 
 
