@@ -91,9 +91,9 @@ def lab_summary(spark, d):
 
 
 def lab_summary_latest_day(spark, d):
-    summary = lab_summary(spark, d)
-    latest = event_values(spark, d).agg(F.max("date").alias("date"))
-    return summary.join(F.broadcast(latest), "date").drop("date")
+    rows = reporting.of_latest_day(adapters.labs(spark, d), "result_time")
+    values = labs.lab_values(rows, adapters.EVENT_RULES)
+    return labs.lab_summary(values, adapters.EVENT_RULES).drop("date")
 
 
 def event_threshold_counts(spark, d):
@@ -127,8 +127,7 @@ def census_wide(spark, d):
 
 
 def census_day_long(spark, d):
-    wide = census_wide(spark, d)
-    return reporting.census_of_day(daily.census_long(wide, adapters.WARDS))
+    return reporting.census_of_day(reporting.latest_row(census_wide(spark, d)), adapters.WARDS)
 
 
 def missing_wards(spark, d):
@@ -172,30 +171,31 @@ def scaler_center_only(spark, d):
     return training.apply_scaler(table, training.fit_scaler(table), scale=False)
 
 
-def _short_rolling(spark, d):
-    return training.rolling_scaler(
-        training_table(spark, d), SHORT_HISTORY, columns=["seven_lag", "N0"]
-    )
-
-
 def rolling_scaler(spark, d):
-    return _short_rolling(spark, d)
+    return training.rolling_scaler(training_table(spark, d), SHORT_HISTORY)
 
 
-def run_log(spark, d):
-    """One run per usage date; the window length changes once and some increments span dates."""
+def run_log(dates: DataFrame) -> DataFrame:
+    """One run per date; the window length changes once and some increments span dates."""
     fields = {c: F.lit(float(getattr(PARAMS, c))) for c in MODEL_FIELDS}
     fields["history_window"] = F.when(F.col("date") >= "1998-07-01", 100.0).otherwise(200.0)
-    log = runs.run_gaps(usage(spark, d).select("date")).withColumns(fields)
-    return log.withColumn("multi_date", F.dayofmonth("date") == 15)
+    fields["multi_date"] = F.dayofmonth("date") == 15
+    return runs.model_age(runs.run_gaps(dates).withColumns(fields))
 
 
 def model_age_ledger(spark, d):
-    return runs.model_age(run_log(spark, d)).withColumn("age_before", F.col("age_before").cast("int"))
+    log = run_log(usage(spark, d).select("date"))
+    return log.withColumn("age_before", F.col("age_before").cast("int"))
+
+
+def _table_with_runs(spark, d):
+    return run_log(training_table(spark, d)).drop("age_before", "reason")
 
 
 def last_scaler_asof(spark, d):
-    return training.scaler_as_of(_short_rolling(spark, d), model_age_ledger(spark, d))
+    return training.scaler_as_of(
+        training.rolling_scaler(_table_with_runs(spark, d), SHORT_HISTORY)
+    )
 
 
 # --- increments -------------------------------------------------------------------------------
@@ -230,7 +230,8 @@ def prediction_vs_usage(spark, d):
 
 
 def _site_ledger(spark, d):
-    return ledger.order_ledger(reporting.site_days(site_usage(spark, d), SITE), PARAMS, SITE)
+    days = reporting.site_days(site_usage(spark, d), SITE)
+    return ledger.order_ledger(days, PARAMS, SITE, partitioned=True)
 
 
 def order_ledger(spark, d):
@@ -260,7 +261,7 @@ def remaining_histogram(spark, d):
 
 
 def forecast_three_day(spark, d):
-    return forecast.rolling_forecast(training_table(spark, d), model_age_ledger(spark, d))
+    return forecast.rolling_forecast(_table_with_runs(spark, d))
 
 
 _PLAIN: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from shelfcast.operators.moving import forward_sum
 from shelfcast.operators.partitioning import spread
-from shelfcast.operators.training import RESPONSE, predictors, smoothed_columns
+from shelfcast.operators.training import RESPONSE, RETRAIN, predictors, smoothed_columns
 
 Keys = Sequence[str]
 
@@ -60,8 +60,9 @@ def _packed(table: DataFrame, names: Sequence[str], keys: Keys) -> DataFrame:
     """Predictors in one array column, with row number and target."""
     by = "PARTITION BY " + ", ".join(f"`{k}`" for k in keys) if keys else ""
     values = ", ".join(f"CAST(`{c}` AS DOUBLE)" for c in names)
+    flag = [RETRAIN] if RETRAIN in table.columns else []
     return three_day_target(table, keys, RESPONSE).selectExpr(
-        *[f"`{k}`" for k in keys], "date", "CAST(y3 AS DOUBLE) AS y3", f"array({values}) AS x",
+        *[f"`{k}`" for k in keys], "date", *flag, "CAST(y3 AS DOUBLE) AS y3", f"array({values}) AS x",
         f"row_number() OVER ({by} ORDER BY date) AS row",
     )
 
@@ -106,7 +107,6 @@ def score(table: DataFrame, model: DataFrame, keys: Keys = ()) -> DataFrame:
 
 def rolling_forecast(
     table: DataFrame,
-    retrained: DataFrame,
     keys: Keys = (),
     history: int = 200,
     smoothing: int = 7,
@@ -114,24 +114,20 @@ def rolling_forecast(
 ) -> DataFrame:
     """(date, model_date, t_pred) of every date from the first retrain with a full window on.
 
-    ``retrained`` has (date, retrain) per key. A model trains on the ``history`` rows before its
-    retrain date, as far as their three-day target is known by then, and scores the rows from that
-    date up to the next retrain. One pass over the table: windows tell each row its models.
+    ``table`` is a training table with a ``retrain`` flag. A model trains on the ``history`` rows
+    before its retrain date, as far as their three-day target is known by then, and scores the
+    rows from that date up to the next retrain. One pass over the table: windows tell each row
+    its models.
     """
     names = predictors(table, keys)
     smoothed = np.isin(names, smoothed_columns(names))
-    by = [*keys, "date"]
     part = "PARTITION BY " + ", ".join(f"`{k}`" for k in keys) if keys else ""
-    rows = (
-        _packed(table, names, keys)
-        .join(retrained.select(*by, "retrain"), by, "left")
-        .withColumn(
-            "own",
-            F.expr(
-                f"CASE WHEN retrain AND row > {history} "
-                "THEN named_struct('row', row, 'date', date) END"
-            ),
-        )
+    rows = _packed(table, names, keys).withColumn(
+        "own",
+        F.expr(
+            f"CASE WHEN {RETRAIN} AND row > {history} "
+            "THEN named_struct('row', row, 'date', date) END"
+        ),
     )
     uses = rows.selectExpr(
         "*",

@@ -116,6 +116,7 @@ def order_ledger(
     offset: int | None = None,
     min_inventory: float | None = None,
     consistent_first_row: bool = False,
+    partitioned: bool = False,
 ) -> DataFrame:
     """Stock, waste, orders and shortage per day, as predicted and with a minimum held.
 
@@ -124,7 +125,8 @@ def order_ledger(
     that key's ledger NULL. ``alert`` marks stock at or under the minimum.
 
     The first row's shortage *adds* the stock expiring in two days; ``consistent_first_row``
-    subtracts it as all later rows do.
+    subtracts it as all later rows do. ``partitioned`` says the days are hash-partitioned by the
+    keys already and need no further shuffle.
     """
     fold = _Fold(
         offset=params.start - 1 if offset is None else offset,
@@ -140,7 +142,8 @@ def order_ledger(
     schema = T.StructType(
         [*days.schema.fields, *[T.StructField(c, T.DoubleType()) for c in LEDGER_COLUMNS]]
     )
-    ledger = spread(days, keys).groupBy(*keys).applyInPandas(lambda pdf: fold(pdf), schema)
+    days = days if partitioned else spread(days, keys)
+    ledger = days.groupBy(*keys).applyInPandas(lambda pdf: fold(pdf), schema)
     head = [*keys, "date", "plt_used", "t_pred"]
     alert = (F.col("r1") + F.col("r2")) <= F.lit(float(fold.min_inventory))
     return ledger.select(*head, alert.alias("alert"), *LEDGER_COLUMNS)

@@ -13,6 +13,9 @@ from shelfcast.settings import MODEL_FIELDS
 Keys = Sequence[str]
 
 
+RUN_COLUMNS = ("gap", "multi_date", *MODEL_FIELDS)
+
+
 def run_gaps(dates: DataFrame, keys: Keys = ()) -> DataFrame:
     """Days since the previous run; 1 for the first."""
     w = Window.partitionBy(*keys).orderBy("date")
@@ -22,10 +25,11 @@ def run_gaps(dates: DataFrame, keys: Keys = ()) -> DataFrame:
 
 
 def model_age(runs: DataFrame, keys: Keys = ()) -> DataFrame:
-    """(date, age_before, retrain, reason) of every run.
+    """Add ``age_before``, ``retrain`` and ``reason`` to the log of runs.
 
-    ``runs`` has ``date``, ``gap``, the six model parameters and optionally ``multi_date``. The age
-    is the sum of all earlier gaps: it is not reset by a retrain. Parameters are compared by value.
+    ``runs`` has ``date``, ``gap``, the six model parameters and optionally ``multi_date``, which
+    are replaced; other columns stay. The age is the sum of all earlier gaps: it is not reset by
+    a retrain. Parameters are compared by value.
     """
     w = Window.partitionBy(*keys).orderBy("date")
     config = F.struct(*[F.col(c).cast("double").alias(c) for c in MODEL_FIELDS])
@@ -34,21 +38,17 @@ def model_age(runs: DataFrame, keys: Keys = ()) -> DataFrame:
         else F.lit(False)
     )
     frequency = F.col("model_update_frequency")
+    kept = [f"`{c}`" for c in runs.columns if c not in RUN_COLUMNS]
     aged = runs.select(
-        *keys, "date", "gap", multi.alias("_multi"), frequency.alias("_frequency"),
+        *kept, F.col("gap").alias("_gap"), multi.alias("_multi"), frequency.alias("_frequency"),
         F.sum("gap").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("age_before"),
         config_changed(config, F.lag(config).over(w)).alias("_changed"),
     )
-    reason = (
-        F.when(F.col("age_before").isNull(), "first")
-        .when(F.col("_multi"), "several dates")
-        .when(F.col("_changed"), "parameters changed")
-        .when(
-            (F.col("age_before") % F.col("_frequency") == 0)
-            | (F.col("gap") > F.col("_frequency")),
-            "stale",
-        )
+    reason = F.expr(
+        """CASE WHEN age_before IS NULL THEN 'first' WHEN _multi THEN 'several dates'
+        WHEN _changed THEN 'parameters changed'
+        WHEN age_before % _frequency = 0 OR _gap > _frequency THEN 'stale' END"""
     )
     return aged.withColumn("reason", reason).select(
-        *keys, "date", "age_before", F.col("reason").isNotNull().alias("retrain"), "reason"
+        *kept, "age_before", F.col("reason").isNotNull().alias("retrain"), "reason"
     )

@@ -13,6 +13,7 @@ from shelfcast.operators.moving import moving_mean, smooth
 
 Keys = Sequence[str]
 RESPONSE = "plt_used"
+RETRAIN = "retrain"  # set on a training table whose rows know whether their run retrains
 
 
 def _quoted(names: Sequence[str]) -> list[str]:
@@ -60,7 +61,7 @@ def incomplete_dates(
 
 
 def predictors(table: DataFrame, keys: Keys = ()) -> list[str]:
-    return [c for c in table.columns if c not in (*keys, "date", RESPONSE)]
+    return [c for c in table.columns if c not in (*keys, "date", RESPONSE, RETRAIN)]
 
 
 def smoothed_columns(names: Sequence[str]) -> list[str]:
@@ -133,7 +134,8 @@ def rolling_scaler(
 
     A training cut starts its trailing means afresh, so a smoothed column has no value in the
     first ``smoothing - 1`` rows of the cut and its frame is that much shorter. Dates with fewer
-    than ``history`` rows before them get NULL. Returns (date, predictor, center, scale).
+    than ``history`` rows before them get NULL. Returns (date, predictor, center, scale), with
+    ``retrain`` if the table has it.
     """
     names = list(columns or predictors(table, keys))
     smoothed = set(smoothed_columns(names))
@@ -143,27 +145,28 @@ def rolling_scaler(
         return f"OVER ({by} ORDER BY date ROWS BETWEEN {rows_back} PRECEDING AND 1 PRECEDING)"
 
     frames = {c: over(history - smoothing + 1 if c in smoothed else history) for c in names}
+    heads = [c for c in (*keys, "date", RETRAIN) if c in table.columns]
     wide = table.selectExpr(
-        *_quoted([*keys, "date"]),
+        *_quoted(heads),
         f"row_number() OVER ({by} ORDER BY date) > {history} AS _enough",
         *[f"avg(`{c}`) {frames[c]} AS c{i}" for i, c in enumerate(names)],
         *[f"stddev_samp(`{c}`) {frames[c]} AS s{i}" for i, c in enumerate(names)],
     )
     rows = ", ".join(f"{_text(c)}, c{i}, s{i}" for i, c in enumerate(names))
     long = wide.selectExpr(
-        *_quoted([*keys, "date"]), "_enough",
+        *_quoted(heads), "_enough",
         f"stack({len(names)}, {rows}) AS (predictor, center, scale)",
     )
     return long.selectExpr(
-        *_quoted([*keys, "date"]), "predictor",
+        *_quoted(heads), "predictor",
         "CASE WHEN _enough THEN center END AS center", "CASE WHEN _enough THEN scale END AS scale",
     )
 
 
-def scaler_as_of(rolling: DataFrame, retrained: DataFrame, keys: Keys = ()) -> DataFrame:
+def scaler_as_of(rolling: DataFrame, keys: Keys = ()) -> DataFrame:
     """The scaler in force on each date: that of the latest retrain up to and including it.
 
-    ``retrained`` has (date, retrain) per key.
+    ``rolling`` is a :func:`rolling_scaler` result that carries ``retrain``.
     """
     by = [*keys, "date"]
     w = (
@@ -171,14 +174,10 @@ def scaler_as_of(rolling: DataFrame, retrained: DataFrame, keys: Keys = ()) -> D
         .orderBy("date")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    own = F.when(F.col("retrain"), F.struct("date", "center", "scale"))
-    return (
-        rolling.join(retrained.select(*by, "retrain"), by)
-        .withColumn("_last", F.last(own, ignorenulls=True).over(w))
-        .select(
-            *by, "predictor",
-            F.col("_last.date").alias("fitted_on"),
-            F.col("_last.center").alias("center"),
-            F.col("_last.scale").alias("scale"),
-        )
+    own = F.when(F.col(RETRAIN), F.struct("date", "center", "scale"))
+    return rolling.withColumn("_last", F.last(own, ignorenulls=True).over(w)).select(
+        *by, "predictor",
+        F.col("_last.date").alias("fitted_on"),
+        F.col("_last.center").alias("center"),
+        F.col("_last.scale").alias("scale"),
     )

@@ -99,24 +99,37 @@ training as (
 TRAINING_PARTS = [USAGE, LINE_VALUES, LINE_COUNTS, FEATURES, SMOOTHED, CENSUS, CENSUS_WIDE, TRAINING]
 
 H = 50
-ROLLING = f"""rolling_wide as (
-  select date, row_number() over (order by date) as rn,
-    avg(seven_lag) over short_frame as c1, stddev_samp(seven_lag) over short_frame as s1,
-    avg(N0) over long_frame as c2, stddev_samp(N0) over long_frame as s2
-  from training
+SMOOTHED_PREDICTORS = ["seven_lag", *[f"{b}_Nq" for b in LINE_LABS]]
+
+
+def _frame(c: str) -> str:
+    return "short_frame" if c in SMOOTHED_PREDICTORS else "long_frame"
+
+
+ROLLING = (
+    "rolling_wide as (\n  select date, row_number() over (order by date) as rn, "
+    + ", ".join(
+        f"avg({c}) over {_frame(c)} as c_{c}, stddev_samp({c}) over {_frame(c)} as s_{c}"
+        for c in PREDICTORS
+    )
+    + f""" from training
   window short_frame as (order by date rows between {H - 6} preceding and 1 preceding),
          long_frame as (order by date rows between {H} preceding and 1 preceding)),
-rolling as (
-  select date, 'seven_lag' as predictor, case when rn > {H} then c1 end as center,
-    case when rn > {H} then s1 end as scale from rolling_wide
-  union all
-  select date, 'N0', case when rn > {H} then c2 end, case when rn > {H} then s2 end
-  from rolling_wide)"""
+rolling as ("""
+    + " union all ".join(
+        f"select date, '{c}' as predictor, case when rn > {H} then c_{c} end as center, "
+        f"case when rn > {H} then s_{c} end as scale from rolling_wide"
+        for c in PREDICTORS
+    )
+    + ")"
+)
+
 
-RUNS = """gaps as (
+def runs(dates: str) -> str:
+    return f"""gaps as (
   select date, coalesce(date_diff('day', lag(date) over (order by date), date), 1) as gap,
     case when date >= date '1998-07-01' then 100 else 200 end as window_length
-  from usage),
+  from {dates}),
 aged as (
   select date, gap, day(date) = 15 as multi,
     sum(gap) over (order by date rows between unbounded preceding and 1 preceding) as age_before,
@@ -398,11 +411,11 @@ ranges as (select measure, min(value) as lo, max(value) as hi from measures grou
             f"select date, predictor, {r6('center', 'center')}, {r6('scale', 'scale')} from rolling",
         ),
         "model_age_ledger": _query(
-            [USAGE, RUNS],
+            [USAGE, runs("usage")],
             "select date, age_before, reason is not null as retrain, reason from ages",
         ),
         "last_scaler_asof": _query(
-            [*TRAINING_PARTS, ROLLING, RUNS,
+            [*TRAINING_PARTS, ROLLING, runs("training"),
              """in_force as (
   select r.date, predictor,
     last_value(case when reason is not null then {'d': r.date, 'c': center, 's': scale} end ignore nulls)

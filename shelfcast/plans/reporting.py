@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.times import calendar
-from shelfcast.operators.daily import last_days, skip_days
+from shelfcast.operators.daily import census_long, last_days, skip_days
 from shelfcast.operators.ledger import order_ledger
 from shelfcast.operators.moving import moving_mean
+from shelfcast.operators.partitioning import spread
 from shelfcast.settings import Params
 
 Keys = Sequence[str]
@@ -79,21 +80,35 @@ def _day(v: Column | str) -> Column:
 
 
 def site_days(usage: DataFrame, keys: Keys, days_ahead: int = 2) -> DataFrame:
-    """Ledger input of many sites over one common calendar.
+    """Ledger input of many sites over one common calendar, hash-partitioned by the keys.
 
     A site without units on a day before the last data day used zero; days after it are NULL.
-    The prediction is :func:`naive_prediction` on the filled series.
+    The prediction is :func:`naive_prediction` on the filled series. Each row is stretched over
+    the days up to the site's next row, so filling takes no join; the common span is one row, read
+    from the same shuffle as the rows themselves.
     """
-    span = usage.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
-    sites = usage.select(*keys).distinct().crossJoin(F.broadcast(span))
-    days = sites.select(
-        *keys, "hi", F.explode(F.sequence("lo", F.date_add("hi", days_ahead))).alias("date")
-    )
-    filled = days.join(usage, [*keys, "date"], "left").select(
-        *keys, "date",
-        F.when(F.col("date") <= F.col("hi"), F.coalesce("used", F.lit(0))).alias("plt_used"),
+    reported = F.when(F.col("used").isNotNull(), F.col("date"))
+    span = usage.agg(F.min(reported).alias("lo"), F.max(reported).alias("hi"))
+    by = "PARTITION BY " + ", ".join(f"`{k}`" for k in keys) + " ORDER BY date"
+    names = [f"`{k}`" for k in keys]
+    return (
+        spread(usage, keys)
+        .crossJoin(F.broadcast(span))
+        .selectExpr(
+            *names, "date AS reported", "used", "hi",
+            f"CASE WHEN row_number() OVER ({by}) = 1 THEN lo ELSE date END AS first_day",
+            f"""coalesce(date_sub(lead(date) OVER ({by}), 1), date_add(hi, {days_ahead}))
+                AS last_day""",
+        )
+        .selectExpr(
+            *names, "explode(sequence(first_day, last_day)) AS date", "reported", "used", "hi"
+        )
+        .selectExpr(
+            *names, "date",
+            "CASE WHEN date = reported THEN used WHEN date <= hi THEN 0 END AS plt_used",
+        )
+        .withColumn("t_pred", 3 * moving_mean("plt_used", 7, keys))
     )
-    return filled.withColumn("t_pred", 3 * moving_mean("plt_used", 7, keys))
 
 
 def prediction_report(
@@ -160,17 +175,28 @@ def stock_histogram(
     return ranged.groupBy("measure", bin_no.cast("int").alias("bin")).agg(F.sum("n").alias("n"))
 
 
-def lab_summary_of_day(summary: DataFrame, date: Column | str, keys: Keys = ()) -> DataFrame:
-    """The lab summary of one date."""
-    return summary.filter(F.col("date") == _day(date)).drop("date")
+def of_day(series: DataFrame, date: Column | str, time: str = "date") -> DataFrame:
+    """Rows of one date. Applied to a feed, the filter reaches the scan."""
+    return series.filter(F.col(time).cast("date") == _day(date))
 
 
-def census_of_day(counts: DataFrame, date: Column | str | None = None, keys: Keys = ()) -> DataFrame:
-    """(ward, n) of one date, by default the latest; sorted by ward."""
-    if date is None:
-        latest = counts.groupBy(*keys).agg(F.max("date").alias("_latest"))
-        day = counts.join(latest, list(keys)) if keys else counts.crossJoin(F.broadcast(latest))
-        day = day.filter(F.col("date") == F.col("_latest"))
-    else:
-        day = counts.filter(F.col("date") == _day(date))
-    return day.select(*keys, "ward", F.col("n").cast("int").alias("n")).orderBy(*keys, "ward")
+def of_latest_day(rows: DataFrame, time: str = "date") -> DataFrame:
+    """Rows of the latest date, found by a scan of the time column alone."""
+    latest = rows.agg(F.max(time).cast("date").alias("_latest"))
+    return (
+        rows.crossJoin(F.broadcast(latest))
+        .filter(F.col(time).cast("date") == F.col("_latest"))
+        .drop("_latest")
+    )
+
+
+def latest_row(series: DataFrame, keys: Keys = ()) -> DataFrame:
+    """The last row per key of a daily table, by one partial aggregation."""
+    last = F.max_by(F.struct(*[f"`{c}`" for c in series.columns]), "date").alias("_last")
+    return series.groupBy(*keys).agg(last).select("_last.*")
+
+
+def census_of_day(wide_day: DataFrame, wards: Sequence[str], keys: Keys = ()) -> DataFrame:
+    """One day's wide census as (ward, n), sorted by ward."""
+    long = census_long(wide_day, wards, keys)
+    return long.select(*keys, "ward", F.col("n").cast("int").alias("n")).orderBy(*keys, "ward")
