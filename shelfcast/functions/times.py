@@ -57,6 +57,11 @@ def file_date(file_name: Column) -> Column:
     return F.substring(run, 1, 10).try_cast("date")
 
 
+def iso_date_in(text: Column) -> Column:
+    """First ``yyyy-mm-dd`` anywhere in a text, as a date."""
+    return F.regexp_extract(text, r"(\d{4}-\d{2}-\d{2})", 1).try_cast("date")
+
+
 def snapshot_date(file_name: Column) -> Column:
     """A morning snapshot file describes the day before the date in its name."""
     return F.date_sub(file_date(file_name), 1)

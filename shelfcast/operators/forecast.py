@@ -68,12 +68,16 @@ def _packed(table: DataFrame, names: Sequence[str], keys: Keys) -> DataFrame:
 
 
 def fit_model(
-    window: DataFrame, keys: Keys = (), smoothing: int = 7, penalty: float = 15.0
+    cut: DataFrame, keys: Keys = (), smoothing: int = 7, penalty: float = 15.0, history: int = 200
 ) -> DataFrame:
-    """Model of one training window per key: (keys, predictors, intercept, coef)."""
-    names = predictors(window, keys)
+    """Model of one training cut per key: (keys, predictors, intercept, coef).
+
+    The cut is the ``history`` training rows followed by the row to score, which only lends its
+    usage to the last known target. A shorter cut gives a NULL intercept.
+    """
+    names = predictors(cut, keys)
     smoothed = np.isin(names, smoothed_columns(names))
-    packed = _packed(window, names, keys)
+    packed = _packed(cut, names, keys)
     schema = T.StructType(
         [
             *[packed.schema[k] for k in keys],
@@ -85,9 +89,13 @@ def fit_model(
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("row")
-        x = _window_rows(np.stack(pdf["x"].to_numpy()), smoothed, smoothing - 1)
-        intercept, coef = _fit_ridge(x, pdf["y3"].to_numpy(dtype=float), penalty)
-        out = pdf[list(keys)].head(1).copy()
+        out = pdf[list(keys)].head(1).reset_index(drop=True)
+        if not keys:
+            out = pd.DataFrame(index=[0])
+        intercept, coef = float("nan"), np.zeros(len(names))
+        if len(pdf) > history:
+            x = _window_rows(np.stack(pdf["x"].to_numpy())[:history], smoothed, smoothing - 1)
+            intercept, coef = _fit_ridge(x, pdf["y3"].to_numpy(dtype=float)[:history], penalty)
         return out.assign(predictors=[list(names)], intercept=intercept, coef=[coef.tolist()])
 
     return spread(packed, keys).groupBy(*keys).applyInPandas(fit, schema)

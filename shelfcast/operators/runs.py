@@ -16,11 +16,11 @@ Keys = Sequence[str]
 RUN_COLUMNS = ("gap", "multi_date", *MODEL_FIELDS)
 
 
-def run_gaps(dates: DataFrame, keys: Keys = ()) -> DataFrame:
-    """Days since the previous run; 1 for the first."""
+def run_gaps(dates: DataFrame, keys: Keys = (), first: int = 1) -> DataFrame:
+    """Days since the previous run, ``first`` for the first."""
     w = Window.partitionBy(*keys).orderBy("date")
     return dates.withColumn(
-        "gap", F.coalesce(F.datediff("date", F.lag("date").over(w)), F.lit(1))
+        "gap", F.coalesce(F.datediff("date", F.lag("date").over(w)), F.lit(first))
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.sources import feeds
@@ -32,13 +32,28 @@ def bad_timestamps(rows: DataFrame, stamp: str) -> DataFrame:
     return rows.filter(F.col(stamp).isNull()).groupBy("file_name").agg(F.count("*").alias("n"))
 
 
+def file_problems(
+    spark: SparkSession, folder: str, feed: Feed, rows: DataFrame, bad: Column,
+    pattern: str | None = None,
+) -> DataFrame:
+    """Both checks above in one pass: (file_name, n_rows, n_bad) of files that fail either."""
+    per_file = rows.groupBy("file_name").agg(
+        F.count("*").alias("n_rows"), F.count_if(bad).alias("n_bad")
+    )
+    listed = feeds.list_files(spark, folder, pattern or feed.pattern).select("file_name")
+    return (
+        listed.join(per_file, "file_name", "left")
+        .fillna(0, ["n_rows", "n_bad"])
+        .filter((F.col("n_rows") == 0) | (F.col("n_bad") > 0))
+    )
+
+
 def file_counts(spark: SparkSession, folder: str, dates: Sequence[str] | None = None) -> DataFrame:
     """(feed, date, n_files) of the daily files; with ``dates``, days without a file count 0."""
     files = feeds.list_files(spark, folder)
-    day = r"\d{4}-\d{2}-\d{2}"
 
     def of(feed: Feed) -> DataFrame:
-        date = F.regexp_extract("file_name", feed.daily_pattern(f"({day})"), 1).try_cast("date")
+        date = F.regexp_extract("file_name", feed.daily_pattern(f"({feeds.DAY})"), 1).try_cast("date")
         return files.select(F.lit(feed.name).alias("feed"), date.alias("date"), "file_name").filter(
             F.col("date").isNotNull()
         )

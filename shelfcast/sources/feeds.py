@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from shelfcast.functions import times, values
 
+DAY = r"\d{4}-\d{2}-\d{2}"
 CASTS = {
     "text": lambda c: c,
     "int": lambda c: F.trim(c).try_cast("int"),
@@ -41,7 +42,7 @@ class Feed:
     def schema(self) -> T.StructType:
         return T.StructType([T.StructField(c, T.StringType()) for c in self.columns])
 
-    def daily_pattern(self, date: str = r"\d{4}-\d{2}-\d{2}") -> str:
+    def daily_pattern(self, date: str = DAY) -> str:
         return self.daily % date
 
 
@@ -122,10 +123,15 @@ def _typed(raw: DataFrame, feed: Feed) -> DataFrame:
             for name, kind in feed.columns.items()
             if name not in feed.drop
         ],
-        F.col("_metadata.file_name").alias("file_name"),
+        _file_name().alias("file_name"),
     )
 
 
+def _file_name() -> Column:
+    """Plain file name of a row; Spark reports it percent-encoded, a plus sign as it is."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
 def _csv_options(feed: Feed) -> dict[str, str]:
     return {
         "sep": feed.separator,
@@ -141,7 +147,7 @@ def read_feed(
 ) -> DataFrame:
     """All rows of a feed's files below ``folder`` whose name matches ``pattern`` (a regex)."""
     raw = spark.read.schema(feed.schema).options(**_csv_options(feed)).csv(folder)
-    return _typed(raw.filter(F.col("_metadata.file_name").rlike(pattern or feed.pattern)), feed)
+    return _typed(raw.filter(_file_name().rlike(pattern or feed.pattern)), feed)
 
 
 def read_feed_for_dates(
@@ -155,13 +161,13 @@ def read_feed_for_dates(
         pattern = feed.daily_pattern()
     else:
         pattern = feed.daily_pattern("(" + "|".join(dates) + ")")
-    rows = read_feed(spark, folder, feed, pattern)
-    return rows.withColumn("as_of", times.file_date(_after_prefix(feed)))
+    return with_as_of(read_feed(spark, folder, feed, pattern), feed)
 
 
-def _after_prefix(feed: Feed) -> Column:
-    head, _, tail = feed.daily_pattern(r"(\d{4}-\d{2}-\d{2})").partition("(")
-    return F.regexp_extract("file_name", f"{head}({tail}", 1)
+def with_as_of(rows: DataFrame, feed: Feed) -> DataFrame:
+    """Rows of daily files with the date in the file's name as ``as_of``."""
+    date = F.regexp_extract("file_name", feed.daily_pattern(f"({DAY})"), 1)
+    return rows.withColumn("as_of", date.try_cast("date"))
 
 
 def stream_feed(spark: SparkSession, folder: str, feed: Feed, **options: str) -> DataFrame:
@@ -172,14 +178,12 @@ def stream_feed(spark: SparkSession, folder: str, feed: Feed, **options: str) ->
         .options(**options)
         .csv(folder)
     )
-    return _typed(raw.filter(F.col("_metadata.file_name").rlike(feed.pattern)), feed)
+    return _typed(raw.filter(_file_name().rlike(feed.pattern)), feed)
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str | None = None) -> DataFrame:
     """Names of the files in a folder. The content column is pruned, so nothing is read."""
-    files = spark.read.format("binaryFile").load(folder)
-    files = files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "length")
-    files = files.withColumn("file_name", F.url_decode(F.replace("file_name", F.lit("+"), F.lit("%2B"))))
+    files = spark.read.format("binaryFile").load(folder).select(_file_name().alias("file_name"))
     return files.filter(F.col("file_name").rlike(pattern)) if pattern else files
 
 

@@ -1,0 +1,65 @@
+"""Writers of small feed files with the declared layouts."""
+
+from __future__ import annotations
+
+from pathlib import Path
+
+from shelfcast.sources import feeds
+
+
+def write(folder: Path, name: str, feed: feeds.Feed, rows: list[dict]) -> None:
+    sep, columns = feed.separator, list(feed.columns)
+    lines = [sep.join(columns)]
+    lines += [sep.join(str(r.get(c, "")) for c in columns) for r in rows]
+    (folder / name).write_text("\n".join(lines) + "\n")
+
+
+def lab(time: str, base: str, value: str) -> dict:
+    return {"RESULT_TIME": time, "BASE_NAME": base, "ORD_VALUE": value, "PAT_MRN_ID": "secret"}
+
+
+def stay(time: str, ward: str) -> dict:
+    return {"LOCATION_DT": time, "LOCATION_NAME": ward, "PAT_ID": "secret"}
+
+
+def issue(time: str, kind: str = "PLT") -> dict:
+    return {"Issue Date/Time": time, "Type": kind, "Recip. MRN": "secret"}
+
+
+def unit(days: str, kind: str = "PLT", date: str = "2018-04-12", time: str = "2359") -> dict:
+    return {"Type": kind, "Days to Expire": days, "Exp. Date": date, "Exp. Time": time}
+
+
+LABS_A = [
+    lab("09-Apr-18 08:01:54", "WBC", "12.5"),
+    lab("09-Apr-18 08:05:00", "WBC", "4.0"),
+    lab("09-Apr-18 09:00:00", "HGB", "8.5"),
+    lab("09-APR-18 09:00:00", "HGB", "8.5"),
+    lab("09-Apr-18 10:00:00", "PLT", "<0.1"),
+    lab("09-Apr-18 10:00:00", "PLT", "<0.15"),
+    lab("09-Apr-18 11:00:00", "PLT", "see note"),
+    lab("09-Apr-18 11:30:00", "PLT", ""),
+    lab("09-Apr-18 12:00:00", "HCT", "30"),
+    lab("10-Apr-75 00:00:00", "RBC", "4.1"),
+]
+CENSUS_A = [
+    stay("04/09/2018  11:59:00PM", "B1"),
+    stay("04/09/2018  11:59:00PM", "B1"),
+    stay("04/09/2018 11:59:00PM", "E2-ICU"),
+    stay("04/09/2018  11:59:00PM", "UNKNOWN-9"),
+    stay("04/10/2018  11:59:00PM", "B1"),
+]
+CENSUS_B = [stay("04/09/2018  11:59:00PM", "B1")]
+ISSUES_A = [
+    *[issue("04/09/2018  08:00:00 AM")] * 3,
+    issue("04/09/2018  09:00:00 AM", "RBC"),
+    issue("04/09/2018  09:00:00 AM", ""),
+    *[issue("04/10/2018  08:00:00 AM")] * 3,
+]
+ISSUES_B = [issue("04/10/2018  08:00:00 AM")] * 3
+UNITS = [unit(d) for d in ("-0.5", "0", "0.5", "1", "1.5", "2", "2.5", "")] + [unit("1", "RBC")]
+
+CBC = "LAB-BB-CSRP-CBC_Daily%s-08-01-54.txt"
+CENSUS = "LAB-BB-CSRP-Census_Daily%s-08-01-54.txt"
+ISSUES = "LAB-BB-CSRP-Transfused Product Report_Daily%s-08-01-54.txt"
+STOCK = "Daily_Product_Inventory_Report_Morning_To_Folder%s-08-01-54.csv"
