@@ -48,7 +48,8 @@ def profile(
 
     Columns: ``n`` (values), ``n_missing``, ``min``, ``max``, ``mean``, ``sd``; per probability
     ``i`` the linearly interpolated quantile ``q{i}`` and ``below_q{i}``, the number of values
-    under it; and per tally the number of values for which its condition holds.
+    under it; and per tally the number of values for which its condition holds. Quantiles are
+    order statistics of the data, interpolated; ``sd`` is good to about 1e-11 of the values.
     """
     if not keys:
         raise ValueError("profile needs at least one key column")

@@ -94,8 +94,8 @@ def several_dates(increments: Sequence[DataFrame]) -> DataFrame:
 def state_table(
     spark: SparkSession, state: str, params: Params, until: str | None = None,
     also: str | None = None, last_rows: int | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """(training table, incomplete dates) of the accumulated state.
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(training table, usage, incomplete dates) of the accumulated state.
 
     With ``last_rows`` each series is cut to that many dates *before* smoothing, and the labs are
     read from the first date of their cut on only.
@@ -116,7 +116,7 @@ def state_table(
     if last_rows is not None:
         census, usage = daily.last_days(census, last_rows), daily.last_days(usage, last_rows)
     table = training.training_table(features, census, usage, smoothing=params.smoothing)
-    return table, training.incomplete_dates(features, census, usage)
+    return table, usage, training.incomplete_dates(features, census, usage)
 
 
 def predict_for_date(
@@ -139,25 +139,50 @@ def predict_for_date(
     written = [store.read_day(spark, state, t, date) for t in ("labs", "census", "usage")]
     multi_date = several_dates(written).agg(F.max("multi_date")).first()[0]
 
-    history = params.history_window
-    table, incomplete = state_table(spark, state, params, prev_day, date, history + 1)
-    checks.require_empty(incomplete, "Missing data for some dates")
-    window, scored = daily.first_days(table, history), daily.last_days(table, 1)
+    table, usage, incomplete = state_table(
+        spark, state, params, prev_day, date, params.history_window + 1
+    )
+    table = table.persist()  # one row per day of the window
+    try:
+        _require_complete(table, usage, incomplete)
+        _retrain_and_score(spark, state, table, date, prev_day, gap, bool(multi_date), params)
+    finally:
+        table.unpersist()
+    return store.read_day(spark, state, "prediction", date).drop("as_of")
+
+
+def _require_complete(table: DataFrame, usage: DataFrame, incomplete: DataFrame) -> None:
+    """Every usage date must be in the training table; the gaps are listed only if there are any."""
+    if table.count() != usage.count():
+        checks.require_empty(incomplete, "Missing data for some dates")
 
-    run = _run_row(spark, state, params, prev_day, gap, bool(multi_date))
+
+def _retrain_and_score(
+    spark: SparkSession, state: str, table: DataFrame, date: str, prev_day: str, gap: int,
+    multi_date: bool, params: Params,
+) -> None:
+    """Refit or carry over scaler and model, write the forecast and the run-log line."""
+    run = _run_row(spark, state, params, prev_day, gap, multi_date)
     if run["retrain"]:
-        store.write_day(training.fit_scaler(window), state, "scaler", date)
-        model = forecast.fit_model(table, (), params.smoothing, params.penalty_factor, history)
-        store.write_day(model, state, "model", date)
+        _fit(table, state, date, params)
     else:
         for kind in ("scaler", "model"):
             store.write_day(store.read_day(spark, state, kind, prev_day), state, kind, date)
 
+    scored = daily.last_days(table, 1)
     prediction = forecast.score(scored, store.read_day(spark, state, "model", date))
     store.write_day(prediction, state, "prediction", date)
-    run_df = spark.createDataFrame([run], store.TABLES["runs"].replace("date date, ", ""))
-    store.write_day(prediction.select("date").crossJoin(run_df), state, "runs", date)
-    return store.read_day(spark, state, "prediction", date).drop("as_of")
+    line = spark.createDataFrame([run], store.TABLES["runs"].replace("date date, ", ""))
+    store.write_day(scored.select("date").crossJoin(line), state, "runs", date)
+
+
+def _fit(table: DataFrame, state: str, date: str, params: Params) -> None:
+    window = daily.first_days(table, params.history_window)
+    store.write_day(training.fit_scaler(window), state, "scaler", date)
+    model = forecast.fit_model(
+        table, (), params.smoothing, params.penalty_factor, params.history_window
+    )
+    store.write_day(model, state, "model", date)
 
 
 def _run_row(
@@ -205,8 +230,8 @@ def backfill(
     increments = process_days(spark, folder, dates, params, report_folder)
     for name, df in increments.items():
         store.write_days(df, state, name)
-    table, incomplete = state_table(spark, state, params, last_day)
-    checks.require_empty(incomplete, "Missing data for some dates")
+    table, usage, incomplete = state_table(spark, state, params, last_day)
+    _require_complete(table, usage, incomplete)
 
     log = _run_log(spark, state, dates, params, gap)
     store.write_days(log, state, "runs")
@@ -217,14 +242,9 @@ def backfill(
     ).select("date", "t_pred")
     store.write_days(log.select("as_of", "date").join(predicted, "date", "left"), state, "prediction")
 
-    fitted = log.filter(training.RETRAIN).agg(F.max("date")).first()[0]
-    cut = daily.last_days(table.filter(F.col("date") <= F.lit(fitted)), params.history_window + 1)
-    window = daily.first_days(cut, params.history_window)
-    store.write_day(training.fit_scaler(window), state, "scaler", last_day)
-    model = forecast.fit_model(
-        cut, (), params.smoothing, params.penalty_factor, params.history_window
-    )
-    store.write_day(model, state, "model", last_day)
+    fitted = str(log.filter(training.RETRAIN).agg(F.max("as_of")).first()[0])
+    cut, _, _ = state_table(spark, state, params, fitted, last_rows=params.history_window + 1)
+    _fit(cut, state, last_day, params)
     return _of_days(store.read_table(spark, state, "prediction"), dates).select(
         "as_of", "date", "t_pred"
     )
