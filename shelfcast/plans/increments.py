@@ -97,24 +97,23 @@ def state_table(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(training table, usage, incomplete dates) of the accumulated state.
 
-    With ``last_rows`` each series is cut to that many dates *before* smoothing, and the labs are
-    read from the first date of their cut on only.
+    With ``last_rows`` the series are cut to that many usage dates *before* smoothing; labs and
+    census are read from the first of these dates on only.
     """
 
     def read(table: str) -> DataFrame:
         return store.read_table(spark, state, table, until=until, also=also)
 
-    lab_rows = read("labs")
+    usage = daily.accumulate([read("usage").drop("as_of")])
+    lab_rows, census_rows = read("labs"), read("census")
     if last_rows is not None:
-        newest = lab_rows.select("date").distinct().orderBy(F.desc("date")).limit(last_rows)
-        start = newest.agg(F.min("date")).first()[0]
+        usage = daily.last_days(usage, last_rows)
+        start = usage.agg(F.min("date")).first()[0]
         lab_rows = lab_rows.filter(F.col("date") >= F.lit(start))
+        census_rows = census_rows.filter(F.col("date") >= F.lit(start))
     counts = labs.lab_threshold_counts(lab_rows, params.rules)
     features = labs.lab_features_wide(counts, params.rules)
-    census = daily.census_wide(read("census"), params.wards)
-    usage = daily.accumulate([read("usage").drop("as_of")])
-    if last_rows is not None:
-        census, usage = daily.last_days(census, last_rows), daily.last_days(usage, last_rows)
+    census = daily.census_wide(census_rows, params.wards)
     table = training.training_table(features, census, usage, smoothing=params.smoothing)
     return table, usage, training.incomplete_dates(features, census, usage)
 
@@ -276,16 +275,23 @@ def _run_log(
     )
 
 
+def usage_and_prediction(
+    spark: SparkSession, state: str, start: str, end: str
+) -> DataFrame:
+    """(date, plt_used, t_pred) of every day of a range, from the latest state."""
+    usage = daily.accumulate([store.read_table(spark, state, "usage").drop("as_of")])
+    prediction = store.read_table(spark, state, "prediction").drop("as_of")
+    return reporting.prediction_vs_usage(usage, prediction, start, end)
+
+
 def report_from_state(
     spark: SparkSession, state: str, start: str, end: str, params: Params = Params(),
     offset: int | None = None, min_inventory: float | None = None,
     report_folder: str | None = None, report_date: str | None = None,
 ) -> DataFrame:
     """Ordering report of a date range from the latest state, optionally saved."""
-    usage = daily.accumulate([store.read_table(spark, state, "usage").drop("as_of")])
-    prediction = store.read_table(spark, state, "prediction").drop("as_of")
+    days = usage_and_prediction(spark, state, start, end)
     inventory = store.read_table(spark, state, "inventory").drop("as_of")
-    days = reporting.prediction_vs_usage(usage, prediction, start, end)
     report = reporting.prediction_report(days, inventory, params, (), offset, min_inventory)
     if report_folder is not None:
         date = report_date or str(dt.date.today())

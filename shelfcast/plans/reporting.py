@@ -181,13 +181,14 @@ def of_day(series: DataFrame, date: Column | str, time: str = "date") -> DataFra
 
 
 def of_latest_day(rows: DataFrame, time: str = "date") -> DataFrame:
-    """Rows of the latest date, found by a scan of the time column alone."""
-    latest = rows.agg(F.max(time).cast("date").alias("_latest"))
-    return (
-        rows.crossJoin(F.broadcast(latest))
-        .filter(F.col(time).cast("date") == F.col("_latest"))
-        .drop("_latest")
-    )
+    """Rows of the latest date.
+
+    The date comes from a scan of the time column alone and reaches the main scan as a literal,
+    where it skips row groups.
+    """
+    kind = rows.schema[time].dataType
+    latest = rows.agg(F.max(time).cast("date").cast(kind).alias("latest"))
+    return rows.filter(F.col(time) >= latest.scalar())
 
 
 def latest_row(series: DataFrame, keys: Keys = ()) -> DataFrame:

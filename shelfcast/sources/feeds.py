@@ -25,6 +25,11 @@ CASTS = {
     "slash": times.slash_stamp,
     "dash": times.dash_stamp,
 }
+# The same, for columns of typed files.
+TYPES = {
+    "text": "string", "int": "int", "id": "bigint", "double": "double",
+    "slash": "timestamp_ntz", "dash": "timestamp_ntz",
+}
 
 
 @dataclass(frozen=True)
@@ -113,13 +118,15 @@ def column_name(raw: str) -> str:
 
 
 def _typed(raw: DataFrame, feed: Feed) -> DataFrame:
-    def cell(name: str) -> Column:
+    def cell(name: str, kind: str) -> Column:
         c = F.col(f"`{name}`")
-        return F.when(~c.isin("", "NA"), c)
+        if isinstance(raw.schema[name].dataType, T.StringType):
+            return CASTS[kind](F.when(~c.isin("", "NA"), c))
+        return c.try_cast(TYPES[kind])
 
     return raw.select(
         *[
-            CASTS[kind](cell(name)).alias(column_name(name))
+            cell(name, kind).alias(column_name(name))
             for name, kind in feed.columns.items()
             if name not in feed.drop
         ],
@@ -143,10 +150,17 @@ def _csv_options(feed: Feed) -> dict[str, str]:
 
 
 def read_feed(
-    spark: SparkSession, folder: str, feed: Feed, pattern: str | None = None
+    spark: SparkSession, folder: str, feed: Feed, pattern: str | None = None, format: str = "csv"
 ) -> DataFrame:
-    """All rows of a feed's files below ``folder`` whose name matches ``pattern`` (a regex)."""
-    raw = spark.read.schema(feed.schema).options(**_csv_options(feed)).csv(folder)
+    """All rows of a feed's files in ``folder`` whose name matches ``pattern`` (a regex).
+
+    ``format`` may also be a columnar one with the declared column names, typed or as text;
+    ``folder`` may also be a single file.
+    """
+    if format == "csv":
+        raw = spark.read.schema(feed.schema).options(**_csv_options(feed)).csv(folder)
+    else:
+        raw = spark.read.format(format).load(folder)
     return _typed(raw.filter(_file_name().rlike(pattern or feed.pattern)), feed)
 
 

@@ -166,3 +166,20 @@ def test_file_names(spark):
     assert got[0][0] == D9
     assert got[0][1] == (ff.STOCK % "2018-04-10").removesuffix(".csv") + "-summary"
     assert got[1][0] is None
+
+
+def test_columnar_feeds(spark, folder, tmp_path):
+    text = spark.read.schema(feeds.INVENTORY.schema).option("header", True).csv(
+        f"{folder}/{ff.STOCK % '2018-04-10'}"
+    )
+    typed = text.withColumn("Days to Expire", F.expr("try_cast(`Days to Expire` AS DECIMAL(5, 1))"))
+    for name, df in (("text", text), ("typed", typed)):
+        df.coalesce(1).write.parquet(str(tmp_path / name))
+        got = feeds.read_feed(spark, str(tmp_path / name), feeds.INVENTORY, "part-", "parquet")
+        done = bulk.process_inventory(got, "2018-04-09").data
+        assert rows(done, "date", "count", "r1", "r2", "r3_plus") == [(D9, 5, 2, 2, 1)]
+
+
+def test_single_file_scan(spark, folder):
+    one = feeds.read_feed(spark, f"{folder}/{ff.CENSUS % '2018-04-11'}", feeds.CENSUS)
+    assert rows(bulk.process_census(one).data, "date", "ward", "n") == [(D9, "B1", 1)]
