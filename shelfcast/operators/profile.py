@@ -64,9 +64,9 @@ def profile(
     low = [f"floor((n - 1) * {p!r}D)" for p in probs]
     high = [f"least({x} + 1, n - 1)" for x in low]
     wanted = " OR ".join(
-        f"(before <= {rank} AND {rank} < before + bucket_n)" for rank in [*low, *high]
+        f"(before <= {rank} AND {rank} < before + known)" for rank in [*low, *high]
     )
-    buckets = stats.filter(f"n = 0 OR {wanted}").drop("bucket_n")
+    buckets = stats.filter(f"n = 0 OR {wanted}").drop("known")
     ranked = _rank_within_buckets(counts, buckets, keys)
 
     def at(rank: str, out: str, name: str) -> Column:
@@ -121,7 +121,10 @@ def _bucket_totals(counts: DataFrame, keys: Sequence[str], tallies: Mapping[str,
 
 
 def _group_stats(hist: DataFrame, keys: Sequence[str], tallies: Mapping[str, Column]) -> DataFrame:
-    """Bucket rows with their group's statistics and the number of values in earlier buckets."""
+    """Bucket rows with their group's statistics and the number of values in earlier buckets.
+
+    ``known`` is a bucket's number of values, 0 for the bucket of missing ones.
+    """
     by = ", ".join(_names(keys))
     ordered = f"PARTITION BY {by} ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING"
     group = f"OVER ({ordered} AND UNBOUNDED FOLLOWING)"  # one sort serves both frames
@@ -138,7 +141,7 @@ def _group_stats(hist: DataFrame, keys: Sequence[str], tallies: Mapping[str, Col
     )
     m2 = f"sum(bucket_m2 + known * (bucket_mean - mean) * (bucket_mean - mean)) {group}"
     return hist.selectExpr(
-        *_names(keys), "bucket", "bucket_n", "before", "n", "n_missing", "min", "max", "mean",
+        *_names(keys), "bucket", "known", "before", "n", "n_missing", "min", "max", "mean",
         f"CASE WHEN n > 1 THEN sqrt({m2} / (n - 1)) END AS sd",
         *_names(tallies),
     )

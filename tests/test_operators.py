@@ -75,7 +75,7 @@ def test_profile_matches_brute_force(spark):
         "wide": [rng.choice([-1, 1]) * 10 ** rng.uniform(-300, 300) for _ in range(999)],
         "one": [4.0], "two": [4.0, 9.0], "none": [None, None],
         "mixed": [None, -1.0, 0.0, -0.0, 1.0, float("nan"), float("inf")],
-        None: [1.0, 5.0, None],
+        "gaps": [None] * 50 + [1.0, 2.0, 3.0], None: [1.0, 5.0, None],
     }
     data = [(k, v) for k, vs in groups.items() for v in vs]
     df = spark.createDataFrame(data, "k string, v double").repartition(8)
@@ -91,7 +91,7 @@ def test_profile_matches_brute_force(spark):
                 continue  # numpy overflows on the squares
             assert (h is None) == (w is None)
             # The spread is good to about 1e-11 of the values, however narrow the group.
-            assert w is None or h == pytest.approx(w, rel=1e-9, abs=1e-11 * abs(want[3]) + 1e-12)
+            assert w is None or h == pytest.approx(w, rel=1e-9, abs=1e-11 * abs(want[3] or 0) + 1e-12)
         known = [v for v in vs if v is not None and math.isfinite(v)]
         assert r.low == sum(v < 2.5 for v in known)
         for q, below in ((r.q0, r.below_q0), (r.q1, r.below_q1), (r.q2, r.below_q2)):
