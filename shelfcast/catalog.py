@@ -100,6 +100,12 @@ def event_threshold_counts(spark, d):
     return labs.lab_threshold_counts(lab_clean(spark, d), adapters.EVENT_RULES)
 
 
+def event_row_threshold_counts(spark, d):
+    """Without collapsing equal values."""
+    rows = labs.lab_clean(event_values(spark, d), dedupe="rows")
+    return labs.lab_threshold_counts(rows, adapters.EVENT_RULES)
+
+
 def lab_threshold_counts(spark, d):
     return labs.lab_threshold_counts(adapters.lab_lines(spark, d), adapters.LINE_RULES)
 
@@ -279,6 +285,7 @@ _PLAIN: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lab_summary": lab_summary,
     "lab_summary_latest_day": lab_summary_latest_day,
     "event_threshold_counts": event_threshold_counts,
+    "event_row_threshold_counts": event_row_threshold_counts,
     "lab_threshold_counts": lab_threshold_counts,
     "lab_counts_wide": lab_counts_wide,
     "lab_features_wide": lab_features_wide,

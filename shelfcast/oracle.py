@@ -348,6 +348,15 @@ ranges as (select measure, min(value) as lo, max(value) as hi from measures grou
             ],
             "select * from event_counts",
         ),
+        "event_row_threshold_counts": _query(
+            [
+                EVENT_VALUES,
+                threshold_counts(
+                    "event_values", "event_counts", {"purchase": 50.0, "view": 40.0}, "signup"
+                ),
+            ],
+            "select * from event_counts",
+        ),
         "lab_threshold_counts": _query([LINE_VALUES, LINE_COUNTS], "select * from line_counts"),
         "lab_counts_wide": _query(
             [LINE_VALUES, LINE_COUNTS],
