@@ -17,7 +17,9 @@ from pyspark.sql import types as T
 
 from shelfcast.operators.moving import forward_sum
 from shelfcast.operators.partitioning import spread
-from shelfcast.operators.training import RESPONSE, RETRAIN, predictors, smoothed_columns
+from shelfcast.operators.training import (
+    RESPONSE, RETRAIN, predictors, smoothed_columns, sql_text,
+)
 
 Keys = Sequence[str]
 
@@ -107,7 +109,7 @@ def score(table: DataFrame, model: DataFrame, keys: Keys = ()) -> DataFrame:
     coef = F.map_from_arrays("predictors", "coef")
     model = model.select(*keys, "intercept", coef.alias("_coef"))
     joined = table.join(model, list(keys)) if keys else table.crossJoin(F.broadcast(model))
-    terms = [f"CAST(`{c}` AS DOUBLE) * _coef['{c}']" for c in names]
+    terms = [f"CAST(`{c}` AS DOUBLE) * _coef[{sql_text(c)}]" for c in names]
     return joined.selectExpr(
         *[f"`{k}`" for k in keys], "date", " + ".join(["intercept", *terms]) + " AS t_pred"
     )

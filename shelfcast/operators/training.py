@@ -82,13 +82,13 @@ def fit_scaler(table: DataFrame, keys: Keys = ()) -> DataFrame:
             for fn, out in (("avg", "c"), ("stddev_samp", "s"))
         ]
     )
-    rows = ", ".join(f"{_text(c)}, c{i}, s{i}" for i, c in enumerate(names))
+    rows = ", ".join(f"{sql_text(c)}, c{i}, s{i}" for i, c in enumerate(names))
     return wide.selectExpr(
         *_quoted(keys), f"stack({len(names)}, {rows}) AS (predictor, center, scale)"
     )
 
 
-def _text(name: str) -> str:
+def sql_text(name: str) -> str:
     """SQL string literal."""
     return "'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -114,9 +114,9 @@ def apply_scaler(
     def scaled(c: str) -> str:
         v = f"CAST(`{c}` AS DOUBLE)"
         if center:
-            v = f"({v} - _center[{_text(c)}])"
+            v = f"({v} - _center[{sql_text(c)}])"
         if scale:
-            v = f"try_divide({v}, _scale[{_text(c)}])"
+            v = f"try_divide({v}, _scale[{sql_text(c)}])"
         return f"{v} AS `{c}`"
 
     kept = {*keys, "date", RESPONSE}
@@ -152,7 +152,7 @@ def rolling_scaler(
         *[f"avg(`{c}`) {frames[c]} AS c{i}" for i, c in enumerate(names)],
         *[f"stddev_samp(`{c}`) {frames[c]} AS s{i}" for i, c in enumerate(names)],
     )
-    rows = ", ".join(f"{_text(c)}, c{i}, s{i}" for i, c in enumerate(names))
+    rows = ", ".join(f"{sql_text(c)}, c{i}, s{i}" for i, c in enumerate(names))
     long = wide.selectExpr(
         *_quoted(heads), "_enough",
         f"stack({len(names)}, {rows}) AS (predictor, center, scale)",

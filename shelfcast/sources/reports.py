@@ -21,7 +21,8 @@ def save_reports(sheets: Mapping[str, DataFrame], folder: str, format: str = "pa
     """Write every sheet; dates written before are replaced, other dates stay."""
     for sheet, df in sheets.items():
         (
-            df.write.format(format)
+            df.hint("rebalance", "report_date")
+            .write.format(format)
             .mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .option("header", "true")

@@ -38,9 +38,13 @@ def write_day(df: DataFrame, state: str, table: str, as_of: str) -> None:
 
 
 def write_days(df: DataFrame, state: str, table: str) -> None:
-    """Replace the partitions of all days in ``df``, which has ``as_of``."""
+    """Replace the partitions of all days in ``df``, which has ``as_of``.
+
+    The rebalance gives each day few files and still splits a day that is too large for one task.
+    """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", "as_of")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("as_of")
         .parquet(f"{state}/{table}")

@@ -98,6 +98,38 @@ def test_profile_matches_brute_force(spark):
             assert not known or below == sum(v < q for v in known)
 
 
+def test_profile_without_quantiles(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", None), ("b", None)], "k string, v double")
+    got = profile.profile(profile.value_counts(df, ["k"], "v"), ["k"])
+    assert rows(got, "k", "n", "n_missing", "min", "mean", "sd") == [
+        ("a", 1, 1, 1.0, 1.0, None), ("b", 0, 1, None, None, None),
+    ]
+    pairs = df.selectExpr("k", "v", "5 AS w")
+    weighted = profile.value_counts(pairs, ["k"], "v", "w")
+    assert rows(profile.profile(weighted, ["k"], (0.5,)), "k", "n", "q0", "sd") == [
+        ("a", 5, 1.0, 0.0), ("b", 0, None, None),
+    ]
+
+
+def test_constant_rules_alone(spark):
+    rules = [r for r in DEFAULT_RULES if not r.is_quantile]
+    clean = spark.createDataFrame(
+        [(day(0), "PLT", 10.0), (day(0), "PLT", 200.0)], "date date, base_name string, lab_value double"
+    )
+    assert rows(labs.lab_threshold_counts(clean, rules).drop("date")) == [("PLT", 2, 1, 1, 1)]
+
+
+def test_labs_per_site(spark):
+    clean = spark.createDataFrame(
+        [(s, day(0), "WBC", float(v)) for s, top in (("a", 5), ("b", 9)) for v in range(1, top + 1)],
+        "site string, date date, base_name string, lab_value double",
+    )
+    counts = labs.lab_threshold_counts(clean, DEFAULT_RULES, ["site"])
+    assert rows(counts, "site", "n", "below", "above") == [("a", 5, 1, 4), ("b", 9, 2, 7)]
+    wide = labs.lab_features_wide(counts, DEFAULT_RULES, ["site"])
+    assert rows(wide, "site", "WBC_Nq") == [("a", 4), ("b", 7)]
+
+
 def test_profile_reads_its_input_once(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.rand(1).alias("v"))
     got = profile.profile(profile.value_counts(df, ["k"], "v"), ["k"], (0.5,))
