@@ -1,4 +1,4 @@
-"""Run queries next to their SQL twins: ``python tests/compare.py [scale] [name ...]``."""
+"""Run queries next to their SQL twins: ``python tests/compare.py [scale or folder] [name ...]``."""
 
 from __future__ import annotations
 
@@ -70,7 +70,8 @@ def main(argv: list[str]) -> int:
         .config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    sf_dir = f"/root/testdata/sf{argv[0] if argv else '0.01'}"
+    scale = argv[0] if argv else "0.01"
+    sf_dir = scale if scale.startswith("/") else f"/root/testdata/sf{scale}"
     con = connect(sf_dir)
     queries, sqls = entry.queries(), entry.oracle_sql()
     failed = 0
