@@ -4,12 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import quality_rules, sharding
+from shelfcast.llm import (
+    byte_bpe,
+    decontamination,
+    quality_rules,
+    secret_scan,
+    sharding,
+    simhash,
+)
 from shelfcast.llm.shared import table
 
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
 
 def op1_sharding(spark: SparkSession, d: str) -> DataFrame:
     return sharding.shard(table(spark, d, "documents"))
@@ -22,6 +32,36 @@ def op2_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op4_simhash(spark: SparkSession, d: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, d, "documents"), shingle_words=3, max_bits=2)
+
+
+def op6_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    marked = decontamination.decontaminate(docs, table(spark, d, "benchmark"))
+    return marked.select(
+        "doc_id", "n_words", "n_hit", "n_items",
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
+def op7_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    coded = byte_bpe.encode_digests(docs, VOCABULARY, public_tokenizers.PATTERN)
+    return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+def op10_secret_scan(spark: SparkSession, d: str) -> DataFrame:
+    found = secret_scan.scan_secrets(table(spark, d, "documents").select("doc_id", "text"))
+    base = secret_scan.spelled("secrets", secret_scan.BASE)
+    return found.select(
+        "doc_id",
+        *[secret_scan.count_kind("secrets", k).alias(f"n_{k}") for k in secret_scan.BASE],
+        F.sha2(base, 256).alias("base_sha256"),
+        secret_scan.spelled("secrets").alias("spans"),
+    )
+
+
 QUALITY_SQL = """
 WITH d AS (
   SELECT doc_id, source, coalesce(text, '') AS text,
@@ -75,6 +115,10 @@ FROM m
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_quality_rules": op2_quality_rules,
+    "op4_simhash": op4_simhash,
+    "op6_decontamination": op6_decontamination,
+    "op7_byte_bpe": op7_byte_bpe,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 

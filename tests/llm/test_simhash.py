@@ -1,0 +1,104 @@
+"""Fingerprints, links and components against brute force."""
+
+import random
+
+import numpy as np
+import xxhash
+
+from shelfcast.llm import simhash
+
+
+def slow_fingerprint(text, n):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return 0
+    shingles = [b" ".join(words[i:i + n]) for i in range(max(1, len(words) - n + 1))]
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def slow_components(prints, bits):
+    root = {f: f for f in prints}
+
+    def find(f):
+        while root[f] != f:
+            f = root[f]
+        return f
+
+    for a in prints:
+        for b in prints:
+            if a < b and bin((a ^ b) & (1 << 64) - 1).count("1") <= bits:
+                root[find(b)] = find(a)
+    return {f: find(f) for f in prints}
+
+
+def test_fingerprint():
+    rng = random.Random(2)
+    texts = ["", " \t\n", "One", "one TWO", "a b c", "É x\x0by\x0cz \x1c w", None]
+    texts += [" ".join(rng.choices(["a", "B", "c", "dé"], k=rng.randrange(1, 60))) for _ in range(30)]
+    for text in texts:
+        assert simhash.fingerprint(text, 3) & (1 << 64) - 1 == slow_fingerprint(text, 3)
+
+
+def near_prints(n=260, seed=4):
+    """Chains, stars and dense balls of fingerprints, the corners of the range among them."""
+    rng = random.Random(seed)
+    prints = {0, -1, 1, -(1 << 63), (1 << 63) - 1}
+    while len(prints) < n:
+        f = rng.getrandbits(64)
+        for _ in range(rng.randrange(1, 9)):
+            prints.add(f - (1 << 64) if f >> 63 else f)
+            for _ in range(rng.randrange(1, 4)):
+                f ^= 1 << rng.randrange(64)
+    center = rng.getrandbits(63)
+    prints |= {center ^ (1 << b) for b in range(40)}
+    return sorted(prints)
+
+
+def test_components_match_brute_force(spark):
+    prints = near_prints()
+    frame = spark.createDataFrame([(f,) for f in prints], "fp long")
+    for bits in (0, 1, 2):
+        got = {r.node: r.root for r in simhash.components(simhash.links(frame, bits)).collect()}
+        want = slow_components(prints, bits)
+        groups = {}
+        for f in prints:
+            groups.setdefault(want[f], set()).add(f)
+        mine = {}
+        for f in prints:
+            mine.setdefault(got.get(f, f), set()).add(f)
+        assert sorted(map(sorted, mine.values())) == sorted(map(sorted, groups.values())), bits
+
+
+def test_long_chain(spark):
+    pairs = [(i + 1, i) for i in range(40)]
+    got = simhash.components(spark.createDataFrame(pairs, "a long, b long")).collect()
+    assert {r.root for r in got} == {0} and len(got) == 41
+
+
+def test_rows(spark):
+    base = " ".join(f"w{i}" for i in range(400))
+    rows = [(5, base, 1), (3, base.upper(), 1), (9, base + " end", 2), (7, "other words here now", 3),
+            (None, None, 4), (2, "", 5), (8, " \n", 6), (7, "other words here now", 3), (None, base, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, component_id long")
+    got = {(r.doc_id, r.fingerprint): r.component_id for r in simhash.near_duplicates(docs).collect()}
+    for doc_id, text, _ in rows:
+        assert (doc_id, f"{slow_fingerprint(text, 3):016x}") in got
+    same = f"{slow_fingerprint(base, 3):016x}"
+    assert got[5, same] == got[3, same] == got[None, same] == 3
+    assert got[8, "0" * 16] == got[2, "0" * 16] == got[None, "0" * 16] == 2
+    kept = simhash.deduplicate(docs)
+    assert kept.columns == docs.columns
+    ids = sorted(r.doc_id for r in kept.collect())
+    assert ids in ([2, 3, 7], [2, 3, 7, 9])
+    assert simhash.near_duplicates(docs.limit(0)).collect() == []
+    assert simhash.deduplicate(docs.limit(0)).collect() == []
+
+
+def test_bits_of_hashes_are_counted_in_blocks():
+    text = " ".join(f"w{i}" for i in range(300))
+    whole = simhash.fingerprint(text, 3)
+    simhash.BLOCK, block = 7, simhash.BLOCK
+    assert simhash.fingerprint(text, 3) == whole
+    simhash.BLOCK = block
+    assert np.int64(whole) == whole
