@@ -7,16 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfcast.llm import (
     byte_bpe,
+    chat,
     decontamination,
+    language_id,
+    quality_classifier,
     quality_rules,
     secret_scan,
     sharding,
     simhash,
+    toxicity,
 )
-from shelfcast.llm.shared import table
+from shelfcast.llm.shared import map_texts, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -32,10 +37,37 @@ def op2_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op3_chat_format(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    said = F.lit(r"\### Assistant: </turn> ok")
+    hard = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said.alias("text"),
+    )
+    formatted = chat.format_conversations(rows.unionByName(hard))
+
+    def start():
+        return lambda texts, spans: [chat.digests(t, s) for t, s in zip(texts, spans)]
+
+    fields = [
+        T.StructField("n_turns", T.LongType()), T.StructField("turns_sha256", T.StringType()),
+        T.StructField("loss_chars", T.LongType()), T.StructField("loss_sha256", T.StringType()),
+        T.StructField("formatted_chars", T.LongType()),
+    ]
+    read = map_texts(formatted, start, fields, reads=("formatted", "loss_spans"))
+    return read.drop("formatted", "loss_spans")
+
+
 def op4_simhash(spark: SparkSession, d: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, d, "documents"), shingle_words=3, max_bits=2)
 
 
+def op5_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    scored = toxicity.toxicity(docs, table(spark, d, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted", "offending")
+
+
 def op6_decontamination(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text")
     marked = decontamination.decontaminate(docs, table(spark, d, "benchmark"))
@@ -51,6 +83,15 @@ def op7_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op8_language_id(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
+    return language_id.language_id(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op9_quality_classifier(spark: SparkSession, d: str) -> DataFrame:
+    return quality_classifier.quality(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 def op10_secret_scan(spark: SparkSession, d: str) -> DataFrame:
     found = secret_scan.scan_secrets(table(spark, d, "documents").select("doc_id", "text"))
     base = secret_scan.spelled("secrets", secret_scan.BASE)
@@ -115,9 +156,13 @@ FROM m
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_quality_rules": op2_quality_rules,
+    "op3_chat_format": op3_chat_format,
     "op4_simhash": op4_simhash,
+    "op5_toxicity": op5_toxicity,
     "op6_decontamination": op6_decontamination,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_language_id": op8_language_id,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_secret_scan": op10_secret_scan,
 }
 
