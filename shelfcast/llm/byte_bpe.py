@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import struct
+from collections.abc import Sequence
 
 import regex
 import sentencepiece
@@ -106,45 +107,45 @@ class Codec:
         return b"".join([self.tokens[i] for i in ids])
 
 
-def encode_documents(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
-    """Adds ``ids``, an array of token ids, to the columns of ``docs``.
+#: What can be asked for per document.
+OUTPUTS = {
+    "ids": T.ArrayType(T.IntegerType()),
+    "n_tokens": T.LongType(),
+    "ids_sha256": T.StringType(),
+    "decoded_sha256": T.StringType(),
+}
 
-    A NULL or empty text has no ids. Vocabulary and model are read on the driver and broadcast;
-    their size is that of the vocabulary file.
-    """
-    return _coded(docs, vocabulary, pattern, digests=False)
 
+def encode_documents(
+    docs: DataFrame, vocabulary: str, pattern: str, outputs: Sequence[str] = tuple(OUTPUTS)
+) -> DataFrame:
+    """Adds ``outputs`` to the columns of ``docs``, replacing columns of such names.
 
-def encode_digests(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
-    """Adds n_tokens, ids_sha256 (little-endian unsigned 32-bit ids) and decoded_sha256.
+    ids are the token ids, n_tokens their number, ids_sha256 the digest of the ids as little-endian
+    unsigned 32-bit integers. decoded_sha256 is the digest of the bytes that the inverse mapping
+    makes of the ids. NULL and empty texts have no ids and the digests of no bytes. Repeated rows
+    are encoded alike, and an empty table gives no rows.
 
-    The ids are decoded again by the inverse mapping, and the digest is of the bytes they give.
-    NULL and empty texts have no tokens and the digests of no bytes. Repeated rows are encoded
-    alike, other columns pass through, an empty table gives no rows.
+    Vocabulary and model are read on the driver and broadcast; their size is that of the file.
     """
-    return _coded(docs, vocabulary, pattern, digests=True)
-
-
-def _coded(docs: DataFrame, vocabulary: str, pattern: str, digests: bool) -> DataFrame:
     tokens = read_ranks(vocabulary)
     shipped = docs.sparkSession.sparkContext.broadcast((model_bytes(tokens), tokens))
 
     def start():
         codec = Codec(*shipped.value, pattern)
-
-        def digest(text):
+        packed = lambda ids: struct.pack(f"<{len(ids)}I", *ids)
+        make = {
+            "ids": lambda ids: ids,
+            "n_tokens": len,
+            "ids_sha256": lambda ids: hashlib.sha256(packed(ids)).hexdigest(),
+            "decoded_sha256": lambda ids: hashlib.sha256(codec.decode(ids)).hexdigest(),
+        }
+        makers = [make[name] for name in outputs]
+
+        def one(text):
             ids = codec.encode(text or "")
-            packed = struct.pack(f"<{len(ids)}I", *ids)
-            return (
-                len(ids), hashlib.sha256(packed).hexdigest(),
-                hashlib.sha256(codec.decode(ids)).hexdigest(),
-            )
+            return tuple([m(ids) for m in makers])
 
-        one = digest if digests else lambda text: (codec.encode(text or ""),)
         return lambda texts: [one(t) for t in texts]
 
-    fields = [
-        T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
-        T.StructField("decoded_sha256", T.StringType()),
-    ] if digests else [T.StructField("ids", T.ArrayType(T.IntegerType()))]
-    return map_texts(docs, start, fields)
+    return map_texts(docs, start, [T.StructField(n, OUTPUTS[n]) for n in outputs])

@@ -79,8 +79,9 @@ def op6_decontamination(spark: SparkSession, d: str) -> DataFrame:
 
 def op7_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text")
-    coded = byte_bpe.encode_digests(docs, VOCABULARY, public_tokenizers.PATTERN)
-    return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    digests = ("n_tokens", "ids_sha256", "decoded_sha256")
+    coded = byte_bpe.encode_documents(docs, VOCABULARY, public_tokenizers.PATTERN, digests)
+    return coded.select("doc_id", *digests)
 
 
 def op8_language_id(spark: SparkSession, d: str) -> DataFrame:
