@@ -207,7 +207,9 @@ def last_scaler_asof(spark, d):
 # --- increments -------------------------------------------------------------------------------
 
 def _batch(spark, d, odd: int) -> DataFrame:
-    rows = adapters.transfusion(spark, d).filter(F.col("l_orderkey") % 2 == odd)
+    """Lines of even order keys, NULL among them, or of odd ones."""
+    part = F.coalesce(F.pmod("l_orderkey", F.lit(2)), F.lit(0))
+    rows = adapters.transfusion(spark, d).filter(part == odd)
     return daily.daily_usage(rows, adapters.UNIT_TYPE)
 
 

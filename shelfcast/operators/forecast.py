@@ -1,8 +1,9 @@
 """Three-day usage forecast: one small ridge regression per key and retrain date.
 
-All models of a backfill are fitted at once. A row is sent to each retrain whose training window
-holds it and to the one model that scores it, so a group is one window (``history`` rows) plus
-the rows up to the next retrain, and never grows with the data.
+All models of a backfill are fitted at once. Consecutive retrains form a block, and a row is sent to
+the blocks that train on it and to the one that scores it: blocks share one training window of
+``history`` rows with their neighbours, so that few rows go to two of them, and no block grows with
+the data.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from shelfcast.operators.training import (
 )
 
 Keys = Sequence[str]
+BLOCK = 50  # retrains fitted by one call, about a year of weekly ones
 
 
 def three_day_target(usage: DataFrame, keys: Keys = (), column: str = "used") -> DataFrame:
@@ -122,41 +124,40 @@ def rolling_forecast(
     smoothing: int = 7,
     penalty: float = 15.0,
 ) -> DataFrame:
-    """(date, model_date, t_pred) of every date from the first retrain with a full window on.
+    """(date, model_date, t_pred) of every date; NULL before the first retrain with a full window.
 
     ``table`` is a training table with a ``retrain`` flag. A model trains on the ``history`` rows
     before its retrain date, as far as their three-day target is known by then, and scores the
     rows from that date up to the next retrain. One pass over the table: windows tell each row
-    its models.
+    its blocks of models.
     """
     names = predictors(table, keys)
     smoothed = np.isin(names, smoothed_columns(names))
     part = "PARTITION BY " + ", ".join(f"`{k}`" for k in keys) if keys else ""
-    rows = _packed(table, names, keys).withColumn(
-        "own",
-        F.expr(
-            f"CASE WHEN {RETRAIN} AND row > {history} "
-            "THEN named_struct('row', row, 'date', date) END"
-        ),
+    so_far = f"({part} ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    fits = f"{RETRAIN} AND row > {history}"
+    rows = _packed(table, names, keys).selectExpr(
+        "*", f"coalesce({fits}, false) AS fits",
+        f"(count_if({fits}) OVER {so_far} - 1) div {BLOCK} AS at",
+        f"count_if({fits}) OVER {so_far} > 0 AS known",
     )
     uses = rows.selectExpr(
         "*",
-        f"""collect_list(own) OVER ({part} ORDER BY date
+        f"""collect_set(CASE WHEN fits THEN at END) OVER ({part} ORDER BY date
             ROWS BETWEEN 1 FOLLOWING AND {history} FOLLOWING) AS trains""",
-        f"""last(own, true) OVER ({part} ORDER BY date
-            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS scores""",
     ).selectExpr(
-        *[f"`{k}`" for k in keys], "date", "row", "x", "y3",
-        """explode(concat(transform(trains, m -> named_struct('m', m, 'train', true)),
-            filter(array(named_struct('m', scores, 'train', false)), u -> u.m IS NOT NULL))) AS u""",
+        *[f"`{k}`" for k in keys], "date", "row", "x", "y3", "fits", "at", "known",
+        "explode(array_union(trains, array(CASE WHEN known THEN at ELSE -1 END))) AS block",
     ).selectExpr(
-        *[f"`{k}`" for k in keys], "u.m.date AS model_date", "u.train", "date", "row", "x",
-        "CASE WHEN u.train AND row <= u.m.row - 3 THEN y3 END AS y3",
+        *[f"`{k}`" for k in keys], "date", "row", "x", "y3", "block",
+        "block = CASE WHEN known THEN at ELSE -1 END AS own",
+        "fits AND at = block AS fits",
     )
-    heads = [*keys, "model_date"]
+    heads = [*keys, "block"]
     schema = T.StructType(
         [
-            *[uses.schema[k] for k in heads],
+            *[uses.schema[k] for k in keys],
+            T.StructField("model_date", T.DateType()),
             T.StructField("date", T.DateType()),
             T.StructField("t_pred", T.DoubleType()),
         ]
@@ -164,10 +165,26 @@ def rolling_forecast(
 
     def fit_and_score(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("row")
-        x, train = np.stack(pdf["x"].to_numpy()), pdf["train"].to_numpy(dtype=bool)
-        window = _window_rows(x[train], smoothed, smoothing - 1)
-        intercept, coef = _fit_ridge(window, pdf["y3"].to_numpy(dtype=float)[train], penalty)
-        out = pdf.loc[~train, [*heads, "date"]]
-        return out.assign(t_pred=intercept + x[~train] @ coef)
-
-    return spread(uses, heads).groupBy(*heads).applyInPandas(fit_and_score, schema)
+        row, own = pdf["row"].to_numpy(), pdf["own"].to_numpy(dtype=bool)
+        x, y = np.stack(pdf["x"].to_numpy()), pdf["y3"].to_numpy(dtype=float)
+        starts = np.flatnonzero(pdf["fits"].to_numpy(dtype=bool))
+        out = pdf.loc[own, [*keys, "date"]].assign(model_date=None, t_pred=None)
+        if not len(starts):
+            return out
+        model_date = np.full(len(pdf), None, dtype=object)
+        t_pred = np.full(len(pdf), np.nan)
+        dates = pdf["date"].to_numpy()
+        for i, start in enumerate(starts):
+            first = row[start]
+            train = (row >= first - history) & (row < first)
+            known = np.where(row[train] <= first - 3, y[train], np.nan)
+            window = _window_rows(x[train], smoothed, smoothing - 1)
+            intercept, coef = _fit_ridge(window, known, penalty)
+            last = row[starts[i + 1]] if i + 1 < len(starts) else np.inf
+            scored = own & (row >= first) & (row < last)
+            model_date[scored] = dates[start]
+            t_pred[scored] = intercept + x[scored] @ coef
+        return out.assign(model_date=model_date[own], t_pred=t_pred[own])
+
+    done = spread(uses, heads).groupBy(*heads).applyInPandas(fit_and_score, schema)
+    return done.withColumn("t_pred", F.nanvl("t_pred", F.lit(None).cast("double")))

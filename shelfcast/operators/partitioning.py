@@ -6,18 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-TASKS_PER_CORE = 3
-
 
 def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Hash partitioning by key that keeps its partition count.
 
-    Rows are few but each group costs Python time, so partitions must not be merged by size. There
-    are a few tasks per core, at most ``spark.sql.shuffle.partitions``.
+    Rows are few but each group costs Python time, so partitions must not be merged by size. Their
+    number is ``spark.sql.shuffle.partitions``.
     """
     if not keys:
         return df
-    spark = df.sparkSession
-    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(min(most, TASKS_PER_CORE * cores), *keys)
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)

@@ -146,7 +146,8 @@ ages as (
 def batch(odd: int) -> str:
     return f"""batch{odd} as (
   select cast(l_shipdate as date) as date, count(*) as used
-  from lineitem where l_returnflag = 'R' and l_orderkey % 2 = {odd} group by 1)"""
+  from lineitem
+  where l_returnflag = 'R' and coalesce(abs(l_orderkey % 2), 0) = {odd} group by 1)"""
 
 
 ACCUMULATED = """accumulated as (

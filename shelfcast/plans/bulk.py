@@ -70,41 +70,45 @@ def process_inventory(rows: DataFrame, date: str | None = None) -> Processed:
 def process_all_labs(
     spark: SparkSession, folder: str, rules: Sequence[LabRule] = DEFAULT_RULES,
     report_folder: str | None = None, pattern: str | None = None, dedupe: str = "values",
+    feed: feeds.Feed = feeds.LABS,
 ) -> DataFrame:
-    rows = checked(spark, folder, feeds.LABS, pattern, rules)
+    rows = checked(spark, folder, feed, pattern, rules)
     return finish(process_labs(rows, rules, dedupe), report_folder)
 
 
 def process_all_census(
     spark: SparkSession, folder: str, wards: Sequence[str] = DEFAULT_WARDS,
     report_folder: str | None = None, pattern: str | None = None,
+    feed: feeds.Feed = feeds.CENSUS,
 ) -> DataFrame:
     """One row per date, one column per configured ward."""
-    rows = checked(spark, folder, feeds.CENSUS, pattern)
+    rows = checked(spark, folder, feed, pattern)
     return daily.census_wide(finish(process_census(rows), report_folder), wards)
 
 
 def process_all_transfusion(
-    spark: SparkSession, folder: str, report_folder: str | None = None, pattern: str | None = None
+    spark: SparkSession, folder: str, report_folder: str | None = None,
+    pattern: str | None = None, feed: feeds.Feed = feeds.TRANSFUSION,
 ) -> DataFrame:
-    rows = checked(spark, folder, feeds.TRANSFUSION, pattern)
+    rows = checked(spark, folder, feed, pattern)
     return finish(process_transfusion(rows), report_folder)
 
 
 def process_all_inventory(
-    spark: SparkSession, folder: str, report_folder: str | None = None, pattern: str | None = None
+    spark: SparkSession, folder: str, report_folder: str | None = None,
+    pattern: str | None = None, feed: feeds.Feed = feeds.INVENTORY,
 ) -> DataFrame:
-    rows = checked(spark, folder, feeds.INVENTORY, pattern)
+    rows = checked(spark, folder, feed, pattern)
     return finish(process_inventory(rows), report_folder)
 
 
 def bad_stamp(feed: feeds.Feed, rules: Sequence[LabRule] = DEFAULT_RULES) -> Column:
     """True for rows without the time stamp the feed must have; labs need it for configured names."""
-    if feed is feeds.LABS:
+    if feed.name == feeds.LABS.name:
         return F.col("result_time").isNull() & F.col("base_name").isin(rule_names(rules))
-    if feed is feeds.CENSUS:
+    if feed.name == feeds.CENSUS.name:
         return F.col("location_time").isNull()
-    if feed is feeds.TRANSFUSION:
+    if feed.name == feeds.TRANSFUSION.name:
         return F.col("issue_time").isNull()
     return F.lit(False)
 

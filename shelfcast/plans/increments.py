@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfcast.operators import daily, forecast, labs, runs, training
@@ -23,17 +23,26 @@ def seed(
     report_folder: str | None = None,
 ) -> None:
     """Start the state from all historical files of a folder."""
-    history = bulk.process_all_labs(spark, folder, params.rules, report_folder)
+    feed = {f.name: f for f in params.feeds}
+    store.open_days(spark, state, [as_of])
+    history = bulk.process_all_labs(
+        spark, folder, params.rules, report_folder, feed=feed[feeds.LABS.name]
+    )
     # Sorted by date, so that a later read of recent days skips most row groups.
     history = history.repartitionByRange("date", "base_name", "lab_value").sortWithinPartitions(
         "date"
     )
     store.write_day(history, state, "labs", as_of)
-    rows = bulk.checked(spark, folder, feeds.CENSUS)
+    rows = bulk.checked(spark, folder, feed[feeds.CENSUS.name])
     census = bulk.finish(bulk.process_census(rows), report_folder)
     store.write_day(census, state, "census", as_of)
-    usage = bulk.process_all_transfusion(spark, folder, report_folder)
+    usage = bulk.process_all_transfusion(
+        spark, folder, report_folder, feed=feed[feeds.TRANSFUSION.name]
+    )
     store.write_day(usage, state, "usage", as_of)
+    last = store.read_day(spark, state, "usage", as_of).agg(F.max("date").alias("date"))
+    day = last.withColumn("as_of", F.lit(as_of).cast("date"))
+    store.write_day(store.plain_lines(day, "seed"), state, "runs", as_of)
 
 
 def process_days(
@@ -45,10 +54,12 @@ def process_days(
     Every day needs one lab, one census and one transfusion file, and at most one inventory file.
     """
     checks.require_empty(
-        checks.file_cardinality_violations(spark, folder, dates), "Too few or too many files"
+        checks.file_cardinality_violations(spark, folder, dates, params.feeds),
+        "Days without their one file of a feed",
     )
+    by_name = {f.name: f for f in params.feeds}
     rows = {}
-    for feed in feeds.FEEDS.values():
+    for feed in params.feeds:
         rows[feed.name] = feeds.read_feed_for_dates(spark, folder, feed, dates)
         pattern = feed.daily_pattern("(" + "|".join(dates) + ")")
         bulk.check_rows(spark, folder, feed, rows[feed.name], pattern, params.rules)
@@ -60,7 +71,7 @@ def process_days(
             bulk.process_inventory(rows["inventory"]),
         ):
             reports.save_reports(done.reports, report_folder)
-    return dict(clean_increment(feeds.FEEDS[name], df, params) for name, df in rows.items())
+    return dict(clean_increment(by_name[name], df, params) for name, df in rows.items())
 
 
 def clean_increment(
@@ -70,11 +81,11 @@ def clean_increment(
 
     Equal lab values collapse within a day's increment, not across increments.
     """
-    if feed is feeds.LABS:
+    if feed.name == feeds.LABS.name:
         return "labs", bulk.lab_series(rows, params.rules, AS_OF)
-    if feed is feeds.CENSUS:
+    if feed.name == feeds.CENSUS.name:
         return "census", daily.census_counts(rows, AS_OF)
-    if feed is feeds.TRANSFUSION:
+    if feed.name == feeds.TRANSFUSION.name:
         return "usage", daily.daily_usage(rows, keys=AS_OF)
     return "inventory", daily.inventory_buckets(feeds.dated_inventory(rows), keys=AS_OF)
 
@@ -92,17 +103,17 @@ def several_dates(increments: Sequence[DataFrame]) -> DataFrame:
 
 
 def state_table(
-    spark: SparkSession, state: str, params: Params, until: str | None = None,
-    also: str | None = None, last_rows: int | None = None,
+    spark: SparkSession, state: str, params: Params, until: str,
+    also: Sequence[str] = (), last_rows: int | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(training table, usage, incomplete dates) of the accumulated state.
+    """(training table, usage, incomplete dates) of the state up to ``until`` and the days ``also``.
 
     With ``last_rows`` the series are cut to that many usage dates *before* smoothing; labs and
     census are read from the first of these dates on only.
     """
 
     def read(table: str) -> DataFrame:
-        return store.read_table(spark, state, table, until=until, also=also)
+        return store.read_committed(spark, state, table, until, also)
 
     usage = daily.accumulate([read("usage").drop("as_of")])
     lab_rows, census_rows = read("labs"), read("census")
@@ -131,6 +142,7 @@ def predict_for_date(
     prev_day = prev_day or str(day - dt.timedelta(days=1))
     gap = (day - dt.date.fromisoformat(prev_day)).days
     store.require_day(spark, state, prev_day)
+    store.open_days(spark, state, [date])
 
     increments = process_days(spark, folder, [date], params, report_folder)
     for table, df in increments.items():
@@ -139,7 +151,7 @@ def predict_for_date(
     multi_date = several_dates(written).agg(F.max("multi_date")).first()[0]
 
     table, usage, incomplete = state_table(
-        spark, state, params, prev_day, date, params.history_window + 1
+        spark, state, params, prev_day, [date], params.history_window + 1
     )
     table = table.persist()  # one row per day of the window
     try:
@@ -153,7 +165,7 @@ def predict_for_date(
 def _require_complete(table: DataFrame, usage: DataFrame, incomplete: DataFrame) -> None:
     """Every usage date must be in the training table; the gaps are listed only if there are any."""
     if table.count() != usage.count():
-        checks.require_empty(incomplete, "Missing data for some dates")
+        checks.require_empty(incomplete, "Usage dates that another feed lacks")
 
 
 def _retrain_and_score(
@@ -211,67 +223,144 @@ def backfill(
     spark: SparkSession, folder: str, state: str, dates: Sequence[str], params: Params = Params(),
     report_folder: str | None = None,
 ) -> DataFrame:
-    """All days of a range after the seed in one job: (as_of, date, t_pred).
+    """All days of a range after a complete day, seed or run: (as_of, date, t_pred).
 
-    Writes the increments, then forecasts every day from windows over the whole series instead of
-    looping. Where no late rows arrive the result equals that of day-by-day runs; late rows are
-    seen by all days, not only by those after their arrival. Daily runs can go on from the last
-    day.
+    The result equals that of day-by-day runs. Files are read once for all days; then stretches of
+    days are forecast together, from windows over the whole series. A day with late rows, or with
+    no new usage date, starts a new stretch, so that no forecast sees what came in after its day.
+    Each stretch is complete by itself, and daily runs can go on from the last day.
     """
-    first_day, last_day = min(dates), max(dates)
-    before = store.latest_day(spark, state, before=first_day)
+    dates = sorted(dates)
+    before = store.latest_day(spark, state, before=dates[0])
     if before is None:
-        raise store.StateError(f"No state before {first_day}")
-    if store.read_day(spark, state, "runs", before).take(1):
-        raise store.StateError("A backfill starts from a seed, not from earlier runs")
-    gap = (dt.date.fromisoformat(first_day) - dt.date.fromisoformat(before)).days
-
+        raise store.StateError(f"The state has no complete day before {dates[0]}")
+    store.open_days(spark, state, dates)
     increments = process_days(spark, folder, dates, params, report_folder)
     for name, df in increments.items():
-        store.write_days(df, state, name)
-    table, usage, incomplete = state_table(spark, state, params, last_day)
-    _require_complete(table, usage, incomplete)
-
-    log = _run_log(spark, state, dates, params, gap)
-    store.write_days(log, state, "runs")
-    log = _of_days(store.read_table(spark, state, "runs"), dates)
-    flagged = table.join(log.select("date", training.RETRAIN), "date", "left")
-    predicted = forecast.rolling_forecast(
-        flagged, (), params.history_window, params.smoothing, params.penalty_factor
-    ).select("date", "t_pred")
-    store.write_days(log.select("as_of", "date").join(predicted, "date", "left"), state, "prediction")
-
-    fitted = str(log.filter(training.RETRAIN).agg(F.max("as_of")).first()[0])
-    cut, _, _ = state_table(spark, state, params, fitted, last_rows=params.history_window + 1)
-    _fit(cut, state, last_day, params)
-    return _of_days(store.read_table(spark, state, "prediction"), dates).select(
+        store.write_days(df, state, name, dates)
+    for days in _stretches(spark, state, dates, before):
+        _backfill_stretch(spark, state, days, before, params)
+        before = days[-1]
+    return store.of_days(store.read_table(spark, state, "prediction"), dates).select(
         "as_of", "date", "t_pred"
     )
 
 
-def _of_days(df: DataFrame, dates: Sequence[str]) -> DataFrame:
-    return df.filter(F.col("as_of").isin([dt.date.fromisoformat(d) for d in dates]))
+def _stretches(
+    spark: SparkSession, state: str, dates: Sequence[str], before: str
+) -> list[list[str]]:
+    """The days cut where an increment reaches back, or brings no usage of a later date.
+
+    Only the first and last date of each day's increments come to the driver.
+    """
+    parts: list[list[str]] = []
+    known, reach = {}, {}
+    for table in ("labs", "census", "usage"):
+        old = store.read_committed(spark, state, table, before)
+        known[table] = old.agg(F.max("date")).first()[0]
+        new = store.of_days(store.read_table(spark, state, table), dates)
+        reach[table] = {
+            str(r["as_of"]): (r["first"], r["last"])
+            for r in new.groupBy("as_of").agg(
+                F.min("date").alias("first"), F.max("date").alias("last")
+            ).collect()
+        }
+    for day in dates:
+        late, grown = False, False
+        for table in reach:
+            first, last = reach[table].get(day, (None, None))
+            if last is None:
+                continue
+            late |= known[table] is not None and first <= known[table]
+            if known[table] is None or last > known[table]:
+                known[table] = last
+                grown |= table == "usage"
+        if parts and not late and grown:
+            parts[-1].append(day)
+        else:
+            parts.append([day])
+    return parts
+
+
+def _backfill_stretch(
+    spark: SparkSession, state: str, days: Sequence[str], before: str, params: Params
+) -> None:
+    """Forecast, model and run lines of days whose increments are written; the lines come last."""
+    last_day = days[-1]
+    prior = store.read_day(spark, state, "runs", before).first()
+    table, usage, incomplete = state_table(spark, state, params, before, days)
+    _require_complete(table, usage, incomplete)
+
+    log = _run_log(spark, state, days, params, before, prior).persist()  # one row per day
+    try:
+        flagged = table.join(log.select("date", training.RETRAIN), "date", "left")
+        fresh = forecast.rolling_forecast(
+            flagged, (), params.history_window, params.smoothing, params.penalty_factor
+        ).select("date", "model_date", "t_pred")
+        predicted = log.select("as_of", "date").join(fresh, "date", "left")
+        if prior["age_after"] is None:
+            predicted = predicted.select("as_of", "date", "t_pred")
+        else:
+            model = store.read_day(spark, state, "model", before)
+            carried = forecast.score(
+                table.join(log.select("date"), "date", "left_semi"), model
+            ).withColumnRenamed("t_pred", "t_old")
+            predicted = predicted.join(carried, "date", "left").select(
+                "as_of", "date",
+                F.when(F.col("model_date").isNotNull(), F.col("t_pred"))
+                .otherwise(F.col("t_old")).alias("t_pred"),
+            )
+        store.write_days(predicted, state, "prediction", days)
+
+        fitted = log.filter(training.RETRAIN).agg(F.max("as_of")).first()[0]
+        if fitted is None:
+            for kind in ("scaler", "model"):
+                store.write_day(store.read_day(spark, state, kind, before), state, kind, last_day)
+        else:
+            seen = [d for d in days if d <= str(fitted)]
+            cut, _, _ = state_table(spark, state, params, before, seen, params.history_window + 1)
+            _fit(cut, state, last_day, params)
+        store.write_days(log, state, "runs", days)
+    finally:
+        log.unpersist()
 
 
 def _run_log(
-    spark: SparkSession, state: str, dates: Sequence[str], params: Params, first_gap: int
+    spark: SparkSession, state: str, days: Sequence[str], params: Params, before: str, prior: Row
 ) -> DataFrame:
-    """The run-log lines of a range of days, each about the last data date of its increment."""
+    """The lines of ``runs`` of a stretch, each about the last usage date known on its day."""
     written = {
-        t: _of_days(store.read_table(spark, state, t), dates) for t in ("labs", "census", "usage")
+        t: store.of_days(store.read_table(spark, state, t), days)
+        for t in ("labs", "census", "usage")
     }
+    dates = written["usage"].groupBy("as_of").agg(F.max("date").alias("data_date"))
     config = {c: F.lit(float(getattr(params, c))) for c in MODEL_FIELDS}
-    days = (
-        written["usage"].groupBy(F.col("as_of").alias("date"))
-        .agg(F.max("date").alias("data_date"))
-        .join(several_dates(list(written.values())).withColumnRenamed("as_of", "date"), "date")
+    lines = (
+        spark.createDataFrame([(dt.date.fromisoformat(d),) for d in days], "as_of date")
+        .join(dates, "as_of", "left")
+        .join(several_dates(list(written.values())), "as_of", "left")
+        .withColumnRenamed("as_of", "date")
+        .withColumns(config)
     )
-    gaps = runs.run_gaps(days, first=first_gap).withColumn("days_since", F.col("gap"))
-    return runs.model_age(gaps.withColumns(config)).select(
-        F.col("date").alias("as_of"), F.col("data_date").alias("date"),
-        F.col("days_since").alias("gap"), "age_before",
-        (F.coalesce("age_before", F.lit(0)) + F.col("days_since")).alias("age_after"),
-        "retrain", "reason", *[v.alias(c) for c, v in config.items()],
+    gap = (dt.date.fromisoformat(days[0]) - dt.date.fromisoformat(before)).days
+    if prior["age_after"] is not None:
+        # The earlier runs as one line: their age is its gap, their parameters are the last ones.
+        gap = prior["age_after"]
+        earlier = [dt.date.fromisoformat(before), None, False, *[prior[c] for c in MODEL_FIELDS]]
+        lines = lines.unionByName(spark.createDataFrame([tuple(earlier)], lines.schema))
+    gaps = runs.run_gaps(lines, first=gap).withColumn("days_since", F.col("gap"))
+    latest = Window.orderBy("as_of").rowsBetween(Window.unboundedPreceding, 0)
+    known = F.max("data_date").over(latest)
+    aged = runs.model_age(gaps).withColumnRenamed("date", "as_of")
+    return (
+        aged.withColumns(config)
+        .select(
+            "as_of", F.greatest(known, F.lit(prior["date"])).alias("date"),
+            F.col("days_since").cast("int").alias("gap"), "age_before",
+            (F.coalesce("age_before", F.lit(0)) + F.col("days_since")).alias("age_after"),
+            "retrain", "reason", *config,
+        )
+        .filter(F.col("as_of") > F.lit(before).cast("date"))
     )
 
 
@@ -279,11 +368,16 @@ def usage_and_prediction(
     spark: SparkSession, state: str, start: str, end: str
 ) -> DataFrame:
     """(date, plt_used, t_pred) of every day of a range, from the latest state."""
-    usage = daily.accumulate([store.read_table(spark, state, "usage").drop("as_of")])
-    prediction = store.read_table(spark, state, "prediction").drop("as_of")
+    usage = daily.accumulate([store.read_committed(spark, state, "usage").drop("as_of")])
+    prediction = _latest_prediction(store.read_committed(spark, state, "prediction"))
     return reporting.prediction_vs_usage(usage, prediction, start, end)
 
 
+def _latest_prediction(prediction: DataFrame) -> DataFrame:
+    """One forecast per date: the last one made, where a day brought no later usage."""
+    return prediction.groupBy("date").agg(F.max_by("t_pred", "as_of").alias("t_pred"))
+
+
 def report_from_state(
     spark: SparkSession, state: str, start: str, end: str, params: Params = Params(),
     offset: int | None = None, min_inventory: float | None = None,
@@ -291,7 +385,7 @@ def report_from_state(
 ) -> DataFrame:
     """Ordering report of a date range from the latest state, optionally saved."""
     days = usage_and_prediction(spark, state, start, end)
-    inventory = store.read_table(spark, state, "inventory").drop("as_of")
+    inventory = store.read_committed(spark, state, "inventory").drop("as_of")
     report = reporting.prediction_report(days, inventory, params, (), offset, min_inventory)
     if report_folder is not None:
         date = report_date or str(dt.date.today())

@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from shelfcast.sources.feeds import FEEDS, Feed
+
 
 @dataclass(frozen=True)
 class LabRule:
@@ -82,6 +84,7 @@ class Params:
     smoothing: int = 7
     rules: Sequence[LabRule] = field(default=DEFAULT_RULES, repr=False)
     wards: Sequence[str] = field(default=DEFAULT_WARDS, repr=False)
+    feeds: Sequence[Feed] = field(default=tuple(FEEDS.values()), repr=False)
 
     def __post_init__(self) -> None:
         if len(self.initial_collection) != 3 or min(self.initial_collection) < 0:

@@ -48,7 +48,10 @@ def file_problems(
     )
 
 
-def file_counts(spark: SparkSession, folder: str, dates: Sequence[str] | None = None) -> DataFrame:
+def file_counts(
+    spark: SparkSession, folder: str, dates: Sequence[str] | None = None,
+    wanted_feeds: Sequence[Feed] = tuple(FEEDS.values()),
+) -> DataFrame:
     """(feed, date, n_files) of the daily files; with ``dates``, days without a file count 0."""
     files = feeds.list_files(spark, folder)
 
@@ -58,21 +61,22 @@ def file_counts(spark: SparkSession, folder: str, dates: Sequence[str] | None =
             F.col("date").isNotNull()
         )
 
-    found = reduce(DataFrame.unionByName, [of(f) for f in FEEDS.values()])
+    found = reduce(DataFrame.unionByName, [of(f) for f in wanted_feeds])
     found = found.groupBy("feed", "date").agg(F.countDistinct("file_name").alias("n_files"))
     if dates is None:
         return found
     wanted = spark.createDataFrame(
-        [(f, d) for f in FEEDS for d in dates], "feed string, date string"
+        [(f.name, d) for f in wanted_feeds for d in dates], "feed string, date string"
     ).withColumn("date", F.col("date").cast("date"))
     return wanted.join(found, ["feed", "date"], "left").fillna(0, ["n_files"])
 
 
 def file_cardinality_violations(
-    spark: SparkSession, folder: str, dates: Sequence[str]
+    spark: SparkSession, folder: str, dates: Sequence[str],
+    wanted_feeds: Sequence[Feed] = tuple(FEEDS.values()),
 ) -> DataFrame:
     """Days with too few or too many files of a feed."""
-    counts = file_counts(spark, folder, dates)
+    counts = file_counts(spark, folder, dates, wanted_feeds)
     allowed = reduce(
         lambda acc, kv: acc | ((F.col("feed") == kv[0]) & F.col("n_files").between(*kv[1])),
         FILES_PER_DAY.items(),

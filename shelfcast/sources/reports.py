@@ -1,4 +1,4 @@
-"""Report tables: one per sheet, partitioned by report date."""
+"""Report tables: one per sheet, partitioned by report date and report name."""
 
 from __future__ import annotations
 
@@ -18,15 +18,15 @@ def of_file(df: DataFrame) -> DataFrame:
 
 
 def save_reports(sheets: Mapping[str, DataFrame], folder: str, format: str = "parquet") -> None:
-    """Write every sheet; dates written before are replaced, other dates stay."""
+    """Write every sheet. A report replaces its own earlier version only, also if it has no date."""
     for sheet, df in sheets.items():
         (
-            df.hint("rebalance", "report_date")
+            df.hint("rebalance", "report_date", "report")
             .write.format(format)
             .mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .option("header", "true")
-            .partitionBy("report_date")
+            .partitionBy("report_date", "report")
             .save(f"{folder}/{sheet}")
         )
 

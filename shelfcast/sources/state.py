@@ -1,12 +1,15 @@
 """Durable state: one Parquet table per kind of data, partitioned by the day of the increment.
 
 State as of a day is every increment up to that day. A run replaces its own partition and no
-other, so repeating a run changes nothing.
+other, so repeating a run changes nothing. A day counts once its line in ``runs`` is there: the line
+is taken away before a day is written and comes back as the last step, so what a broken run leaves
+behind is not read.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -37,11 +40,12 @@ def write_day(df: DataFrame, state: str, table: str, as_of: str) -> None:
     df.drop("as_of").write.mode("overwrite").parquet(f"{state}/{table}/as_of={as_of}")
 
 
-def write_days(df: DataFrame, state: str, table: str) -> None:
-    """Replace the partitions of all days in ``df``, which has ``as_of``.
+def write_days(df: DataFrame, state: str, table: str, days: Sequence[str]) -> None:
+    """Replace the partitions of ``days``, also of those that ``df`` (with ``as_of``) has no rows of.
 
     The rebalance gives each day few files and still splits a day that is too large for one task.
     """
+    clear_days(df.sparkSession, state, table, days)
     (
         df.hint("rebalance", "as_of")
         .write.mode("overwrite")
@@ -51,23 +55,50 @@ def write_days(df: DataFrame, state: str, table: str) -> None:
     )
 
 
-def read_table(
-    spark: SparkSession, state: str, table: str, until: str | None = None, also: str | None = None
-) -> DataFrame:
-    """A state table with ``as_of``; ``until`` prunes later days, except the day ``also``."""
+def clear_days(spark: SparkSession, state: str, table: str, days: Sequence[str]) -> None:
+    """Leave no row of ``days`` in a table."""
+    stored = of_days(read_table(spark, state, table), days).select("as_of").distinct().collect()
+    for day in stored:
+        write_day(spark.createDataFrame([], TABLES[table]), state, table, str(day["as_of"]))
+
+
+def of_days(df: DataFrame, days: Sequence[str]) -> DataFrame:
+    return df.filter(F.col("as_of").isin([dt.date.fromisoformat(d) for d in days]))
+
+
+def open_days(spark: SparkSession, state: str, days: Sequence[str]) -> None:
+    """Take back the days' lines in ``runs`` before their increments are written."""
+    clear_days(spark, state, "runs", days)
+
+
+def read_table(spark: SparkSession, state: str, table: str) -> DataFrame:
+    """A state table with ``as_of``, days without a line in ``runs`` among it."""
     schema = f"{TABLES[table]}, as_of date"
     try:
-        df = spark.read.schema(schema).parquet(f"{state}/{table}")
+        return spark.read.schema(schema).parquet(f"{state}/{table}")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
-    if until is None:
-        return df
-    days = [F.col("as_of") <= F.lit(until).cast("date")]
-    if also is not None:
-        days.append(F.col("as_of") == F.lit(also).cast("date"))
-    return df.filter(reduce(lambda a, b: a | b, days))
+
+
+def read_committed(
+    spark: SparkSession, state: str, table: str, until: str | None = None,
+    also: Sequence[str] = (),
+) -> DataFrame:
+    """Rows of the days that have their line in ``runs``, up to ``until``, and of the days ``also``.
+
+    The lines are one per day of operation, so they are broadcast.
+    """
+    df, done = read_table(spark, state, table), read_table(spark, state, "runs").select("as_of")
+    if until is not None:
+        done = done.filter(F.col("as_of") <= F.lit(until).cast("date"))
+        last = max([until, *also])
+        df = df.filter(F.col("as_of") <= F.lit(last).cast("date"))
+    if also:
+        more = spark.createDataFrame([(dt.date.fromisoformat(d),) for d in also], "as_of date")
+        done = done.unionByName(more)
+    return df.join(F.broadcast(done.distinct()), "as_of", "left_semi")
 
 
 def read_day(spark: SparkSession, state: str, table: str, day: str) -> DataFrame:
@@ -75,17 +106,25 @@ def read_day(spark: SparkSession, state: str, table: str, day: str) -> DataFrame
     return read_table(spark, state, table).filter(F.col("as_of") == F.lit(day).cast("date"))
 
 
-def latest_day(
-    spark: SparkSession, state: str, table: str = "usage", before: str | None = None
-) -> str | None:
-    """Last day with rows in the table, optionally before a given one."""
-    days = read_table(spark, state, table)
+def latest_day(spark: SparkSession, state: str, before: str | None = None) -> str | None:
+    """Last day that is complete, optionally before a given one."""
+    days = read_table(spark, state, "runs")
     if before is not None:
         days = days.filter(F.col("as_of") < F.lit(before).cast("date"))
     newest = days.agg(F.max("as_of")).first()[0]
     return None if newest is None else str(newest)
 
 
-def require_day(spark: SparkSession, state: str, day: str, table: str = "usage") -> None:
-    if not read_day(spark, state, table, day).take(1):
-        raise StateError(f"No state for {day}")
+def require_day(spark: SparkSession, state: str, day: str) -> None:
+    if not read_day(spark, state, "runs", day).take(1):
+        raise StateError(f"The state has no complete day {day}")
+
+
+def plain_lines(days: DataFrame, reason: str) -> DataFrame:
+    """Lines of ``runs`` for days (as_of, date) on which no model was at work."""
+    nothing = {"gap": "int", "age_before": "bigint", "age_after": "bigint"}
+    return days.select(
+        "as_of", "date", *[F.lit(None).cast(kind).alias(c) for c, kind in nothing.items()],
+        F.lit(False).alias("retrain"), F.lit(reason).alias("reason"),
+        *[F.lit(None).cast("double").alias(c) for c in MODEL_FIELDS],
+    )

@@ -29,13 +29,13 @@ def writer(
         rows = feeds.with_as_of(batch, feed).persist()
         try:
             days = rows.select(F.col("as_of").alias("date")).distinct()
-            counts = checks.file_counts(spark, folder).filter(F.col("feed") == feed.name)
+            counts = checks.file_counts(spark, folder, wanted_feeds=[feed])
             repeated = counts.filter("n_files > 1").join(days, "date", "left_semi")
             checks.require_empty(repeated, f"Several {feed.name} files for a day")
             bad = rows.filter(bulk.bad_stamp(feed, params.rules)).select("file_name")
             checks.require_empty(bad, f"Bad time stamps in {feed.name} files")
             table, increment = clean_increment(feed, rows, params)
-            store.write_days(increment, state, table)
+            store.write_days(increment, state, table, [str(d["date"]) for d in days.collect()])
         finally:
             rows.unpersist()
 
@@ -54,5 +54,26 @@ def ingest(
         .option("checkpointLocation", f"{checkpoint}/{feed.name}")
         .trigger(availableNow=True)
         .start()
-        for feed in feeds.FEEDS.values()
+        for feed in params.feeds
     ]
+
+
+def close_days(spark: SparkSession, state: str) -> None:
+    """Give the ingested days whose three required feeds are there their line in ``runs``.
+
+    From then on they are part of the state. No forecast was made on them, so the next run fits
+    anew.
+    """
+    days = [
+        store.read_table(spark, state, t).groupBy("as_of").agg(F.max("date").alias("date"))
+        for t in ("usage", "labs", "census")
+    ]
+    whole = days[0].join(days[1].select("as_of"), "as_of").join(days[2].select("as_of"), "as_of")
+    done = store.read_table(spark, state, "runs").select("as_of")
+    lines = store.plain_lines(whole.join(done, "as_of", "left_anti"), "ingested").persist()
+    try:
+        new = [str(r["as_of"]) for r in lines.select("as_of").collect()]
+        if new:
+            store.write_days(lines, state, "runs", new)
+    finally:
+        lines.unpersist()

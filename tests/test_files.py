@@ -183,3 +183,16 @@ def test_columnar_feeds(spark, folder, tmp_path):
 def test_single_file_scan(spark, folder):
     one = feeds.read_feed(spark, f"{folder}/{ff.CENSUS % '2018-04-11'}", feeds.CENSUS)
     assert rows(bulk.process_census(one).data, "date", "ward", "n") == [(D9, "B1", 1)]
+
+
+def test_reports_of_several_runs_stay(spark, tmp_path):
+    """Without a date, with the same date, and again with other rows."""
+    schema = "file_name string, n int"
+    for name, n in (("CBC_2017.txt", 1), ("CBC_2018.txt", 2), ("a2018-04-10.txt", 3),
+                    ("b2018-04-10.txt", 4), ("CBC_2018.txt", 5)):
+        sheet = reports.of_file(spark.createDataFrame([(f"/x/{name}", n)], schema))
+        reports.save_reports({"sheet": sheet}, str(tmp_path))
+    got = rows(spark.read.parquet(f"{tmp_path}/sheet"), "report", "n")
+    assert got == [("CBC_2017-summary", 1), ("CBC_2018-summary", 5), ("a2018-04-10-summary", 3),
+                   ("b2018-04-10-summary", 4)]
+    assert rows(reports.read_report(spark, str(tmp_path), "sheet", "2018-04-10"), "n") == [(4,)]

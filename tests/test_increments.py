@@ -1,5 +1,6 @@
 """Seed, daily runs, backfill and streaming on generated daily files."""
 
+import dataclasses
 import datetime as dt
 import math
 
@@ -8,7 +9,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from shelfcast.plans import increments
+from shelfcast.plans import bulk, increments
 from shelfcast.settings import Params, constant_rule, quantile_rule
 from shelfcast.sources import checks, feeds
 from shelfcast.sources import state as store
@@ -31,24 +32,25 @@ def used_on(i: int) -> int:
     return 3 + (i * 7) % 5 + i % 3
 
 
-def write_day(folder, i: int, late: int = 0) -> str:
+def write_day(folder, i: int, late: int = 0, kind: str = "PLT", names=None) -> str:
     """Files named for the day after data day ``i``; ``late`` units belong to the day before."""
+    names = names or (ff.CBC, ff.CENSUS, ff.ISSUES, ff.STOCK)
     day, as_of = FIRST + dt.timedelta(days=i), str(FIRST + dt.timedelta(days=i + 1))
     stamp, slash = day.strftime("%d-%b-%y"), day.strftime("%m/%d/%Y")
-    ff.write(folder, ff.CBC % as_of, feeds.LABS, [
+    ff.write(folder, names[0] % as_of, feeds.LABS, [
         ff.lab(f"{stamp} 08:0{k}:00", name, str(base + (i * k) % 9 + k))
         for k in range(1, 6) for name, base in (("HGB", 6), ("PLT", 145))
     ])
-    ff.write(folder, ff.CENSUS % as_of, feeds.CENSUS, [
+    ff.write(folder, names[1] % as_of, feeds.CENSUS, [
         ff.stay(f"{slash}  11:59:00PM", ward)
         for ward, n in (("B1", 2 + i % 4), ("C2", 1 + (i * 5) % 7)) for _ in range(n)
     ])
     before = (day - dt.timedelta(days=1)).strftime("%m/%d/%Y")
-    ff.write(folder, ff.ISSUES % as_of, feeds.TRANSFUSION, [
-        *[ff.issue(f"{slash}  08:00:00 AM")] * used_on(i),
+    ff.write(folder, names[2] % as_of, feeds.TRANSFUSION, [
+        *[ff.issue(f"{slash}  08:00:00 AM", kind)] * used_on(i),
         *[ff.issue(f"{before}  08:00:00 AM")] * late,
     ])
-    ff.write(folder, ff.STOCK % as_of, feeds.INVENTORY, [ff.unit("0.5"), ff.unit("3")])
+    ff.write(folder, names[3] % as_of, feeds.INVENTORY, [ff.unit("0.5"), ff.unit("3")])
     return as_of
 
 
@@ -77,6 +79,7 @@ def test_daily_runs(spark, folders, daily_state):
     assert [str(p.date + dt.timedelta(days=1)) for p in predicted] == days
     assert all(math.isfinite(p.t_pred) for p in predicted)
     log = rows(store.read_table(spark, state, "runs"), "as_of", "age_before", "retrain", "reason")
+    assert log.pop(0)[1:] == (None, False, "seed")
     assert [r[1] for r in log] == [None, 1, 2, 3, 4, 5, 6, 7]
     assert [r[3] for r in log] == ["first", None, None, "stale", None, None, "stale", None]
     usage = store.read_table(spark, state, "usage").groupBy("date").agg(F.sum("used"))
@@ -101,12 +104,7 @@ def test_repeating_a_run_changes_nothing(spark, folders, daily_state):
     assert store.read_table(spark, state, "usage").count() == SEED_DAYS + RUN_DAYS
 
 
-def test_backfill_equals_daily_runs(spark, folders, daily_state, tmp_path):
-    old, new, seed_day, days = folders
-    daily, predicted = daily_state
-    state = str(tmp_path)
-    increments.seed(spark, old, state, seed_day, PARAMS)
-    got = rows(increments.backfill(spark, new, state, days, PARAMS))
+def same_state(spark, state, daily, days, predicted, got):
     assert [(str(a), d) for a, d, _ in got] == [(d, p.date) for d, p in zip(days, predicted)]
     assert [t for _, _, t in got] == pytest.approx([p.t_pred for p in predicted], abs=1e-9)
     for table in ("runs", "usage", "census", "labs", "inventory"):
@@ -122,6 +120,83 @@ def test_backfill_equals_daily_runs(spark, folders, daily_state, tmp_path):
         assert ours == pytest.approx(theirs, abs=1e-9)
 
 
+def test_backfill_equals_daily_runs(spark, folders, daily_state, tmp_path):
+    """In one go, and in two with the second going on from the first one's runs."""
+    old, new, seed_day, days = folders
+    daily, predicted = daily_state
+    for name, cuts in (("one", [days]), ("two", [days[:3], days[3:]])):
+        state = str(tmp_path / name)
+        increments.seed(spark, old, state, seed_day, PARAMS)
+        got = []
+        for part in cuts:
+            got += rows(increments.backfill(spark, new, state, part, PARAMS))
+        same_state(spark, state, daily, days, predicted, got)
+
+
+def test_backfill_with_late_rows_and_a_day_without_units(spark, folders, tmp_path, tmp_path_factory):
+    old, _, seed_day, _ = folders
+    new = str(tmp_path_factory.mktemp("uneven"))
+    late, kind = {2: 3}, {4: "RBC"}
+    days = [
+        write_day(tmp_path_factory.getbasetemp() / new, SEED_DAYS + i, late.get(i, 0), kind.get(i, "PLT"))
+        for i in range(6)
+    ]
+    states = [str(tmp_path / n) for n in ("daily", "range")]
+    for state in states:
+        increments.seed(spark, old, state, seed_day, PARAMS)
+    predicted = [increments.predict_for_date(spark, new, states[0], d, PARAMS).first() for d in days]
+    assert predicted[4].date == predicted[3].date
+    got = rows(increments.backfill(spark, new, states[1], days, PARAMS))
+    same_state(spark, states[1], states[0], days, predicted, got)
+
+
+def test_broken_run_leaves_no_complete_day(spark, folders, tmp_path, monkeypatch):
+    old, new, seed_day, days = folders
+    state = str(tmp_path)
+    increments.seed(spark, old, state, seed_day, PARAMS)
+    increments.predict_for_date(spark, new, state, days[0], PARAMS)
+    with monkeypatch.context() as m, pytest.raises(RuntimeError, match="broken"):
+        def fail(*_):
+            raise RuntimeError("broken")
+        m.setattr(increments.forecast, "score", fail)
+        increments.predict_for_date(spark, new, state, days[1], PARAMS)
+    assert store.latest_day(spark, state) == days[0]
+    assert store.read_committed(spark, state, "usage").filter(F.col("as_of") == days[1]).count() == 0
+    with pytest.raises(store.StateError):
+        increments.predict_for_date(spark, new, state, days[2], PARAMS)
+    for d in days[1:3]:
+        increments.predict_for_date(spark, new, state, d, PARAMS)
+    log = rows(store.read_table(spark, state, "runs"), "as_of", "age_before")
+    assert [age for _, age in log] == [None, None, 1, 2]
+
+
+def test_days_that_lose_their_rows_are_cleared(spark, tmp_path):
+    path, schema = str(tmp_path), "as_of date, date date, used bigint"
+    d = [dt.date(2018, 4, i) for i in (10, 11, 12)]
+    first = spark.createDataFrame([(x, x, 1) for x in d], schema)
+    store.write_days(first, path, "usage", [str(x) for x in d])
+    store.write_days(spark.createDataFrame([(d[0], d[0], 5)], schema), path, "usage", [str(x) for x in d[:2]])
+    assert rows(store.read_table(spark, path, "usage"), "as_of", "used") == [(d[0], 5), (d[2], 1)]
+
+
+def test_feeds_under_other_names(spark, tmp_path, tmp_path_factory):
+    """File names are parameters of a run."""
+    names = ("blood-%s-1.txt", "beds-%s-1.txt", "issues-%s-1.txt", "shelf-%s-1.csv")
+    own = [
+        dataclasses.replace(f, pattern=n.split("-")[0], daily=n.split("%")[0] + "%s-")
+        for f, n in zip(feeds.FEEDS.values(), names)
+    ]
+    params = dataclasses.replace(PARAMS, feeds=own)
+    old, new = tmp_path_factory.mktemp("named-old"), tmp_path_factory.mktemp("named-new")
+    seeded = [write_day(old, i, names=names) for i in range(SEED_DAYS)]
+    day = write_day(new, SEED_DAYS, names=names)
+    increments.seed(spark, str(old), str(tmp_path), seeded[-1], params)
+    got = increments.predict_for_date(spark, str(new), str(tmp_path), day, params).first()
+    assert math.isfinite(got.t_pred)
+    bad = spark.createDataFrame([(None, "HGB")], "result_time timestamp_ntz, base_name string")
+    assert bad.select(bulk.bad_stamp(own[0], params.rules)).first()[0]
+
+
 def test_report_from_state(spark, folders, daily_state, tmp_path):
     _, _, _, days = folders
     state, predicted = daily_state
@@ -171,6 +246,10 @@ def test_stream_ingest_writes_the_same_increments(spark, folders, daily_state, t
         want = store.read_table(spark, daily, table).filter(F.col("as_of") >= days[0])
         columns = sorted(want.columns)
         assert rows(store.read_table(spark, state, table), *columns) == rows(want, *columns)
+    assert store.latest_day(spark, state) is None
+    for _ in range(2):
+        ingest.close_days(spark, state)
+        assert rows(store.read_table(spark, state, "runs"), "reason") == [("ingested",)] * len(days)
 
 
 def test_running_counts_take_late_rows(spark, tmp_path):

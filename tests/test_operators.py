@@ -321,16 +321,19 @@ def brute_forecast(pdf, names, starts, history, k, penalty):
     return out
 
 
-def test_rolling_forecast_equals_brute_force(spark, table):
+@pytest.mark.parametrize("block", [50, 3])
+def test_rolling_forecast_equals_brute_force(spark, table, block, monkeypatch):
+    monkeypatch.setattr(forecast, "BLOCK", block)
     history, penalty = 30, 2.0
     flagged = table.withColumn("retrain", F.dayofmonth("date") % 9 == 0)
     got = rows(forecast.rolling_forecast(flagged, (), history, 7, penalty))
     pdf = flagged.toPandas()
     starts = [i for i in range(history, len(pdf)) if pdf["retrain"][i]]
     want = brute_forecast(pdf, training.predictors(flagged), starts, history, 7, penalty)
-    assert {d for _, d, _ in got} == set(want)
-    for _, d, t in got:
-        assert t == pytest.approx(want[d], rel=1e-8)
+    assert [d for _, d, _ in rows(table.select("date", "date", "date"))] == sorted(d for _, d, _ in got)
+    assert {d for m, d, _ in got if m is not None} == set(want)
+    for m, d, t in got:
+        assert t is None if m is None else t == pytest.approx(want[d], rel=1e-8)
 
 
 def test_rolling_forecast_per_key(spark, table):
@@ -341,7 +344,7 @@ def test_rolling_forecast_per_key(spark, table):
     for site in "ab":
         got = rows(both.filter(F.col("site") == site), "date", "t_pred")
         assert [d for d, _ in got] == [d for d, _ in one]
-        assert [t for _, t in got] == pytest.approx([t for _, t in one])
+        assert [t or 0.0 for _, t in got] == pytest.approx([t or 0.0 for _, t in one])
 
 
 # --- ledger and reports -----------------------------------------------------------------------
