@@ -24,7 +24,7 @@ class Settings:
 
     sample: int = 4000
     features: int = 2000
-    least_documents: int = 3
+    least_z: float = 3.0
     prefix: int = 5
     steps: int = 300
     rate: float = 0.1
@@ -85,92 +85,82 @@ def vocabulary(learned: DataFrame, settings: Settings) -> list[str]:
     ).first()
     all0, all1 = max(sizes[0], 1), max(sizes[1], 1)
     rate = (F.col("n0") + F.col("n1") + 1) / float(all0 + all1 + 2)
-    z = (F.col("n1") / all1 - F.col("n0") / all0) / F.sqrt(rate * (1 - rate))
+    spread = F.sqrt(rate * (1 - rate) * (1 / all0 + 1 / all1))
+    z = (F.col("n1") / all1 - F.col("n0") / all0) / spread
     best = (
         counts.groupBy("word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-        .filter(F.col("n1") >= settings.least_documents)
-        .withColumn("z", z).filter("z > 0").orderBy(F.desc("z"), "word").limit(settings.features)
+        .withColumn("z", z).filter(F.col("z") >= settings.least_z).orderBy(F.desc("z"), "word").limit(settings.features)
     )
     return [r.word for r in best.collect()]
 
 
-def sentence_ids(text: str, index: dict[str, int], prefix: int) -> tuple[list[list[int]], int]:
-    """Feature ids of every sentence that has any, and how many sentences have none."""
+def sentence_ids(text: str, index: dict[str, int], prefix: int) -> list[list[int]]:
+    """Feature ids of every sentence that has any."""
     if not index.keys() & features(text, prefix):
-        return [], sum(1 for _ in SENTENCE.finditer(text))
-    known, plain = [], 0
-    for m in SENTENCE.finditer(text):
-        ids = sorted(index[f] for f in index.keys() & features(m[0], prefix))
-        if ids:
-            known.append(ids)
-        else:
-            plain += 1
-    return known, plain
+        return []
+    found = [index.keys() & features(m[0], prefix) for m in SENTENCE.finditer(text)]
+    return [sorted(index[f] for f in known) for known in found if known]
 
 
 def softplus(z):
     return np.logaddexp(0.0, z)
 
 
-def train(rows: list[tuple[int, float, list[list[int]], int]], n: int, settings: Settings):
-    """Weights (none negative) and bias that maximise the likelihood of the document labels.
+def train(rows: list[tuple[int, float, list[list[int]]]], n: int, settings: Settings):
+    """Weights (none negative), bias and leak that maximise the likelihood of the document labels.
 
-    A sentence is toxic with probability sigmoid(bias + weights), a document unless all its
-    sentences are not. ``rows`` are (label, weight, sentences, sentences without features).
+    A sentence with features is toxic with probability sigmoid(bias + weights), any other is not. A
+    document is toxic unless all its sentences are not and the leak, which stands for what no
+    feature shows, is closed: so clean sentences add nothing, however many there are. ``rows`` are
+    (label, weight, feature ids by sentence).
     """
     y = np.array([r[0] > 0 for r in rows], float)
     weight = np.array([r[1] for r in rows], float)
-    plain = np.array([r[3] for r in rows], float)
+    weight = weight / max(weight.sum(), 1e-9)
     sentences = [(d, ids) for d, r in enumerate(rows) for ids in r[2]]
     doc = np.array([d for d, _ in sentences], np.int64)
     one = np.repeat(np.arange(len(sentences)), [len(ids) for _, ids in sentences])
     feature = np.array([i for _, ids in sentences for i in ids], np.int64)
-    theta = np.zeros(n + 1)
-    theta[n] = -4.0
-    mean, square = np.zeros(n + 1), np.zeros(n + 1)
-    weight = weight / max(weight.sum(), 1e-9)
+    theta = np.zeros(n + 2)
+    theta[n:] = -4.0
+    mean, square = np.zeros(n + 2), np.zeros(n + 2)
     for step in range(1, settings.steps + 1):
-        w, b = theta[:n], theta[n]
-        z = b + np.bincount(one, w[feature], len(sentences)) if len(sentences) else np.zeros(0)
-        s = np.bincount(doc, softplus(z), len(rows)) + plain * softplus(b)
-        s = np.maximum(s, 1e-9)
+        w, bias, leak = theta[:n], theta[n], theta[n + 1]
+        z = bias + np.bincount(one, w[feature], len(sentences))
+        s = np.maximum(np.bincount(doc, softplus(z), len(rows)) + softplus(leak), 1e-9)
         slope = weight * ((1 - y) - y / np.expm1(np.minimum(s, 50.0)))
         dz = slope[doc] / (1 + np.exp(-z))
-        grad = np.empty(n + 1)
-        grad[:n] = np.bincount(feature, dz[one], n)[:n] + settings.ridge * w
-        grad[n] = dz.sum() + (slope * plain).sum() / (1 + np.exp(-b))
+        grad = np.empty(n + 2)
+        grad[:n] = np.bincount(feature, dz[one], n) + settings.ridge * w
+        grad[n] = dz.sum()
+        grad[n + 1] = slope.sum() / (1 + np.exp(-leak))
         mean = 0.9 * mean + 0.1 * grad
         square = 0.99 * square + 0.01 * grad * grad
         theta -= settings.rate * (mean / (1 - 0.9**step)) / (
             np.sqrt(square / (1 - 0.99**step)) + 1e-9
         )
         theta[:n] = np.maximum(theta[:n], 0.0)
-    return theta[:n], float(theta[n])
+    return theta[:n], float(theta[n]), float(theta[n + 1])
 
 
 @dataclass(frozen=True)
 class Model:
     weights: dict[str, float]
     bias: float
+    leak: float
     prefix: int
 
     def sentences(self, text: str) -> tuple[list[tuple[int, int, float]], float]:
         """(start, end, log-odds) of the sentences with known features, and the noisy-or."""
-        weights = self.weights
-        spans = []
+        weights, spans = self.weights, []
+        total = float(softplus(self.leak))
         if weights.keys() & features(text, self.prefix):
-            total, n = 0.0, 0
             for m in SENTENCE.finditer(text):
-                n += 1
                 found = weights.keys() & features(m[0], self.prefix)
                 if found:
                     z = self.bias + sum(weights[f] for f in sorted(found))
                     spans.append((m.start(), m.end(), z))
                     total += float(softplus(z))
-            n -= len(spans)
-        else:
-            total, n = 0.0, sum(1 for _ in SENTENCE.finditer(text))
-        total += n * float(softplus(self.bias))
         return spans, -float(np.expm1(-total))
 
 
@@ -185,26 +175,23 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     index = {w: i for i, w in enumerate(words)}
 
     def start():
-        return lambda texts: [sentence_ids(t or "", index, settings.prefix) for t in texts]
+        return lambda texts: [(sentence_ids(t or "", index, settings.prefix),) for t in texts]
 
-    fields = [
-        T.StructField("sentences", T.ArrayType(T.ArrayType(T.IntegerType()))),
-        T.StructField("plain", T.IntegerType()),
-    ]
-    rows = map_texts(learned, start, fields).select("label", "weight", "sentences", "plain", "doc_id")
-    data = [tuple(r)[:4] for r in sorted(rows.collect(), key=lambda r: r.doc_id)]
+    fields = [T.StructField("sentences", T.ArrayType(T.ArrayType(T.IntegerType())))]
+    rows = map_texts(learned, start, fields).select("label", "weight", "sentences", "doc_id")
+    data = [tuple(r)[:3] for r in sorted(rows.collect(), key=lambda r: r.doc_id)]
     if not words:
-        return Model({}, -12.0, settings.prefix)
-    weights, bias = train(data, len(words), settings)
+        return Model({}, -12.0, -12.0, settings.prefix)
+    weights, bias, leak = train(data, len(words), settings)
     known = {w: float(x) for w, x in zip(words, weights) if x > 0}
-    return Model(known, bias, settings.prefix)
+    return Model(known, bias, leak, settings.prefix)
 
 
 def score(docs: DataFrame, model: Model, threshold: float) -> DataFrame:
     """Adds score, predicted and offending to the columns of ``docs``.
 
     ``offending`` are the sentences (start, end in code points, score) that reach the threshold by
-    themselves. NULL and empty texts score 0. Columns of these names are replaced; repeated rows
+    themselves. NULL and empty texts have the score of a text without any known feature. Columns of these names are replaced; repeated rows
     score alike, and an empty table gives no rows.
     """
     sentence = T.StructType([
