@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfcast.functions import times
 from shelfcast.functions.times import weekday_one_hot
 from shelfcast.operators import daily, forecast, labs, ledger, moving, runs, training
 from shelfcast.plans import adapters, reporting
@@ -51,9 +52,7 @@ def three_day_target(spark, d):
 
 
 def site_usage(spark, d):
-    return daily.daily_usage(
-        adapters.site_transfusion(spark, d), adapters.UNIT_TYPE, keys=SITE, weight="n"
-    )
+    return daily.daily_usage(adapters.site_transfusion(spark, d), adapters.UNIT_TYPE, keys=SITE)
 
 
 def site_usage_seven_lag(spark, d):
@@ -125,7 +124,7 @@ def lab_features_smoothed(spark, d):
 # --- census and inventory ---------------------------------------------------------------------
 
 def census_counts(spark, d):
-    return daily.census_counts(adapters.census(spark, d), weight="n")
+    return daily.census_counts(adapters.census(spark, d))
 
 
 def census_wide(spark, d):
@@ -133,7 +132,11 @@ def census_wide(spark, d):
 
 
 def census_day_long(spark, d):
-    return reporting.census_of_day(reporting.latest_row(census_wide(spark, d)), adapters.WARDS)
+    def latest(orders):
+        return reporting.of_latest_day(orders, "o_orderdate")
+
+    day = daily.census_counts(adapters.census(spark, d, latest))
+    return reporting.census_of_day(daily.census_wide(day, adapters.WARDS), adapters.WARDS)
 
 
 def missing_wards(spark, d):
@@ -233,8 +236,7 @@ def multi_date_increments(spark, d):
 # --- reports ----------------------------------------------------------------------------------
 
 def prediction_vs_usage(spark, d):
-    used = usage(spark, d)
-    return reporting.prediction_vs_usage(used, reporting.naive_prediction(used))
+    return reporting.usage_days(usage(spark, d))
 
 
 def _site_ledger(spark, d):
@@ -272,6 +274,68 @@ def forecast_three_day(spark, d):
     return forecast.rolling_forecast(_table_with_runs(spark, d))
 
 
+def forecast_windows(spark, d):
+    """What each model of :func:`forecast_three_day` was fitted on."""
+    models = forecast.rolling_models(_table_with_runs(spark, d))
+    return models.select(
+        "model_date", "n", "target_sum", F.explode("predictor_sums").alias("predictor", "total")
+    )
+
+
+def forecast_gradient(spark, d):
+    """The slope of each model's penalised squares at its coefficients: zero at the solution."""
+    models = forecast.rolling_models(_table_with_runs(spark, d))
+    return models.select("model_date", (F.col("gradient") > 1e-6).alias("off_optimum"))
+
+
+# --- increments by arrival, texts of files ------------------------------------------------------
+
+def usage_as_of(spark, d):
+    """Units per date as known after each of the two batches."""
+    arrived = [_batch(spark, d, k).withColumn("arrival", F.lit(k + 1)) for k in (0, 1)]
+    return daily.known_as_of(arrived[0].unionByName(arrived[1]), "arrival")
+
+
+def file_stamps(spark, d):
+    """Both stamp formats, written from the orders' dates and read back."""
+    clock = F.make_interval(
+        hours=F.col("o_orderkey") % 24, mins=F.col("o_custkey") % 60, secs=F.col("o_orderkey") % 60
+    )
+    at = (F.col("o_orderdate").cast("date").cast("timestamp_ntz") + clock).alias("at")
+    orders = adapters.table(spark, d, "orders").select("o_orderkey", at)
+    return orders.select(
+        "o_orderkey",
+        times.slash_stamp(F.date_format("at", "MM/dd/yyyy  hh:mm:ssa")).alias("slash"),
+        times.dash_stamp(F.date_format("at", "dd-MMM-yy HH:mm:ss")).alias("dash"),
+    ).selectExpr("o_orderkey", "CAST(slash AS STRING) AS slash", "CAST(dash AS STRING) AS dash")
+
+
+def file_name_parts(spark, d):
+    """Dates and report names from file names, one file per order."""
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    name = F.concat(F.lit("/in/Report_Daily"), day, F.lit("-08-01-54.csv"))
+    return adapters.table(spark, d, "orders").select(
+        "o_orderkey", times.snapshot_date(name).alias("snapshot"),
+        times.iso_date_in(name).alias("day"), times.report_name(name).alias("report"),
+    )
+
+
+def expiry_times(spark, d):
+    """Expiry instants of stock from a date text and an ``HHmm`` text; a short one gives none."""
+    hours = F.lpad((F.col("o_orderkey") % 25).cast("string"), 2, "0")
+    stock = adapters.table(spark, d, "orders").select(
+        "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("exp_date"),
+        F.concat(hours, F.when(F.col("o_custkey") % 10 == 0, "5").otherwise("45")).alias("exp_time"),
+    )
+    return daily.with_expiry_time(stock).selectExpr(
+        "o_orderkey", "CAST(expiry_time AS STRING) AS expiry_time"
+    )
+
+
+def lab_counts_without_totals(spark, d):
+    return labs.drop_suffix(lab_counts_wide(spark, d), "_N")
+
+
 _PLAIN: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_usage": usage,
     "usage_seven_lag": usage_seven_lag,
@@ -317,6 +381,13 @@ _PLAIN: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "actual_vs_remaining": actual_vs_remaining,
     "remaining_histogram": remaining_histogram,
     "forecast_three_day": forecast_three_day,
+    "forecast_windows": forecast_windows,
+    "forecast_gradient": forecast_gradient,
+    "usage_as_of": usage_as_of,
+    "file_stamps": file_stamps,
+    "file_name_parts": file_name_parts,
+    "expiry_times": expiry_times,
+    "lab_counts_without_totals": lab_counts_without_totals,
 }
 
 

@@ -120,6 +120,22 @@ def accumulate(parts: Sequence[DataFrame], keys: Keys = ()) -> DataFrame:
     )
 
 
+def known_as_of(parts: DataFrame, arrival: str, keys: Keys = ()) -> DataFrame:
+    """Per date and arrival, the total of all rows that had come by then.
+
+    ``parts`` has one row per (keys, date, arrival); a date has as many rows as arrivals brought
+    something for it.
+    """
+    so_far = (
+        Window.partitionBy(*keys, "date").orderBy(arrival)
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    values = [c for c in parts.columns if c not in (*keys, "date", arrival)]
+    return parts.select(
+        *keys, "date", arrival, *[F.sum(c).over(so_far).alias(c) for c in values]
+    )
+
+
 def dates_per_increment(series: DataFrame, increment: str) -> DataFrame:
     """Increments that carry more than one date, which forces a retrain."""
     return (

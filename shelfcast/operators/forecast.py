@@ -8,7 +8,8 @@ the data.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -38,8 +39,17 @@ def _window_rows(x: np.ndarray, smoothed: np.ndarray, lag: int) -> np.ndarray:
     return x
 
 
-def _fit_ridge(x: np.ndarray, y: np.ndarray, penalty: float) -> tuple[float, np.ndarray]:
-    """Intercept and coefficients in the predictors' own units, fitted on standardised columns."""
+@dataclass(frozen=True)
+class _Fit:
+    """A ridge regression on standardised columns, and what it was fitted on."""
+
+    intercept: float
+    coef: np.ndarray  # in the predictors' own units
+    rows: np.ndarray  # the complete rows of the window
+    gradient: float  # largest slope of the penalised squares at the solution
+
+
+def _fit_ridge(x: np.ndarray, y: np.ndarray, penalty: float) -> _Fit:
     coef = np.zeros(x.shape[1])
     known = ~np.isnan(x)
     counts = np.maximum(known.sum(axis=0), 1)
@@ -51,13 +61,15 @@ def _fit_ridge(x: np.ndarray, y: np.ndarray, penalty: float) -> tuple[float, np.
     z = (x[:, use] - center[use]) / scale[use]
     rows = ~np.isnan(z).any(axis=1) & ~np.isnan(y)
     if not rows.any():
-        return float("nan"), coef
+        return _Fit(float("nan"), coef, rows, float("nan"))
     z, y = z[rows], y[rows]
     mean_z, mean_y = z.mean(axis=0), y.mean()
-    gram = (z - mean_z).T @ (z - mean_z) + penalty * np.eye(z.shape[1])
-    beta = np.linalg.solve(gram, (z - mean_z).T @ (y - mean_y))
+    z, y = z - mean_z, y - mean_y
+    beta = np.linalg.solve(z.T @ z + penalty * np.eye(z.shape[1]), z.T @ y)
     coef[use] = beta / scale[use]
-    return float(mean_y - mean_z @ beta - coef[use] @ center[use]), coef
+    slopes = z.T @ (z @ (coef[use] * scale[use]) - y) + penalty * beta
+    intercept = float(mean_y - mean_z @ beta - coef[use] @ center[use])
+    return _Fit(intercept, coef, rows, float(np.abs(slopes).max(initial=0.0)))
 
 
 def _packed(table: DataFrame, names: Sequence[str], keys: Keys) -> DataFrame:
@@ -91,7 +103,7 @@ def fit_model(
         ]
     )
 
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+    def fit_cut(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("row")
         out = pdf[list(keys)].head(1).reset_index(drop=True)
         if not keys:
@@ -99,10 +111,11 @@ def fit_model(
         intercept, coef = float("nan"), np.zeros(len(names))
         if len(pdf) > history:
             x = _window_rows(np.stack(pdf["x"].to_numpy())[:history], smoothed, smoothing - 1)
-            intercept, coef = _fit_ridge(x, pdf["y3"].to_numpy(dtype=float)[:history], penalty)
+            fit = _fit_ridge(x, pdf["y3"].to_numpy(dtype=float)[:history], penalty)
+            intercept, coef = fit.intercept, fit.coef
         return out.assign(predictors=[list(names)], intercept=intercept, coef=[coef.tolist()])
 
-    return spread(packed, keys).groupBy(*keys).applyInPandas(fit, schema)
+    return spread(packed, keys).groupBy(*keys).applyInPandas(fit_cut, schema)
 
 
 def score(table: DataFrame, model: DataFrame, keys: Keys = ()) -> DataFrame:
@@ -131,6 +144,101 @@ def rolling_forecast(
     rows from that date up to the next retrain. One pass over the table: windows tell each row
     its blocks of models.
     """
+    uses, smoothed = _blocks(table, keys, history)
+    heads = [*keys, "block"]
+    schema = T.StructType(
+        [
+            *[uses.schema[k] for k in keys],
+            T.StructField("model_date", T.DateType()),
+            T.StructField("date", T.DateType()),
+            T.StructField("t_pred", T.DoubleType()),
+        ]
+    )
+
+    def fit_and_score(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("row")
+        row, own = pdf["row"].to_numpy(), pdf["own"].to_numpy(dtype=bool)
+        x, dates = np.stack(pdf["x"].to_numpy()), pdf["date"].to_numpy()
+        model_date = np.full(len(pdf), None, dtype=object)
+        t_pred = np.full(len(pdf), np.nan)
+        # A later model overwrites what an earlier one said about its rows.
+        for start, fit, _ in _models(pdf, smoothed, history, smoothing, penalty):
+            scored = own & (row >= row[start])
+            model_date[scored] = dates[start]
+            t_pred[scored] = fit.intercept + x[scored] @ fit.coef
+        return pdf.loc[own, [*keys, "date"]].assign(model_date=model_date[own], t_pred=t_pred[own])
+
+    done = spread(uses, heads).groupBy(*heads).applyInPandas(fit_and_score, schema)
+    return done.withColumn("t_pred", F.nanvl("t_pred", F.lit(None).cast("double")))
+
+
+def rolling_models(
+    table: DataFrame,
+    keys: Keys = (),
+    history: int = 200,
+    smoothing: int = 7,
+    penalty: float = 15.0,
+) -> DataFrame:
+    """The models behind :func:`rolling_forecast`, one row per key and retrain date.
+
+    Columns: model_date, n (complete training rows), target_sum, predictor_sums (a map, over those
+    rows), intercept, coef (a map) and gradient, the largest slope of the penalised squares at the
+    solution.
+    """
+    names = predictors(table, keys)
+    uses, smoothed = _blocks(table, keys, history)
+    heads = [*keys, "block"]
+    lists = T.ArrayType(T.DoubleType())
+    schema = T.StructType(
+        [
+            *[uses.schema[k] for k in keys],
+            T.StructField("model_date", T.DateType()), T.StructField("n", T.LongType()),
+            T.StructField("target_sum", T.DoubleType()), T.StructField("sums", lists),
+            T.StructField("intercept", T.DoubleType()), T.StructField("coefs", lists),
+            T.StructField("gradient", T.DoubleType()),
+        ]
+    )
+
+    def fit_all(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("row")
+        x, dates = np.stack(pdf["x"].to_numpy()), pdf["date"].to_numpy()
+        out = []
+        for start, fit, (train, y) in _models(pdf, smoothed, history, smoothing, penalty):
+            sums = x[train][fit.rows].sum(axis=0).tolist()
+            out.append((
+                *pdf.iloc[start][list(keys)], dates[start], int(fit.rows.sum()),
+                float(y[fit.rows].sum()), sums, fit.intercept, fit.coef.tolist(), fit.gradient,
+            ))
+        return pd.DataFrame(out, columns=schema.names)
+
+    named = F.array(*[F.lit(n) for n in names])
+    return (
+        spread(uses, heads).groupBy(*heads).applyInPandas(fit_all, schema)
+        .withColumn("predictor_sums", F.map_from_arrays(named, "sums"))
+        .withColumn("coef", F.map_from_arrays(named, "coefs"))
+        .drop("sums", "coefs")
+    )
+
+
+def _models(
+    pdf: pd.DataFrame, smoothed: np.ndarray, history: int, smoothing: int, penalty: float
+) -> Iterator[tuple[int, _Fit, tuple[np.ndarray, np.ndarray]]]:
+    """Of each retrain in a block, by date: its position, its fit, and the window and targets used."""
+    row, x, y = pdf["row"].to_numpy(), np.stack(pdf["x"].to_numpy()), pdf["y3"].to_numpy(dtype=float)
+    for start in np.flatnonzero(pdf["fits"].to_numpy(dtype=bool)):
+        first = row[start]
+        train = (row >= first - history) & (row < first)
+        known = np.where(row[train] <= first - 3, y[train], np.nan)
+        window = _window_rows(x[train], smoothed, smoothing - 1)
+        yield start, _fit_ridge(window, known, penalty), (train, known)
+
+
+def _blocks(table: DataFrame, keys: Keys, history: int) -> tuple[DataFrame, np.ndarray]:
+    """Each row once for every block of retrains that needs it, and which predictors are smoothed.
+
+    ``own`` rows are scored by the block's models, or by none in block -1; ``fits`` marks its
+    retrains.
+    """
     names = predictors(table, keys)
     smoothed = np.isin(names, smoothed_columns(names))
     part = "PARTITION BY " + ", ".join(f"`{k}`" for k in keys) if keys else ""
@@ -153,38 +261,4 @@ def rolling_forecast(
         "block = CASE WHEN known THEN at ELSE -1 END AS own",
         "fits AND at = block AS fits",
     )
-    heads = [*keys, "block"]
-    schema = T.StructType(
-        [
-            *[uses.schema[k] for k in keys],
-            T.StructField("model_date", T.DateType()),
-            T.StructField("date", T.DateType()),
-            T.StructField("t_pred", T.DoubleType()),
-        ]
-    )
-
-    def fit_and_score(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("row")
-        row, own = pdf["row"].to_numpy(), pdf["own"].to_numpy(dtype=bool)
-        x, y = np.stack(pdf["x"].to_numpy()), pdf["y3"].to_numpy(dtype=float)
-        starts = np.flatnonzero(pdf["fits"].to_numpy(dtype=bool))
-        out = pdf.loc[own, [*keys, "date"]].assign(model_date=None, t_pred=None)
-        if not len(starts):
-            return out
-        model_date = np.full(len(pdf), None, dtype=object)
-        t_pred = np.full(len(pdf), np.nan)
-        dates = pdf["date"].to_numpy()
-        for i, start in enumerate(starts):
-            first = row[start]
-            train = (row >= first - history) & (row < first)
-            known = np.where(row[train] <= first - 3, y[train], np.nan)
-            window = _window_rows(x[train], smoothed, smoothing - 1)
-            intercept, coef = _fit_ridge(window, known, penalty)
-            last = row[starts[i + 1]] if i + 1 < len(starts) else np.inf
-            scored = own & (row >= first) & (row < last)
-            model_date[scored] = dates[start]
-            t_pred[scored] = intercept + x[scored] @ coef
-        return out.assign(model_date=model_date[own], t_pred=t_pred[own])
-
-    done = spread(uses, heads).groupBy(*heads).applyInPandas(fit_and_score, schema)
-    return done.withColumn("t_pred", F.nanvl("t_pred", F.lit(None).cast("double")))
+    return uses, smoothed

@@ -73,7 +73,7 @@ class _Fold:
     def __call__(self, days: pd.DataFrame) -> pd.DataFrame:
         days = days.sort_values("date", kind="stable").reset_index(drop=True)
         if self.offset >= len(days):
-            raise ValueError("Not enough predictions for the ledger's offset")
+            raise ValueError(f"the ledger starts after {self.offset} days, but there are only {len(days)}")
         rows = self._rows(days["plt_used"].astype(float), days["t_pred"].astype(float))
         cells = pd.DataFrame(rows, columns=list(LEDGER_COLUMNS), dtype=float)
         return pd.concat([days[[*self.keys, "date", "plt_used", "t_pred"]], cells], axis=1)

@@ -281,6 +281,21 @@ def _scaled(fit: str, scale: bool) -> str:
     )
 
 
+def _windows() -> str:
+    """Complete rows of every training window: 200 rows, smoothed columns from the seventh on."""
+    known = " and ".join(f"t.{c} is not null" for c in PREDICTORS)
+    return f"""placed as (
+  select *, row_number() over (order by date) as rn,
+    case when count(*) over ahead = 3 then sum(plt_used) over ahead end as y3
+  from training window ahead as (order by date rows between 1 following and 3 following)),
+fits as (
+  select p.date as model_date, p.rn from placed p join ages a on p.date = a.date
+  where reason is not null and p.rn > 200),
+used_rows as (
+  select f.model_date, t.* from fits f join placed t
+    on t.rn between f.rn - 194 and f.rn - 3 and t.y3 is not null and {known})"""
+
+
 def oracle_sql() -> dict[str, str]:
     ledger_out = ", ".join(r6(c, c) for c in LEDGER_COLUMNS)
     shown = f"""shown as (
@@ -485,4 +500,48 @@ ranges as (select measure, min(value) as lo, max(value) as hi from measures grou
             from measures m join ranges r on m.measure = r.measure
             where value is not null group by 1, 2""",
         ),
+        "forecast_windows": _query(
+            [*TRAINING_PARTS, runs("training"), _windows()],
+            " union all ".join(
+                f"select model_date, count(*) as n, cast(sum(y3) as double) as target_sum, "
+                f"'{c}' as predictor, round(sum({c}), 6) as total from used_rows group by model_date"
+                for c in PREDICTORS
+            ),
+        ),
+        "forecast_gradient": _query(
+            [*TRAINING_PARTS, runs("training"), _windows()],
+            "select model_date, false as off_optimum from fits",
+        ),
+        "usage_as_of": _query(
+            [batch(0), batch(1)],
+            """select date, arrival, cast(sum(used) over (partition by date order by arrival) as bigint)
+              as used
+            from (select *, 1 as arrival from batch0 union all select *, 2 from batch1)""",
+        ),
+        "file_stamps": _query(
+            ["""stamped as (
+  select o_orderkey, cast(cast(o_orderdate as date) as timestamp) + to_hours(o_orderkey % 24)
+    + to_minutes(o_custkey % 60) + to_seconds(o_orderkey % 60) as moment from orders)"""],
+            """select o_orderkey, strftime(moment, '%Y-%m-%d %H:%M:%S') as slash,
+            strftime(moment, '%Y-%m-%d %H:%M:%S') as dash from stamped""",
+        ),
+        "file_name_parts": """
+            select o_orderkey, cast(cast(o_orderdate as date) - 1 as date) as snapshot,
+              cast(o_orderdate as date) as day,
+              'Report_Daily' || strftime(o_orderdate, '%Y-%m-%d') || '-08-01-54-summary' as report
+            from orders""",
+        "expiry_times": """
+            select o_orderkey, case when o_custkey % 10 <> 0 and o_orderkey % 25 <> 24 then
+              strftime(cast(cast(o_orderdate as date) as timestamp) + to_hours(o_orderkey % 25)
+                + to_minutes(45), '%Y-%m-%d %H:%M:%S') end as expiry_time
+            from orders""",
+        "lab_counts_without_totals": _query(
+            [LINE_VALUES, LINE_COUNTS],
+            "select date, "
+            + ", ".join(
+                f"cast(coalesce(sum(nq) filter (where base_name = '{b}'), 0) as bigint) as {b}_Nq"
+                for b in LINE_LABS
+            )
+            + " from line_counts group by date",
+        ),
     }

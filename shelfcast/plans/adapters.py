@@ -1,13 +1,14 @@
 """The star-schema tables seen as the four feeds.
 
-Joins that attach a ward or site to a row come after the rows have been counted per join key and
-date, so a customer or order with a large share of the rows is a handful of rows at the join.
-Such pre-counted feeds carry their row count as ``n``. No side is forced to broadcast: the
-planner broadcasts the customer table only while its size is under the configured limit.
+Joins that attach a ward or site to a row come first and the counts after them, combined before
+their shuffle: a row is moved once, and adaptive execution may split a customer or order that has
+a large share of the rows. No side is forced to broadcast.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,17 +61,15 @@ def lab_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def census(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as patients, the customer's nation as ward; pre-counted in ``n``."""
-    orders = (
-        table(spark, sf_dir, "orders")
-        .groupBy("o_custkey", F.col("o_orderdate").cast("date").alias("location_time"))
-        .agg(F.count("*").alias("n"))
-    )
+def census(
+    spark: SparkSession, sf_dir: str, pick: Callable[[DataFrame], DataFrame] = lambda orders: orders
+) -> DataFrame:
+    """Orders as patients, the customer's nation as ward; ``pick`` narrows the orders scanned."""
+    orders = pick(table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate"))
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     return orders.join(customer, orders.o_custkey == customer.c_custkey).select(
-        "location_time", F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("ward"),
-        "n",
+        F.col("o_orderdate").cast("date").alias("location_time"),
+        F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("ward"),
     )
 
 
@@ -82,24 +81,13 @@ def transfusion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def site_transfusion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Issued units with the customer's nation as ``site``; pre-counted in ``n``."""
-    lines = (
-        table(spark, sf_dir, "lineitem")
-        .groupBy(
-            "l_orderkey", F.col("l_returnflag").alias("type"),
-            F.col("l_shipdate").cast("date").alias("issue_time"),
-        )
-        .agg(F.count("*").alias("n"))
-    )
+    """Issued units with the customer's nation as ``site``."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    per_customer = (
-        lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-        .groupBy("o_custkey", "type", "issue_time")
-        .agg(F.sum("n").alias("n"))
-    )
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    return per_customer.join(customer, per_customer.o_custkey == customer.c_custkey).select(
-        F.col("c_nationkey").alias("site"), "type", "issue_time", "n"
+    sites = orders.join(customer, orders.o_custkey == customer.c_custkey)
+    lines = transfusion(spark, sf_dir)
+    return lines.join(sites, lines.l_orderkey == sites.o_orderkey).select(
+        F.col("c_nationkey").alias("site"), "type", "issue_time"
     )
 
 

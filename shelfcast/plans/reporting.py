@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.functions.times import calendar
@@ -79,6 +79,28 @@ def _day(v: Column | str) -> Column:
     return v if isinstance(v, Column) else F.lit(v).cast("date")
 
 
+def usage_days(usage: DataFrame, keys: Keys = (), days_ahead: int = 2) -> DataFrame:
+    """:func:`prediction_vs_usage` with :func:`naive_prediction`, from one pass over the series.
+
+    Each row is stretched over the days up to the key's next row, the last one over
+    ``days_ahead`` more; only its own day has a value.
+    """
+    by = ("PARTITION BY " + ", ".join(f"`{k}`" for k in keys) if keys else "") + " ORDER BY date"
+    named = [f"`{k}`" for k in keys]
+    return (
+        usage.select(*keys, "date", "used", (3 * moving_mean("used", 7, keys)).alias("t_pred"))
+        .selectExpr(
+            *named, "date AS own", "used", "t_pred",
+            f"coalesce(date_sub(lead(date) OVER ({by}), 1), date_add(date, {days_ahead})) AS upto",
+        )
+        .selectExpr(*named, "own", "used", "t_pred", "explode(sequence(own, upto)) AS date")
+        .selectExpr(
+            *named, "date", "CASE WHEN date = own THEN used END AS plt_used",
+            "CASE WHEN date = own THEN t_pred END AS t_pred",
+        )
+    )
+
+
 def site_days(usage: DataFrame, keys: Keys, days_ahead: int = 2) -> DataFrame:
     """Ledger input of many sites over one common calendar, hash-partitioned by the keys.
 
@@ -165,11 +187,10 @@ def stock_histogram(
         .unpivot([], ["remaining", "wasted"], "measure", "value")
         .filter(F.col("value").isNotNull())
     )
-    # Distinct values first: the range then comes from a window over counts, not over rows.
+    # Distinct values first; the ranges are two rows, read from the same shuffle as the counts.
     counts = long.groupBy("measure", "value").agg(F.count("*").alias("n"))
-    whole = Window.partitionBy("measure")
-    lo, hi = F.min("value").over(whole), F.max("value").over(whole)
-    ranged = counts.select("measure", "value", "n", lo.alias("lo"), hi.alias("hi"))
+    ranges = counts.groupBy("measure").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    ranged = counts.join(F.broadcast(ranges), "measure")
     step = F.try_divide((F.col("value") - F.col("lo")) * bins, F.col("hi") - F.col("lo"))
     bin_no = F.least(F.floor(F.coalesce(step, F.lit(0.0))), F.lit(bins - 1)) + 1
     return ranged.groupBy("measure", bin_no.cast("int").alias("bin")).agg(F.sum("n").alias("n"))

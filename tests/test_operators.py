@@ -397,7 +397,7 @@ def test_ledger_nulls_spread_forward_per_key(spark):
 
 def test_ledger_needs_enough_days(spark):
     df = days_frame(spark, [1.0, 2.0], [3.0, 4.0])
-    with pytest.raises(Exception, match="Not enough predictions"):
+    with pytest.raises(Exception, match="starts after"):
         ledger.order_ledger(df, Params(start=3)).collect()
     last_row_only = ledger.order_ledger(df, Params(start=2)).orderBy("date").collect()
     assert last_row_only[1].x == 60
