@@ -2,18 +2,23 @@
 
 The rows are first reduced to (group, value, n), combined on the map side. Values are then put
 in ordered buckets, and only a group's bucket totals are brought together to find the buckets
-that hold the wanted ranks. The rows of just those buckets are ranked, each bucket on its own.
-A group with a third of all rows is thus spread over its values and buckets throughout.
+that hold the wanted ranks. Each of these is cut again, into equal parts of its own range, and the
+rows of just the parts that hold a wanted rank are ranked, each part on its own. A group with a
+third of all rows is thus spread over its values, buckets and parts, also where all its values lie
+close together.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS_PER_E = 256  # a bucket spans 0.4 % of its values
+PARTS = 4096  # of a bucket that holds a wanted rank
 _SHIFT = 200_000  # above BUCKETS_PER_E * |ln v| of every double
 
 # Integer that never decreases as the value grows; NULL for NULL.
@@ -66,8 +71,7 @@ def profile(
     wanted = " OR ".join(
         f"(before <= {rank} AND {rank} < before + known)" for rank in [*low, *high]
     )
-    buckets = stats.filter(f"n = 0 OR {wanted}").drop("known")
-    ranked = _rank_within_buckets(counts, buckets, keys)
+    ranked = _rank_within_parts(counts, stats.filter(f"n = 0 OR {wanted}"), keys, wanted)
 
     def at(rank: str, out: str, name: str) -> Column:
         return F.expr(f"max(CASE WHEN start <= {rank} AND {rank} < end THEN {out} END) AS {name}")
@@ -130,7 +134,8 @@ def _group_stats(hist: DataFrame, keys: Sequence[str], tallies: Mapping[str, Col
     group = f"OVER ({ordered} AND UNBOUNDED FOLLOWING)"  # one sort serves both frames
     earlier = f"OVER ({ordered} AND 1 PRECEDING)"
     hist = hist.selectExpr(
-        *_names(keys), "bucket", "bucket_n", "known", "bucket_mean", "bucket_m2",
+        *_names(keys), "bucket", "bucket_n", "bucket_min", "bucket_max", "known", "bucket_mean",
+        "bucket_m2",
         f"sum(known) {group} AS n",
         f"sum(bucket_n - known) {group} AS n_missing",
         f"min(bucket_min) {group} AS min",
@@ -141,31 +146,59 @@ def _group_stats(hist: DataFrame, keys: Sequence[str], tallies: Mapping[str, Col
     )
     m2 = f"sum(bucket_m2 + known * (bucket_mean - mean) * (bucket_mean - mean)) {group}"
     return hist.selectExpr(
-        *_names(keys), "bucket", "known", "before", "n", "n_missing", "min", "max", "mean",
+        *_names(keys), "bucket", "bucket_min", "bucket_max", "known", "before", "n", "n_missing",
+        "min", "max", "mean",
         f"CASE WHEN n > 1 THEN sqrt({m2} / (n - 1)) END AS sd",
         *_names(tallies),
     )
 
 
-def _rank_within_buckets(counts: DataFrame, buckets: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of the given buckets with the ranks [start, end) their value takes in the group.
+def _rank_within_parts(
+    counts: DataFrame, buckets: DataFrame, keys: Sequence[str], wanted: str
+) -> DataFrame:
+    """Rows of the wanted parts of the given buckets, with the ranks [start, end) of their value.
 
     Keys are compared null-safe: a NULL key is a group like any other, and no filter gets in
     between that would keep both readers of ``counts`` from sharing its shuffle.
     """
-    rows = counts.withColumnRenamed("n", "value_n").alias("c").join(
-        buckets.alias("b"),
-        [F.col(f"c.`{k}`").eqNullSafe(F.col(f"b.`{k}`")) for k in [*keys, "bucket"]],
+    spans = buckets.select(*keys, "bucket", "bucket_min", "bucket_max")
+    place = (
+        f"least(floor((value - bucket_min) / (bucket_max - bucket_min) * {PARTS}), {PARTS - 1})"
+    )
+    rows = _join(counts.withColumnRenamed("n", "value_n"), spans, [*keys, "bucket"]).withColumn(
+        "part", F.expr(f"CAST(CASE WHEN bucket_max > bucket_min THEN {place} ELSE 0 END AS INT)")
     )
-    mine = [f"c.`{k}`" for k in keys]
-    theirs = [f"b.`{c}`" for c in buckets.columns if c not in (*keys, "bucket")]
+    rows = rows.select(*keys, "bucket", "part", "value", "value_n")
+    parts = rows.groupBy(*keys, "bucket", "part").agg(F.sum("value_n").alias("part_n"))
     by = ", ".join([*_names(keys), "bucket"])
+    parts = (
+        _join(parts, buckets.drop("bucket_min", "bucket_max"), [*keys, "bucket"])
+        .withColumn(
+            "before",
+            F.expr(
+                f"""before + coalesce(sum(part_n) OVER (PARTITION BY {by} ORDER BY part
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"""
+            ),
+        )
+        .withColumn("known", F.expr("CASE WHEN bucket IS NULL THEN 0 ELSE part_n END"))
+        .filter(f"n = 0 OR {wanted}")
+        .drop("known", "part_n")
+    )
     return (
-        rows.selectExpr(*mine, "c.bucket", "c.value", "c.value_n", *theirs)
-        .selectExpr(
-            "*",
-            f"""before + coalesce(sum(value_n) OVER (PARTITION BY {by} ORDER BY value
-                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start""",
+        _join(rows, parts, [*keys, "bucket", "part"])
+        .withColumn(
+            "start",
+            F.expr(
+                f"""before + coalesce(sum(value_n) OVER (PARTITION BY {by}, part ORDER BY value
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"""
+            ),
         )
         .withColumn("end", F.expr("start + value_n"))
     )
+
+
+def _join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Inner join on columns of equal name, NULL equal to NULL."""
+    named = right.withColumnsRenamed({c: f"_{c}" for c in on})
+    same = reduce(and_, [F.col(f"`{c}`").eqNullSafe(F.col(f"`_{c}`")) for c in on])
+    return left.join(named, same).drop(*[f"_{c}" for c in on])

@@ -460,3 +460,21 @@ def test_parameters_are_validated():
         Params(initial_collection=(1, 2))
     with pytest.raises(ValueError):
         Params(initial_expiry=(1, -2))
+
+
+@pytest.mark.parametrize("shape", ["narrow", "ties", "wide"])
+def test_profile_of_values_close_together(spark, shape):
+    """A group within one bucket, with and without ties, next to a NULL group."""
+    value = {"narrow": "1000 + id / 20000D", "ties": "1000 + floor(id / 500) / 40D", "wide": "id * id"}[shape]
+    frame = spark.range(20000).selectExpr("CASE WHEN id % 3 > 0 THEN 'a' END AS k", f"CAST({value} AS DOUBLE) AS v")
+    probs = (0.0, 0.25, 0.5, 0.999, 1.0)
+    got = profile.profile(profile.value_counts(frame, ["k"], "v"), ["k"], probs)
+    pdf = frame.toPandas()
+    seen = {r.k: r for r in got.collect()}
+    assert set(seen) == {None, "a"}
+    for k, row in seen.items():
+        v = pdf["v"][pdf["k"].isna() if k is None else pdf["k"] == k].to_numpy()
+        for i, p in enumerate(probs):
+            q = np.quantile(v, p)
+            assert row[f"q{i}"] == pytest.approx(q, rel=1e-12)
+            assert row[f"below_q{i}"] == (v < row[f"q{i}"]).sum()
