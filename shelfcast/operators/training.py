@@ -102,25 +102,30 @@ def apply_scaler(
 ) -> DataFrame:
     """Subtract the centre and divide by the scale, either of which may be left out.
 
-    A zero or missing scale gives NULL. The scaler becomes one row of two maps per key; without
-    keys that single row is broadcast, with keys it is an ordinary join.
+    A zero or missing scale gives NULL. The scaler becomes one row per key with one field per
+    predictor; without keys that single row is broadcast, with keys it is an ordinary join.
     """
+    names = predictors(table, keys)
     params = scaler.groupBy(*keys).agg(
-        F.map_from_entries(F.collect_list(F.struct("predictor", "center"))).alias("_center"),
-        F.map_from_entries(F.collect_list(F.struct("predictor", "scale"))).alias("_scale"),
+        *[
+            F.first(
+                F.when(F.col("predictor") == c, F.struct("center", "scale")), ignorenulls=True
+            ).alias(f"_p{i}")
+            for i, c in enumerate(names)
+        ]
     )
     joined = table.join(params, list(keys)) if keys else table.crossJoin(F.broadcast(params))
+    at = {c: f"_p{i}" for i, c in enumerate(names)}
 
     def scaled(c: str) -> str:
         v = f"CAST(`{c}` AS DOUBLE)"
         if center:
-            v = f"({v} - _center[{sql_text(c)}])"
+            v = f"({v} - {at[c]}.center)"
         if scale:
-            v = f"try_divide({v}, _scale[{sql_text(c)}])"
+            v = f"try_divide({v}, {at[c]}.scale)"
         return f"{v} AS `{c}`"
 
-    kept = {*keys, "date", RESPONSE}
-    return joined.selectExpr(*[f"`{c}`" if c in kept else scaled(c) for c in table.columns])
+    return joined.selectExpr(*[scaled(c) if c in at else f"`{c}`" for c in table.columns])
 
 
 def rolling_scaler(

@@ -4,6 +4,7 @@ import compare
 import pytest
 
 import __spark_entry__ as entry
+from shelfcast import catalog, oracle
 
 SF = "/root/testdata/sf0.001"
 
@@ -13,11 +14,11 @@ def db():
     return compare.connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query(spark, db, name):
-    df = entry.queries()[name](spark, SF)
+    df = catalog.queries()[name](spark, SF)
     got = compare.spark_rows(df)
-    sql = entry.oracle_sql().get(name)
+    sql = oracle.oracle_sql().get(name)
     if sql is None:
         assert got
         return
@@ -28,6 +29,7 @@ def test_query(spark, db, name):
 
 def test_every_twin_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(catalog.queries()) <= set(entry.queries())
 
 
 def test_entry(spark):
