@@ -70,7 +70,7 @@ def base_measures(docs: DataFrame) -> DataFrame:
         F.flatten(F.transform(starts, lambda i: F.array(i, i + 1, i + 2)))
     )
     full = F.filter(F.split(text, "\n"), lambda line: F.btrim(line, F.lit(BLANKS)) != "")
-    return third.select(
+    fourth = third.select(
         *docs.columns,
         "n_words",
         F.length(F.translate(text, SPACES, "")).cast("long").alias("word_chars"),
@@ -78,11 +78,14 @@ def base_measures(docs: DataFrame) -> DataFrame:
         full.alias("_full"),
         F.coalesce(F.when(sorted_.isNotNull(), F.size(covered)), F.lit(0)).cast("long")
         .alias("n_repeat_words"),
-    ).select(
-        *docs.columns, "n_words", "word_chars", "n_symbols",
-        (F.size("_full") - F.size(F.array_distinct("_full"))).cast("long").alias("n_dup_lines"),
-        "n_repeat_words",
     )
+    n_dup_lines = (F.size("_full") - F.size(F.array_distinct("_full"))).cast("long")
+    # As the output of a generator the measures are values: a later filter on them is not rewritten
+    # into a filter on the texts, which would work all of this out again for every use of a column.
+    measures = F.struct(
+        "n_words", "word_chars", "n_symbols", n_dup_lines.alias("n_dup_lines"), "n_repeat_words"
+    )
+    return fourth.select(*docs.columns, F.inline(F.array(measures)))
 
 
 def shared_lines(docs: DataFrame, limits: Limits) -> DataFrame:
