@@ -15,8 +15,8 @@ BLANKS = SPACES.replace("\n", "")
 
 @dataclass(frozen=True)
 class Limits:
-    """A line goes when at least ``min_docs`` documents of its host have it and these are more than
-    ``share`` of the host. A document goes when over ``depleted`` of its words went with such lines.
+    """A line goes when at least ``min_docs`` different documents of its host have it and these are
+    more than ``share`` of the host. A document goes when over ``depleted`` of its words went with such lines.
     """
 
     min_words: int = 50
@@ -91,19 +91,23 @@ def base_measures(docs: DataFrame) -> DataFrame:
 def shared_lines(docs: DataFrame, limits: Limits) -> DataFrame:
     """Lines above the limits: host, line (hash) and the first document that has it.
 
-    ``docs`` has doc_id, host and text. Each document counts a line once. Counts combine before the
-    shuffle, so a line that every document has is one row per task.
+    ``docs`` has doc_id, host and text. Equal texts are one document, so copies don't make their
+    lines shared. Both steps of the distinct count combine before their shuffle: a line that every
+    document has is spread over its texts first, and then one row per task.
     """
     each = docs.select(
-        "doc_id", "host",
-        F.explode(F.array_distinct(F.transform(lines(F.col("text")), lambda x: F.xxhash64(x)))).alias("line"),
+        "doc_id", "host", F.xxhash64(F.coalesce("text", F.lit(""))).alias("said"),
+        F.explode(F.array_distinct(F.transform(lines(F.col("text")), lambda x: F.xxhash64(x))))
+        .alias("line"),
     )
     counted = (
         each.groupBy("host", "line")
-        .agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc"))
+        .agg(F.countDistinct("said").alias("n_docs"), F.min("doc_id").alias("first_doc"))
         .filter(F.col("n_docs") >= limits.min_docs)
     )
-    hosts = docs.groupBy(F.col("host").alias("of_host")).agg(F.count("*").alias("host_docs"))
+    hosts = docs.groupBy(F.col("host").alias("of_host")).agg(
+        F.countDistinct(F.xxhash64(F.coalesce("text", F.lit("")))).alias("host_docs")
+    )
     return (
         counted.join(hosts, F.col("host").eqNullSafe(F.col("of_host")))
         .filter(F.col("n_docs") > limits.share * F.col("host_docs"))

@@ -127,13 +127,13 @@ WITH d AS (
   SELECT doc_id, count(DISTINCT p) AS n_repeat_words
   FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM again) GROUP BY doc_id
 ), line AS (
-  SELECT doc_id, source, unnest(plain) AS said FROM w
+  SELECT doc_id, source, md5(text) AS body, unnest(plain) AS said FROM w
 ), shared AS (
   SELECT l.source, l.said, min(l.doc_id) AS first_doc
-  FROM line l JOIN (SELECT source, count(*) AS n FROM documents GROUP BY source) h
+  FROM line l JOIN (SELECT source, count(DISTINCT md5(text)) AS n FROM d GROUP BY source) h
     ON l.source IS NOT DISTINCT FROM h.source
   GROUP BY l.source, l.said, h.n
-  HAVING count(DISTINCT l.doc_id) >= 20 AND count(DISTINCT l.doc_id) > 0.01 * h.n
+  HAVING count(DISTINCT l.body) >= 20 AND count(DISTINCT l.body) > 0.01 * h.n
 ), gone AS (
   SELECT l.doc_id, sum(len(list_filter(string_split(l.said, ' '), lambda x: x <> ''))) AS removed
   FROM line l JOIN shared s ON l.source IS NOT DISTINCT FROM s.source AND l.said = s.said
@@ -154,6 +154,64 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM m
 """
 
+# A turn has 15 characters around role and text; a text that would not read back as it is has a
+# backslash before each of its marks.
+CHAT_SQL = r"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -7, i, r, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(i, r)
+), marked AS (
+  SELECT *,
+    regexp_matches(text, '\\(### |: |</turn>|\\)') OR contains(text, ' </turn>' || chr(10)) AS hard,
+    (length(text) - length(replace(text, '### ', ''))) // 4
+      + (length(text) - length(replace(text, ': ', ''))) // 2
+      + (length(text) - length(replace(text, '</turn>', ''))) // 7 AS marks
+  FROM said
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text))
+    AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text)
+    FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(15 + length(role) + length(text) + CASE WHEN hard THEN marks ELSE 0 END) AS BIGINT)
+    AS formatted_chars
+FROM marked GROUP BY conv_id
+"""
+
+LEAKS_SQL = r"""
+WITH said AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), asked AS (
+  SELECT item_id, words, least(10, len(words)) AS size FROM (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM benchmark)
+), item_windows AS (
+  SELECT DISTINCT item_id, size, array_to_string(list_slice(words, i, i + size - 1), ' ') AS win
+  FROM (SELECT *, unnest(range(1, len(words) - size + 2)) AS i FROM asked WHERE size > 0)
+), doc_windows AS (
+  SELECT doc_id, size, i, array_to_string(list_slice(words, i, i + size - 1), ' ') AS win
+  FROM (SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS i
+    FROM said, (SELECT DISTINCT size FROM item_windows))
+), hits AS (
+  SELECT d.doc_id, d.i, d.size, coalesce(CAST(item_id AS VARCHAR), '') AS item
+  FROM doc_windows d JOIN item_windows w ON d.size = w.size AND d.win = w.win
+), covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM hits) GROUP BY doc_id
+), found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM said LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_quality_rules": op2_quality_rules,
@@ -173,4 +231,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_rules": QUALITY_SQL}
+    return {
+        "op2_quality_rules": QUALITY_SQL,
+        "op3_chat_format": CHAT_SQL,
+        "op6_decontamination": LEAKS_SQL,
+    }

@@ -19,12 +19,13 @@ def plain_quality(rows):
     norm = lambda line: "".join(c.lower() if "A" <= c <= "Z" else " " if c in "\t\x0b\x0c\r" else c for c in line).strip(" ")
     holders, hosts = {}, {}
     for r in rows:
-        hosts[r.source] = hosts.get(r.source, 0) + 1
+        hosts.setdefault(r.source, set()).add(r.text)
         for line in {norm(x) for x in (r.text or "").split("\n")}:
-            holders.setdefault((r.source, line), set()).add(r.doc_id)
+            holders.setdefault((r.source, line), []).append(r)
     shared = {
-        k: min(v) for k, v in holders.items()
-        if len(v) >= limits.min_docs and len(v) > limits.share * hosts[k[0]]
+        k: min(r.doc_id for r in v) for k, v in holders.items()
+        if len({r.text for r in v}) >= limits.min_docs
+        and len({r.text for r in v}) > limits.share * len(hosts[k[0]])
     }
     kept = {}
     for r in rows:

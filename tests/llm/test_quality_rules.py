@@ -34,6 +34,11 @@ def test_depleted_documents_go(spark):
     assert got == {0: True, 1: False, 2: False, 3: False, 4: False}
 
 
+def test_copies_do_not_make_a_line_shared(spark):
+    rows = [(i, f"{body(1)}\n{body(2)}", "a") for i in range(9)]
+    assert {r.kept for r in verdicts(spark, rows)} == {True}
+
+
 def test_measures_and_unusual_rows(spark):
     rows = [
         (1, "a b c a b c\nx", "h"), (None, None, None), (2, "", "h"), (2, "", "h"),
