@@ -14,20 +14,18 @@ OVERHEAD = 16
 def ring(spark: SparkSession, shards: int, replicas: int, positions: int) -> DataFrame:
     """One row per ring position: the shard whose virtual node comes next clockwise.
 
-    Nodes that hash to one position move on to the next free one, as a running maximum.
+    A node's place depends on its shard and number only, so that one more shard takes positions and
+    changes no other. Of nodes that hash to one position the one with the least hash stays.
     """
     nodes = shards * replicas
     if positions < 2 * nodes:
         raise ValueError("the ring needs at least two positions for each virtual node")
-    by_hash = W.orderBy("wanted", "id")
     placed = (
         spark.range(nodes)
-        .withColumn("wanted", F.pmod(F.xxhash64(F.lit("node"), "id"), F.lit(positions - nodes)))
-        .withColumn("turn", F.row_number().over(by_hash))
-        .select(
-            (F.col("id") % shards).cast("int").alias("node_shard"),
-            (F.max(F.col("wanted") - F.col("turn")).over(by_hash) + F.col("turn")).alias("cell"),
-        )
+        .selectExpr(f"CAST(id div {replicas} AS INT) AS node_shard", f"id % {replicas} AS number")
+        .withColumn("hash", F.xxhash64(F.lit("node"), "node_shard", "number"))
+        .groupBy(F.pmod("hash", F.lit(positions)).alias("cell"))
+        .agg(F.min_by("node_shard", "hash").alias("node_shard"))
     )
     cells = spark.range(positions).withColumnRenamed("id", "cell").join(placed, "cell", "left")
     back = W.orderBy(F.desc("cell")).rowsBetween(W.unboundedPreceding, 0)
