@@ -38,8 +38,8 @@ def lines(text: Column) -> Column:
     return F.transform(F.split(plain, "\n"), F.trim)
 
 
-def base_measures(docs: DataFrame) -> DataFrame:
-    """Adds the measures of a text by itself; the text counts as empty where it is NULL."""
+def word_measures(docs: DataFrame) -> DataFrame:
+    """Adds n_words and n_repeat_words, the words in a run of three that occurs more than once."""
     text = F.coalesce("text", F.lit(""))
     first = docs.withColumn("_words", words(text))
     n = F.size("_words")
@@ -69,15 +69,25 @@ def base_measures(docs: DataFrame) -> DataFrame:
     covered = F.array_distinct(
         F.flatten(F.transform(starts, lambda i: F.array(i, i + 1, i + 2)))
     )
+    return third.select(
+        *docs.columns,
+        "n_words",
+        F.coalesce(F.when(sorted_.isNotNull(), F.size(covered)), F.lit(0)).cast("long")
+        .alias("n_repeat_words"),
+    )
+
+
+def base_measures(docs: DataFrame) -> DataFrame:
+    """Adds the measures of a text by itself; the text counts as empty where it is NULL."""
+    text = F.coalesce("text", F.lit(""))
     full = F.filter(F.split(text, "\n"), lambda line: F.btrim(line, F.lit(BLANKS)) != "")
-    fourth = third.select(
+    fourth = word_measures(docs).select(
         *docs.columns,
         "n_words",
         F.length(F.translate(text, SPACES, "")).cast("long").alias("word_chars"),
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
         full.alias("_full"),
-        F.coalesce(F.when(sorted_.isNotNull(), F.size(covered)), F.lit(0)).cast("long")
-        .alias("n_repeat_words"),
+        "n_repeat_words",
     )
     n_dup_lines = (F.size("_full") - F.size(F.array_distinct("_full"))).cast("long")
     # As the output of a generator the measures are values: a later filter on them is not rewritten
@@ -89,20 +99,20 @@ def base_measures(docs: DataFrame) -> DataFrame:
 
 
 def shared_lines(docs: DataFrame, limits: Limits) -> DataFrame:
-    """Lines above the limits: host, line (hash) and the first document that has it.
+    """Lines above the limits: host and line (hash).
 
-    ``docs`` has doc_id, host and text. Equal texts are one document, so copies don't make their
+    ``docs`` has host and text. Equal texts are one document, so copies don't make their
     lines shared. Both steps of the distinct count combine before their shuffle: a line that every
     document has is spread over its texts first, and then one row per task.
     """
     each = docs.select(
-        "doc_id", "host", F.xxhash64(F.coalesce("text", F.lit(""))).alias("said"),
+        "host", F.xxhash64(F.coalesce("text", F.lit(""))).alias("said"),
         F.explode(F.array_distinct(F.transform(lines(F.col("text")), lambda x: F.xxhash64(x))))
         .alias("line"),
     )
     counted = (
         each.groupBy("host", "line")
-        .agg(F.countDistinct("said").alias("n_docs"), F.min("doc_id").alias("first_doc"))
+        .agg(F.countDistinct("said").alias("n_docs"))
         .filter(F.col("n_docs") >= limits.min_docs)
     )
     hosts = docs.groupBy(F.col("host").alias("of_host")).agg(
@@ -111,7 +121,7 @@ def shared_lines(docs: DataFrame, limits: Limits) -> DataFrame:
     return (
         counted.join(hosts, F.col("host").eqNullSafe(F.col("of_host")))
         .filter(F.col("n_docs") > limits.share * F.col("host_docs"))
-        .select("host", "line", "first_doc")
+        .select("host", "line")
     )
 
 
@@ -122,26 +132,103 @@ def _keys(docs: DataFrame) -> DataFrame:
     )
 
 
-def removed_lines(docs: DataFrame, shared: DataFrame, limits: Limits) -> DataFrame:
-    """Per row (by key): how many words its shared lines have, and their hashes.
+def base_failed(limits: Limits) -> Column:
+    return (F.col("n_words") < limits.min_words) | (
+        100 * F.col("n_repeat_words") > limits.max_repeat_percent * F.col("n_words")
+    )
+
+
+#: What is known of a document; the least of these among a line's holders says who keeps it.
+STAYS, OPEN, DEPLETED, FAILED = range(4)
 
-    The first document with a line keeps it, so that no line is lost from the corpus.
+
+def line_holders(docs: DataFrame, shared: DataFrame, limits: Limits) -> DataFrame:
+    """One row per place of a shared line in a row (by key), with the line's words ``n``.
+
+    ``state`` is FAILED where the text fails by itself, else OPEN.
     """
+    state = F.when(base_failed(limits), FAILED).otherwise(OPEN)
     each = (
-        _keys(docs)
-        .select("_k1", "_k2", "doc_id", "host", F.posexplode(lines(F.col("text"))))
+        word_measures(_keys(docs))
+        .select("_k1", "_k2", "doc_id", "host", "text", "n_words", state.alias("state"))
+        .select("_k1", "_k2", "doc_id", "host", "n_words", "state", F.posexplode(lines(F.col("text"))))
         .withColumnRenamed("col", "said")
         .withColumn("_line", F.xxhash64("said"))
     )
     found = each.join(
         shared.withColumnRenamed("host", "_host"),
         (F.col("_line") == F.col("line")) & F.col("host").eqNullSafe(F.col("_host")),
-    ).filter(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
+    )
     size = F.size(words(F.col("said")))
     return (
-        found.select("_k1", "_k2", "pos", "line", size.alias("n"))
+        found.select(
+            "_k1", "_k2", "doc_id", "host", "n_words", "state", "pos", "line",
+            size.cast("long").alias("n"),
+        )
         .filter(F.col("n") >= limits.min_line_words)
-        .dropDuplicates(["_k1", "_k2", "pos"])
+        .distinct()
+    )
+
+
+def with_keepers(holders: DataFrame) -> DataFrame:
+    """Adds ``best``, the least state among the holders of the row's line, and ``goes``: whether the
+    line is cut here, because another one is the first document of that state."""
+    firsts = [
+        F.min(F.when(F.col("state") == k, F.col("doc_id"))).alias(f"_first{k}")
+        for k in (STAYS, OPEN, DEPLETED, FAILED)
+    ]
+    keepers = holders.groupBy(F.col("host").alias("_host"), F.col("line").alias("_line")).agg(
+        F.min("state").alias("best"), *firsts
+    ).select(
+        "_host", "_line", "best",
+        F.get(F.array(*[f"_first{k}" for k in range(len(firsts))]), F.col("best")).alias("_first"),
+    )
+    return holders.join(
+        keepers, (F.col("_line") == F.col("line")) & F.col("host").eqNullSafe(F.col("_host"))
+    ).select(*holders.columns, "best", (~F.col("doc_id").eqNullSafe(F.col("_first"))).alias("goes"))
+
+
+def settled(holders: DataFrame, limits: Limits) -> DataFrame:
+    """``holders`` with every OPEN state decided: the document STAYS or is DEPLETED.
+
+    Each round lets the first open document keep a line that none of those that stay has. An open
+    document stays once it loses little enough even so, and is depleted once it loses too much to
+    documents that stay. The first open one does either in each round, so the rounds end; what an
+    earlier round decided stays true, as later ones only add documents that were behind it.
+    """
+    lost = lambda which: F.sum(F.when(which, F.col("n")).otherwise(0))
+    most = limits.depleted * F.col("n_words")
+    while not holders.filter(F.col("state") == OPEN).isEmpty():
+        decided = (
+            with_keepers(holders).filter(F.col("state") == OPEN)
+            .groupBy("_k1", "_k2", "n_words")
+            .agg(
+                lost(F.col("goes")).alias("_lost"),
+                lost(F.col("goes") & (F.col("best") == STAYS)).alias("_gone"),
+            )
+            .select(
+                "_k1", "_k2",
+                F.when(F.col("_lost") <= most, STAYS).when(F.col("_gone") > most, DEPLETED)
+                .otherwise(OPEN).alias("_state"),
+            )
+        )
+        holders = stored(
+            holders.join(decided, ["_k1", "_k2"], "left")
+            .withColumn("state", F.coalesce("_state", "state")).select(*holders.columns),
+            "line-holders",
+        )
+    return holders
+
+
+def removed_lines(docs: DataFrame, shared: DataFrame, limits: Limits) -> DataFrame:
+    """Per row (by key): how many words its shared lines have, and their hashes.
+
+    The first document that stays keeps a line. A line leaves the corpus only if each document with
+    it fails by itself or loses more than the limit to lines that stay elsewhere.
+    """
+    holders = settled(stored(line_holders(docs, shared, limits), "line-holders"), limits)
+    return (
+        with_keepers(holders).filter("goes")
         .groupBy("_k1", "_k2")
         .agg(F.sum("n").alias("_removed_words"), F.collect_set("line").alias("_removed"))
     )
@@ -153,8 +240,8 @@ def quality_rules(docs: DataFrame, limits: Limits = Limits(), host: str = "sourc
     Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, removed_words,
     clean_text and kept to the columns of ``docs``; an input column of such a name is replaced.
     A NULL text counts as empty (no words: base_failed) and stays NULL in clean_text. NULL hosts
-    form one host. NULL ids are ordinary rows; a line whose holders all have NULL ids is kept by
-    all of them. Rows equal in id, host and text get equal verdicts. An empty table gives no rows.
+    form one host. NULL ids are ordinary rows; a line whose staying holders all have NULL ids is kept
+    by all of them. Rows equal in id, host and text get equal verdicts. An empty table gives no rows.
     """
     made = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
             "removed_words", "clean_text", "kept"]
@@ -167,9 +254,7 @@ def quality_rules(docs: DataFrame, limits: Limits = Limits(), host: str = "sourc
     )
     judged = base_measures(keyed).join(removed, ["_k1", "_k2"], "left")
     gone = F.coalesce("_removed_words", F.lit(0))
-    base_failed = (F.col("n_words") < limits.min_words) | (
-        100 * F.col("n_repeat_words") > limits.max_repeat_percent * F.col("n_words")
-    )
+    failed = base_failed(limits)
     left = F.zip_with(
         F.split("text", "\n"), lines(F.col("text")),
         lambda raw, plain: F.when(
@@ -180,8 +265,8 @@ def quality_rules(docs: DataFrame, limits: Limits = Limits(), host: str = "sourc
     return judged.select(
         *docs.columns,
         *made[:5],
-        base_failed.alias("base_failed"),
+        failed.alias("base_failed"),
         gone.cast("long").alias("removed_words"),
         clean.alias("clean_text"),
-        (~base_failed & (gone <= limits.depleted * F.col("n_words"))).alias("kept"),
+        (~failed & (gone <= limits.depleted * F.col("n_words"))).alias("kept"),
     )

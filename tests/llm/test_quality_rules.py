@@ -34,6 +34,38 @@ def test_depleted_documents_go(spark):
     assert got == {0: True, 1: False, 2: False, 3: False, 4: False}
 
 
+def kept_texts(spark, rows):
+    return {r.doc_id: r.clean_text for r in verdicts(spark, rows) if r.kept}
+
+
+def test_keeper_is_a_document_that_stays(spark):
+    line = "Subscribe to our news letter"
+    rows = [(0, f"too short\n{line}", "a"), (1, f"{'x y z ' * 40}\n{line}", "a")]
+    rows += [(i, f"{body(i)}\n{line}", "a") for i in range(2, 6)]
+    assert kept_texts(spark, rows) == {2: f"{body(2)}\n{line}"} | {i: body(i) for i in range(3, 6)}
+
+
+def test_copies_of_a_rejected_document_leave_one(spark):
+    shared = "\n".join(body(f"s{k}", 20) for k in range(4))
+    rows = [(0, f"{shared}\n{'x y z ' * 99}", "a")] + [(i, f"{shared}\nown words {i}", "a") for i in range(1, 5)]
+    assert kept_texts(spark, rows) == {1: f"{shared}\nown words 1"}
+
+
+def test_keeper_is_not_depleted(spark):
+    shared, line = "\n".join(body(f"s{k}", 20) for k in range(4)), "a line of five words"
+    rows = [(i, f"{shared}\n{line}" if i == 1 else f"{shared}\nown {i}", "a") for i in range(4)]
+    rows += [(i, f"{body(i)}\n{line}", "a") for i in range(5, 8)]
+    got = kept_texts(spark, rows)
+    assert set(got) == {0, 5, 6, 7} and [i for i in got if line in got[i]] == [5]
+
+
+def test_line_of_depleted_documents_only_brings_one_back(spark):
+    shared, passage = "\n".join(body(f"s{k}", 100) for k in range(4)), body("p")
+    rows = [(i, f"{shared}\n{passage}" if i == 1 else f"{shared}\nown {i}", "a") for i in range(4)]
+    rows += [(i, f"{passage}\nown words {i}", "a") for i in (10, 11)]
+    assert kept_texts(spark, rows) == {0: f"{shared}\nown 0", 10: f"{passage}\nown words 10"}
+
+
 def test_copies_do_not_make_a_line_shared(spark):
     rows = [(i, f"{body(1)}\n{body(2)}", "a") for i in range(9)]
     assert {r.kept for r in verdicts(spark, rows)} == {True}
