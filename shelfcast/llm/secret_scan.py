@@ -29,7 +29,20 @@ ASSIGN_CHARS, ACCESS_CHARS = 12, 18
 CHECKED = re.compile(r"(?:ghp|gho|ghu|ghs|ghr|npm)_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 SIGNED = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]{16,}")
-PRIVATE = re.compile(r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----")
+#: A private key from its header to the END line of the same label. Without one it goes on over
+#: fields (``Name: value``) and the base64 run: pieces of 16 characters or more, shorter lines right
+#: below them, and a last short piece that is no plain word. Lines may be quoted, indented or escaped.
+_BREAK = r"""[\x20\t"',;]*+(?:\\r)?(?:\r\n?|\n|\\n)[\x20\t>#|"'*]*+"""
+_BETWEEN = r"""(?:\\[nrt]|[\s>#|"',;*]|\+(?![A-Za-z0-9+/=]))++"""
+_LONG = rf"{_BETWEEN}[A-Za-z0-9+/=]{{16,}}+"
+_LINE = rf"""{_BREAK}[A-Za-z0-9+/=]++(?=[\x20\t"',;]*+(?:[\r\n]|\\[rn]|\Z))"""
+PRIVATE = re.compile(
+    r"-----BEGIN (?P<label>(?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?)-----"
+    r"(?:(?:(?!-----(?:BEGIN|END) ).)*+-----END (?P=label)-----"
+    rf"|(?:{_BREAK}[A-Za-z][A-Za-z0-9-]*+:\x20(?:(?!\\n)[^\r\n])*+)*+"
+    rf"(?:{_LONG}(?:{_LONG}|{_LINE})*+(?:{_BETWEEN}(?=[A-Za-z]*[0-9+/=])[A-Za-z0-9+/=]++)?)?)",
+    re.DOTALL,
+)
 
 #: Keyword (lower case) to kind: a pattern is tried only where one of its keywords starts.
 KEYWORDS = {

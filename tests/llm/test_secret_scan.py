@@ -47,6 +47,34 @@ def test_checksums():
     assert [s[2] for s in S.find("-----BEGIN RSA PRIVATE KEY-----", finder)] == ["private"]
 
 
+def redacted(text):
+    return S.redact(text, S.find(text, S.keyword_automaton()))
+
+
+def test_private_keys_go_whole():
+    rng = random.Random(7)
+    body = ["".join(rng.choices(S.BASE62 + "+/", k=64)) for _ in range(9)] + ["Qx7/abcdEFG="]
+    for label in ("PRIVATE KEY", "RSA PRIVATE KEY", "ENCRYPTED PRIVATE KEY", "PGP PRIVATE KEY BLOCK"):
+        for fields in ([], ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0A1B", ""], ["Version: GnuPG v2", ""]):
+            for end in ([f"-----END {label}-----"], []):
+                key = [f"-----BEGIN {label}-----", *fields, *body, *end]
+                for sep in ("\n", "\r\n", "\\n", "\n    ", "\n> "):
+                    text = f"before {sep.join(key)}\n\nafter it"
+                    assert redacted(text) == "before <private>\n\nafter it", text
+                if not fields:
+                    assert redacted(f"before {' '.join(key)} after it") == "before <private> after it"
+
+
+def test_private_key_is_cut_where_it_breaks_off():
+    head, line = "-----BEGIN EC PRIVATE KEY-----", "AbC1" * 16
+    assert redacted(f"{head}\n{line}\nshort") == "<private>"
+    assert redacted(f"the line {head} opens a key\n") == "the line <private> opens a key\n"
+    assert redacted(f"{head}\n{line}\n{head}\n{line}\n-----END EC PRIVATE KEY-----.") == "<private>\n<private>."
+    assert redacted(f"{head}\n{line}\n-----END CERTIFICATE-----") == "<private>\n-----END CERTIFICATE-----"
+    many = f"{head} a\n" * 20_000
+    assert redacted(many) == "<private> a\n" * 20_000
+
+
 def test_redaction():
     text = "a password=abcdefghijklmnopqr b"
     spans = S.find(text, S.keyword_automaton())
