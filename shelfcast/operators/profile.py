@@ -5,7 +5,8 @@ in ordered buckets, and only a group's bucket totals are brought together to fin
 that hold the wanted ranks. Each of these is cut again, into equal parts of its own range, and the
 rows of just the parts that hold a wanted rank are ranked, each part on its own. A group with a
 third of all rows is thus spread over its values, buckets and parts, also where all its values lie
-close together.
+close together. Not so where an outlier stretches a bucket's range: there is no third cut, and the
+distinct values that fall into one part are ranked in one task.
 """
 
 from __future__ import annotations
