@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -14,14 +15,18 @@ from shelfcast.llm import (
     chat,
     decontamination,
     language_id,
+    prefix_trie,
     quality_classifier,
     quality_rules,
     secret_scan,
     sharding,
     simhash,
+    spelling,
     toxicity,
+    twins,
+    warc,
 )
-from shelfcast.llm.shared import map_texts, table
+from shelfcast.llm.shared import map_texts, shared_folder, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -104,6 +109,32 @@ def op10_secret_scan(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, d: str) -> DataFrame:
+    """Each conversation takes its first turns from the first of its group of five."""
+    donor = F.col("conv_id") - F.col("conv_id") % 5
+    taken = F.crc32(F.col("conv_id").cast("string")) % 9
+    return prefix_trie.prefix_trie(table(spark, d, "conversations"), donor, taken, most_taken=8)
+
+
+def op12_warc(spark: SparkSession, d: str) -> DataFrame:
+    folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write_archive(table(spark, d, "pages"), folder)
+    return warc.read_archive(spark, folder)
+
+
+def op13_spelling(spark: SparkSession, d: str) -> DataFrame:
+    """Words of seven code points or more, one in 31 of their occurrences with a letter left out."""
+    runs = spelling.runs(table(spark, d, "documents")).filter("length(run) >= 7")
+    said = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run"))
+    spelt = runs.select("run", F.crc32(said).alias("h")).selectExpr(
+        """CASE WHEN h % 31 = 0
+        THEN concat(substring(run, 1, int(h % length(run))), substring(run, int(h % length(run)) + 2))
+        ELSE run END AS word"""
+    )
+    words = spelt.filter("length(word) >= 7").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return spelling.group_variants(words.filter("n >= 2"))
+
+
 QUALITY_SQL = """
 WITH d AS (
   SELECT doc_id, source, coalesce(text, '') AS text,
@@ -223,6 +254,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_secret_scan": op10_secret_scan,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_warc": op12_warc,
+    "op13_spelling": op13_spelling,
 }
 
 
@@ -235,4 +269,7 @@ def oracle_sql() -> dict[str, str]:
         "op2_quality_rules": QUALITY_SQL,
         "op3_chat_format": CHAT_SQL,
         "op6_decontamination": LEAKS_SQL,
+        "op11_prefix_trie": twins.TRIE_SQL,
+        "op12_warc": twins.ARCHIVE_SQL,
+        "op13_spelling": twins.SPELLING_SQL,
     }
