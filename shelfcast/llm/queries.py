@@ -38,7 +38,7 @@ def op1_sharding(spark: SparkSession, d: str) -> DataFrame:
 def op2_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, d, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "base_failed", "kept",
+        "base_failed", "kept", "removed_words",
     )
 
 
@@ -137,17 +137,16 @@ def op13_spelling(spark: SparkSession, d: str) -> DataFrame:
 
 QUALITY_SQL = """
 WITH d AS (
-  SELECT doc_id, source, coalesce(text, '') AS text,
-         translate(coalesce(text, ''), chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '     ')
-           AS spaced
+  SELECT doc_id, source, coalesce(text, '') AS text, md5(coalesce(text, '')) AS body,
+    string_split(coalesce(text, ''), chr(10)) AS raw,
+    list_transform(string_split(translate(coalesce(text, ''),
+      chr(9) || chr(11) || chr(12) || chr(13), '    '), chr(10)),
+      lambda x: list_filter(string_split(x, ' '), lambda w: w <> '')) AS said
   FROM documents
 ), w AS (
-  SELECT *, list_filter(string_split(spaced, ' '), lambda x: x <> '') AS words,
-    list_filter(string_split(text, chr(10)),
-      lambda x: trim(x, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> '') AS full_lines,
-    list_transform(string_split(translate(text,
-        'ABCDEFGHIJKLMNOPQRSTUVWXYZ' || chr(9) || chr(11) || chr(12) || chr(13),
-        'abcdefghijklmnopqrstuvwxyz    '), chr(10)), lambda x: trim(x, ' ')) AS plain
+  SELECT *, flatten(said) AS words,
+    list_transform(list_filter(range(1, len(raw) + 1), lambda i: len(said[i]) > 0), lambda i: raw[i])
+      AS full_lines
   FROM d
 ), starts AS (
   SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS win
@@ -157,32 +156,51 @@ WITH d AS (
 ), covered AS (
   SELECT doc_id, count(DISTINCT p) AS n_repeat_words
   FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM again) GROUP BY doc_id
-), line AS (
-  SELECT doc_id, source, md5(text) AS body, unnest(plain) AS said FROM w
-), shared AS (
-  SELECT l.source, l.said, min(l.doc_id) AS first_doc
-  FROM line l JOIN (SELECT source, count(DISTINCT md5(text)) AS n FROM d GROUP BY source) h
-    ON l.source IS NOT DISTINCT FROM h.source
-  GROUP BY l.source, l.said, h.n
-  HAVING count(DISTINCT l.body) >= 20 AND count(DISTINCT l.body) > 0.01 * h.n
-), gone AS (
-  SELECT l.doc_id, sum(len(list_filter(string_split(l.said, ' '), lambda x: x <> ''))) AS removed
-  FROM line l JOIN shared s ON l.source IS NOT DISTINCT FROM s.source AND l.said = s.said
-  WHERE l.doc_id <> s.first_doc
-    AND len(list_filter(string_split(l.said, ' '), lambda x: x <> '')) >= 3
-  GROUP BY l.doc_id
 ), m AS (
-  SELECT w.doc_id, len(words) AS n_words,
-    length(translate(spaced, ' ', '')) AS word_chars,
+  SELECT doc_id, source, len(words) AS n_words,
+    CAST(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
     length(text) - length(translate(text, '#*$%&|<>', '')) AS n_symbols,
     len(full_lines) - len(list_distinct(full_lines)) AS n_dup_lines,
-    coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(removed, 0) AS removed
-  FROM w LEFT JOIN covered USING (doc_id) LEFT JOIN gone USING (doc_id)
+    coalesce(n_repeat_words, 0) AS n_repeat_words,
+    len(words) < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * len(words) AS base_failed
+  FROM w LEFT JOIN covered USING (doc_id)
+), line AS (
+  SELECT doc_id, coalesce(source, '-') AS host, body, len(ws) AS n,
+    translate(array_to_string(ws, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz') AS said
+  FROM (SELECT doc_id, source, body, unnest(said) AS ws FROM w) WHERE len(ws) > 0
+), shared AS (
+  SELECT host, said FROM line GROUP BY host, said HAVING count(DISTINCT body) >= 6
+), places AS (
+  SELECT doc_id, host, said, sum(n) AS n, any_value(n_words) AS n_words, any_value(NOT base_failed) AS good
+  FROM line JOIN shared USING (host, said) JOIN m USING (doc_id) GROUP BY doc_id, host, said
+), first_pass AS (
+  SELECT doc_id, sum(CASE WHEN doc_id <> keeper THEN n ELSE 0 END) <= 0.3 * any_value(n_words) AS stays
+  FROM (SELECT *, min(doc_id) OVER (PARTITION BY host, said) AS keeper FROM places WHERE good)
+  GROUP BY doc_id
+), once AS (
+  SELECT p.*, coalesce(stays, false) AS stays,
+    bool_or(coalesce(stays, false)) OVER (PARTITION BY host, said) AS held
+  FROM places p LEFT JOIN first_pass USING (doc_id)
+), able AS (
+  SELECT doc_id FROM once WHERE good AND NOT stays GROUP BY doc_id
+  HAVING sum(CASE WHEN held THEN n ELSE 0 END) <= 0.3 * any_value(n_words)
+), back AS (
+  SELECT DISTINCT min(doc_id) AS doc_id FROM once JOIN able USING (doc_id)
+  WHERE NOT held GROUP BY host, said
+), last AS (
+  SELECT o.* EXCLUDE (stays), stays OR b.doc_id IS NOT NULL AS stays
+  FROM once o LEFT JOIN back b USING (doc_id)
+), kept_lines AS (
+  SELECT *, min(CASE WHEN stays THEN doc_id END) OVER (PARTITION BY host, said) AS keeper FROM last
+), gone AS (
+  SELECT doc_id, bool_or(stays) AS stays, sum(CASE WHEN doc_id <> keeper THEN n ELSE 0 END) AS removed
+  FROM kept_lines GROUP BY doc_id
 )
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND removed <= 0.8 * n_words AS kept
-FROM m
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  CAST(coalesce(removed, 0) AS BIGINT) AS removed_words,
+  NOT base_failed AND coalesce(stays, true) AS kept
+FROM m LEFT JOIN gone USING (doc_id)
 """
 
 # A turn has 15 characters around role and text; a text that would not read back as it is has a

@@ -5,6 +5,7 @@ import hashlib
 import corpus_pipeline as P
 import public_tokenizers
 from test_decontamination import brute
+from test_quality_rules import plain_verdicts
 from test_simhash import slow_components, slow_fingerprint
 
 from shelfcast.llm import byte_bpe, secret_scan
@@ -15,36 +16,8 @@ SF = "/root/testdata/sf0.001"
 
 def plain_quality(rows):
     """(doc_id, text) kept by the rules, lines of a host above the limits taken out."""
-    limits = Limits()
-    norm = lambda line: "".join(c.lower() if "A" <= c <= "Z" else " " if c in "\t\x0b\x0c\r" else c for c in line).strip(" ")
-    holders, hosts = {}, {}
-    for r in rows:
-        hosts.setdefault(r.source, set()).add(r.text)
-        for line in {norm(x) for x in (r.text or "").split("\n")}:
-            holders.setdefault((r.source, line), []).append(r)
-    shared = {
-        k: min(r.doc_id for r in v) for k, v in holders.items()
-        if len({r.text for r in v}) >= limits.min_docs
-        and len({r.text for r in v}) > limits.share * len(hosts[k[0]])
-    }
-    kept = {}
-    for r in rows:
-        words = (r.text or "").encode().split()
-        triples = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
-        count = {}
-        for t in triples:
-            count[t] = count.get(t, 0) + 1
-        again = {p for i, t in enumerate(triples) if count[t] > 1 for p in (i, i + 1, i + 2)}
-        left, removed = [], 0
-        for line in (r.text or "").split("\n"):
-            n = len(norm(line).split())
-            if shared.get((r.source, norm(line)), r.doc_id) != r.doc_id and n >= limits.min_line_words:
-                removed += n
-            else:
-                left.append(line)
-        if len(words) >= 50 and 100 * len(again) <= 50 * len(words) and removed <= limits.depleted * len(words):
-            kept[r.doc_id] = "\n".join(left)
-    return kept
+    done = plain_verdicts([(r.doc_id, r.text, r.source) for r in rows], Limits())
+    return {d: text for d, (kept, text, _) in done.items() if kept}
 
 
 def test_stages(spark):
