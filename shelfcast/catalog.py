@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from shelfcast.functions import times
 from shelfcast.functions.times import weekday_one_hot
-from shelfcast.operators import daily, forecast, labs, ledger, moving, runs, training
+from shelfcast.operators import daily, forecast, labs, ledger, moving, runs, training, versions
 from shelfcast.plans import adapters, reporting
 from shelfcast.settings import MODEL_FIELDS, Params
 
@@ -296,6 +296,18 @@ def usage_as_of(spark, d):
     return daily.known_as_of(arrived[0].unionByName(arrived[1]), "arrival")
 
 
+def windows_as_known(spark, d):
+    """The last ten usage dates as known in each week; a third of the lines comes 5 days late, a third 10."""
+    lines = adapters.transfusion(spark, d).filter(F.col("type") == adapters.UNIT_TYPE)
+    date = F.col("issue_time").cast("date")
+    late = F.coalesce(F.pmod("l_orderkey", F.lit(3)), F.lit(0)).cast("int") * 5
+    week = F.floor(F.datediff(F.date_add(date, late), F.lit("1992-01-01")) / 7).cast("int")
+    parts = lines.groupBy(date.alias("date"), week.alias("run")).agg(F.count(F.lit(1)).alias("used"))
+    known = daily.accumulate([versions.versions(parts)], ("run",))
+    last_run = parts.agg(F.max("run")).first()[0] or 0
+    return versions.windows(versions.spans(known), last_run, 10)
+
+
 def file_stamps(spark, d):
     """Both stamp formats, written from the orders' dates and read back."""
     clock = F.make_interval(
@@ -384,6 +396,7 @@ _PLAIN: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "forecast_windows": forecast_windows,
     "forecast_gradient": forecast_gradient,
     "usage_as_of": usage_as_of,
+    "windows_as_known": windows_as_known,
     "file_stamps": file_stamps,
     "file_name_parts": file_name_parts,
     "expiry_times": expiry_times,

@@ -518,6 +518,21 @@ ranges as (select measure, min(value) as lo, max(value) as hi from measures grou
               as used
             from (select *, 1 as arrival from batch0 union all select *, 2 from batch1)""",
         ),
+        "windows_as_known": """
+            with parts as (
+              select date, cast(floor((date + late - date '1992-01-01') / 7) as integer) as run,
+                count(*) as n
+              from (select cast(l_shipdate as date) as date,
+                  5 * cast(coalesce(l_orderkey % 3, 0) as integer) as late
+                from lineitem where l_returnflag = 'R')
+              group by 1, 2),
+            runs as (select unnest(range(0, (select max(run) from parts) + 1)) as run),
+            known as (
+              select r.run, date, cast(sum(n) as bigint) as used
+              from runs r join parts p on p.run <= r.run group by 1, 2)
+            select cast(run as integer) as run, date, used,
+              row_number() over (partition by run order by date desc) as back
+            from known qualify back <= 10""",
         "file_stamps": _query(
             ["""stamped as (
   select o_orderkey, cast(cast(o_orderdate as date) as timestamp) + to_hours(o_orderkey % 24)

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfcast.operators import daily, forecast, labs, runs, training
+from shelfcast.operators import daily, forecast, labs, runs, training, versions
 from shelfcast.plans import bulk, reporting
 from shelfcast.settings import MODEL_FIELDS, Params
 from shelfcast.sources import checks, feeds, reports
@@ -225,10 +225,9 @@ def backfill(
 ) -> DataFrame:
     """All days of a range after a complete day, seed or run: (as_of, date, t_pred).
 
-    The result equals that of day-by-day runs. Files are read once for all days; then stretches of
-    days are forecast together, from windows over the whole series. A day with late rows, or with
-    no new usage date, starts a new stretch, so that no forecast sees what came in after its day.
-    Each stretch is complete by itself, and daily runs can go on from the last day.
+    The result equals that of day-by-day runs, late rows or not: each run sees every date as known
+    on its day. Files are read once for all days, and all windows, models and forecasts come from one
+    plan, whatever the number of days. Daily runs can go on from the last day.
     """
     dates = sorted(dates)
     before = store.latest_day(spark, state, before=dates[0])
@@ -238,97 +237,122 @@ def backfill(
     increments = process_days(spark, folder, dates, params, report_folder)
     for name, df in increments.items():
         store.write_days(df, state, name, dates)
-    for days in _stretches(spark, state, dates, before):
-        _backfill_stretch(spark, state, days, before, params)
-        before = days[-1]
+
+    prior = store.read_day(spark, state, "runs", before).first()
+    log = _run_log(spark, state, dates, params, before, prior).persist()  # one row per day
+    try:
+        _forecast_days(spark, state, dates, before, log, params)
+        store.write_days(log, state, "runs", dates)
+    finally:
+        log.unpersist()
     return store.of_days(store.read_table(spark, state, "prediction"), dates).select(
         "as_of", "date", "t_pred"
     )
 
 
-def _stretches(
-    spark: SparkSession, state: str, dates: Sequence[str], before: str
-) -> list[list[str]]:
-    """The days cut where an increment reaches back, or brings no usage of a later date.
+def _numbered(spark: SparkSession, dates: Sequence[str]) -> DataFrame:
+    """(as_of, run) of the days, one row each."""
+    lines = [(dt.date.fromisoformat(d), i) for i, d in enumerate(dates)]
+    return spark.createDataFrame(lines, "as_of date, run int")
+
 
-    Only the first and last date of each day's increments come to the driver.
+def _by_run(spark: SparkSession, state: str, table: str, dates: Sequence[str], before: str) -> DataFrame:
+    """Rows of a state table by the run that brought them; what was there before came with the first."""
+    rows = store.read_committed(spark, state, table, before, dates)
+    runs = F.broadcast(_numbered(spark, dates))
+    return (
+        rows.join(runs, "as_of", "left").drop("as_of")
+        .withColumn(versions.RUN, F.coalesce(versions.RUN, F.lit(0)))
+    )
+
+
+def tables_as_known(
+    spark: SparkSession, state: str, dates: Sequence[str], before: str, log: DataFrame,
+    params: Params,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(training table, usage, incomplete dates) as each run knows them, by ``run``.
+
+    A run that retrains has its whole window, any other the rows behind its last one's means.
     """
-    parts: list[list[str]] = []
-    known, reach = {}, {}
-    for table in ("labs", "census", "usage"):
-        old = store.read_committed(spark, state, table, before)
-        known[table] = old.agg(F.max("date")).first()[0]
-        new = store.of_days(store.read_table(spark, state, table), dates)
-        reach[table] = {
-            str(r["as_of"]): (r["first"], r["last"])
-            for r in new.groupBy("as_of").agg(
-                F.min("date").alias("first"), F.max("date").alias("last")
-            ).collect()
-        }
-    for day in dates:
-        late, grown = False, False
-        for table in reach:
-            first, last = reach[table].get(day, (None, None))
-            if last is None:
-                continue
-            late |= known[table] is not None and first <= known[table]
-            if known[table] is None or last > known[table]:
-                known[table] = last
-                grown |= table == "usage"
-        if parts and not late and grown:
-            parts[-1].append(day)
-        else:
-            parts.append([day])
-    return parts
+    last_run, by = len(dates) - 1, (versions.RUN,)
 
+    def known(table: str) -> DataFrame:
+        return versions.versions(_by_run(spark, state, table, dates, before))
 
-def _backfill_stretch(
-    spark: SparkSession, state: str, days: Sequence[str], before: str, params: Params
-) -> None:
-    """Forecast, model and run lines of days whose increments are written; the lines come last."""
-    last_day = days[-1]
-    prior = store.read_day(spark, state, "runs", before).first()
-    table, usage, incomplete = state_table(spark, state, params, before, days)
-    _require_complete(table, usage, incomplete)
+    usage = versions.spans(daily.accumulate([known("usage")], by))
+    seen = versions.windows(usage, last_run, params.history_window + 1).persist()
+    starts = versions.window_starts(seen)
+    start = F.lit(starts.agg(F.min("start")).first()[0])
+
+    counts = labs.lab_threshold_counts(known("labs").filter(F.col("date") >= start), params.rules, by)
+    features = labs.lab_features_wide(counts, params.rules, by)
+    census = daily.census_wide(known("census").filter(F.col("date") >= start), params.wards, by)
+    features, census = [
+        versions.since(versions.spans(wide), starts, last_run) for wide in (features, census)
+    ]
+    used = (
+        seen.join(log.select(versions.RUN, training.RETRAIN), versions.RUN)
+        .filter(F.col(training.RETRAIN) | (F.col("back") <= params.smoothing))
+        .drop("back", training.RETRAIN)
+    )
+    table = training.training_table(features, census, used, by, params.smoothing)
+    return table, used, training.incomplete_dates(features, census, used, by)
 
-    log = _run_log(spark, state, days, params, before, prior).persist()  # one row per day
-    try:
-        flagged = table.join(log.select("date", training.RETRAIN), "date", "left")
-        fresh = forecast.rolling_forecast(
-            flagged, (), params.history_window, params.smoothing, params.penalty_factor
-        ).select("date", "model_date", "t_pred")
-        predicted = log.select("as_of", "date").join(fresh, "date", "left")
-        if prior["age_after"] is None:
-            predicted = predicted.select("as_of", "date", "t_pred")
-        else:
-            model = store.read_day(spark, state, "model", before)
-            carried = forecast.score(
-                table.join(log.select("date"), "date", "left_semi"), model
-            ).withColumnRenamed("t_pred", "t_old")
-            predicted = predicted.join(carried, "date", "left").select(
-                "as_of", "date",
-                F.when(F.col("model_date").isNotNull(), F.col("t_pred"))
-                .otherwise(F.col("t_old")).alias("t_pred"),
-            )
-        store.write_days(predicted, state, "prediction", days)
 
-        fitted = log.filter(training.RETRAIN).agg(F.max("as_of")).first()[0]
-        if fitted is None:
+def _forecast_days(
+    spark: SparkSession, state: str, dates: Sequence[str], before: str, log: DataFrame,
+    params: Params,
+) -> None:
+    """Forecasts of all days, and scaler and model in force after the last one."""
+    by = (versions.RUN,)
+    log = log.join(F.broadcast(_numbered(spark, dates)), "as_of").select(
+        "as_of", versions.RUN, training.RETRAIN
+    )
+    table, used, incomplete = tables_as_known(spark, state, dates, before, log, params)
+    table = table.persist()  # a window per retrain, a few rows per other run
+    try:
+        _require_complete(table, used, incomplete)
+        fits = log.filter(training.RETRAIN).select(versions.RUN)
+        models = forecast.fit_model(
+            table.join(F.broadcast(fits), versions.RUN), by, params.smoothing,
+            params.penalty_factor, params.history_window,
+        ).persist()  # one row per retrain
+        old = store.read_day(spark, state, "model", before).drop("as_of")
+        all_models = models.withColumnRenamed(versions.RUN, "fitted").unionByName(
+            old.withColumn("fitted", F.lit(-1))
+        )
+        so_far = Window.orderBy(versions.RUN).rowsBetween(Window.unboundedPreceding, 0)
+        fitted = F.max(F.when(F.col(training.RETRAIN), F.col(versions.RUN))).over(so_far)
+        in_force = (
+            log.select(versions.RUN, F.coalesce(fitted, F.lit(-1)).alias("fitted"))
+            .join(all_models, "fitted").drop("fitted")
+        )
+        predicted = forecast.score(daily.last_days(table, 1, by), in_force, by)
+        store.write_days(
+            predicted.join(log.select("as_of", versions.RUN), versions.RUN)
+            .select("as_of", "date", "t_pred"),
+            state, "prediction", dates,
+        )
+        last = fits.agg(F.max(versions.RUN)).first()[0]
+        if last is None:
             for kind in ("scaler", "model"):
-                store.write_day(store.read_day(spark, state, kind, before), state, kind, last_day)
+                store.write_day(store.read_day(spark, state, kind, before), state, kind, dates[-1])
         else:
-            seen = [d for d in days if d <= str(fitted)]
-            cut, _, _ = state_table(spark, state, params, before, seen, params.history_window + 1)
-            _fit(cut, state, last_day, params)
-        store.write_days(log, state, "runs", days)
+            window = daily.first_days(
+                table.filter(F.col(versions.RUN) == last).drop(versions.RUN), params.history_window
+            )
+            store.write_day(training.fit_scaler(window), state, "scaler", dates[-1])
+            model = models.filter(F.col(versions.RUN) == last).drop(versions.RUN)
+            store.write_day(model, state, "model", dates[-1])
+        models.unpersist()
     finally:
-        log.unpersist()
+        table.unpersist()
 
 
 def _run_log(
     spark: SparkSession, state: str, days: Sequence[str], params: Params, before: str, prior: Row
 ) -> DataFrame:
-    """The lines of ``runs`` of a stretch, each about the last usage date known on its day."""
+    """The lines of ``runs`` of the days, each about the last usage date known on its day."""
     written = {
         t: store.of_days(store.read_table(spark, state, t), days)
         for t in ("labs", "census", "usage")

@@ -150,6 +150,53 @@ def test_backfill_with_late_rows_and_a_day_without_units(spark, folders, tmp_pat
     same_state(spark, states[1], states[0], days, predicted, got)
 
 
+def late_files(folder, days: int) -> list[str]:
+    """A late row on every day; labs and patients of the day before come late too."""
+    out = []
+    for i in range(days):
+        as_of = write_day(folder, SEED_DAYS + i, late=1 + i % 3)
+        day = FIRST + dt.timedelta(days=SEED_DAYS + i)
+        before = day - dt.timedelta(days=1 + i % 2)
+        with (folder / (ff.CBC % as_of)).open("a") as f:
+            row = ff.lab(before.strftime("%d-%b-%y") + " 07:00:00", "HGB", str(4 + i % 3))
+            f.write("\t".join(str(row.get(c, "")) for c in feeds.LABS.columns) + "\n")
+        with (folder / (ff.CENSUS % as_of)).open("a") as f:
+            row = ff.stay(before.strftime("%m/%d/%Y") + "  11:59:00PM", "B1")
+            f.write("\t".join(str(row.get(c, "")) for c in feeds.CENSUS.columns) + "\n")
+        out.append(as_of)
+    return out
+
+
+def test_backfill_with_late_rows_on_every_day(spark, folders, tmp_path, tmp_path_factory):
+    old, _, seed_day, _ = folders
+    new = tmp_path_factory.mktemp("always-late")
+    days = late_files(new, 6)
+    states = [str(tmp_path / n) for n in ("daily", "range")]
+    for state in states:
+        increments.seed(spark, old, state, seed_day, PARAMS)
+    predicted = [increments.predict_for_date(spark, str(new), states[0], d, PARAMS).first() for d in days]
+    got = rows(increments.backfill(spark, str(new), states[1], days, PARAMS))
+    same_state(spark, states[1], states[0], days, predicted, got)
+    assert all(r == "several dates" for (r,) in rows(store.of_days(store.read_table(spark, states[1], "runs"), days[1:]), "reason"))
+
+
+def test_steps_of_a_backfill_do_not_grow_with_its_days(spark, folders, tmp_path, tmp_path_factory):
+    old, _, seed_day, _ = folders
+    new = tmp_path_factory.mktemp("many-late")
+    days = late_files(new, 12)
+
+    def jobs(n):
+        state = str(tmp_path / f"n{n}")
+        increments.seed(spark, old, state, seed_day, PARAMS)
+        spark.sparkContext.setJobGroup(f"backfill-{n}", "")
+        increments.backfill(spark, str(new), state, days[:n], PARAMS)
+        found = spark.sparkContext.statusTracker().getJobIdsForGroup(f"backfill-{n}")
+        spark.sparkContext.setJobGroup("other", "")
+        return len(found)
+
+    assert jobs(12) <= 1.2 * jobs(4)  # adaptive execution counts a stage as a job
+
+
 def test_broken_run_leaves_no_complete_day(spark, folders, tmp_path, monkeypatch):
     old, new, seed_day, days = folders
     state = str(tmp_path)
