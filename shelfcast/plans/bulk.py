@@ -9,12 +9,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast.operators import daily, labs
-from shelfcast.settings import DEFAULT_RULES, DEFAULT_WARDS, LabRule, rule_names
-from shelfcast.sources import checks, feeds, reports
+from shelfcast.settings import DEFAULT_RULES, DEFAULT_WARDS, LabRule
+from shelfcast.sources import feeds, landing, reports
 
 FILE = ("file_name",)
 
@@ -70,66 +69,48 @@ def process_inventory(rows: DataFrame, date: str | None = None) -> Processed:
 def process_all_labs(
     spark: SparkSession, folder: str, rules: Sequence[LabRule] = DEFAULT_RULES,
     report_folder: str | None = None, pattern: str | None = None, dedupe: str = "values",
-    feed: feeds.Feed = feeds.LABS,
+    feed: feeds.Feed = feeds.LABS, landing_folder: str | None = None,
 ) -> DataFrame:
-    rows = checked(spark, folder, feed, pattern, rules)
+    rows = checked(spark, folder, feed, pattern, rules, landing_folder)
     return finish(process_labs(rows, rules, dedupe), report_folder)
 
 
 def process_all_census(
     spark: SparkSession, folder: str, wards: Sequence[str] = DEFAULT_WARDS,
     report_folder: str | None = None, pattern: str | None = None,
-    feed: feeds.Feed = feeds.CENSUS,
+    feed: feeds.Feed = feeds.CENSUS, landing_folder: str | None = None,
 ) -> DataFrame:
     """One row per date, one column per configured ward."""
-    rows = checked(spark, folder, feed, pattern)
+    rows = checked(spark, folder, feed, pattern, landing_folder=landing_folder)
     return daily.census_wide(finish(process_census(rows), report_folder), wards)
 
 
 def process_all_transfusion(
     spark: SparkSession, folder: str, report_folder: str | None = None,
     pattern: str | None = None, feed: feeds.Feed = feeds.TRANSFUSION,
+    landing_folder: str | None = None,
 ) -> DataFrame:
-    rows = checked(spark, folder, feed, pattern)
+    rows = checked(spark, folder, feed, pattern, landing_folder=landing_folder)
     return finish(process_transfusion(rows), report_folder)
 
 
 def process_all_inventory(
     spark: SparkSession, folder: str, report_folder: str | None = None,
     pattern: str | None = None, feed: feeds.Feed = feeds.INVENTORY,
+    landing_folder: str | None = None,
 ) -> DataFrame:
-    rows = checked(spark, folder, feed, pattern)
+    rows = checked(spark, folder, feed, pattern, landing_folder=landing_folder)
     return finish(process_inventory(rows), report_folder)
 
 
-def bad_stamp(feed: feeds.Feed, rules: Sequence[LabRule] = DEFAULT_RULES) -> Column:
-    """True for rows without the time stamp the feed must have; labs need it for configured names."""
-    if feed.name == feeds.LABS.name:
-        return F.col("result_time").isNull() & F.col("base_name").isin(rule_names(rules))
-    if feed.name == feeds.CENSUS.name:
-        return F.col("location_time").isNull()
-    if feed.name == feeds.TRANSFUSION.name:
-        return F.col("issue_time").isNull()
-    return F.lit(False)
-
-
-def check_rows(
-    spark: SparkSession, folder: str, feed: feeds.Feed, rows: DataFrame,
-    pattern: str | None = None, rules: Sequence[LabRule] = DEFAULT_RULES,
-) -> None:
-    """Stop on files without rows and on unparseable time stamps."""
-    problems = checks.file_problems(spark, folder, feed, rows, bad_stamp(feed, rules), pattern)
-    checks.require_empty(problems, f"No data or bad time stamps in {feed.name} files")
-
-
 def checked(
     spark: SparkSession, folder: str, feed: feeds.Feed, pattern: str | None = None,
-    rules: Sequence[LabRule] = DEFAULT_RULES,
+    rules: Sequence[LabRule] = DEFAULT_RULES, landing_folder: str | None = None,
 ) -> DataFrame:
-    """Rows of a feed's files after the checks that stop processing."""
-    rows = feeds.read_feed(spark, folder, feed, pattern)
-    check_rows(spark, folder, feed, rows, pattern, rules)
-    return rows
+    """Rows of a feed's files after the checks that stop processing: files without rows, and
+    unparseable time stamps. The files are parsed once, into ``landing_folder`` or a new one."""
+    into = landing_folder or landing.new_folder(spark)
+    return landing.land(spark, folder, feed, into, pattern, rules).require_sound(feed.name)
 
 
 def finish(done: Processed, report_folder: str | None) -> DataFrame:

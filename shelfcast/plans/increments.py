@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from shelfcast.operators import daily, forecast, labs, runs, training, versions
 from shelfcast.plans import bulk, reporting
 from shelfcast.settings import MODEL_FIELDS, Params
-from shelfcast.sources import checks, feeds, reports
+from shelfcast.sources import checks, feeds, landing, reports
 from shelfcast.sources import state as store
 
 AS_OF = ("as_of",)
@@ -24,20 +24,22 @@ def seed(
 ) -> None:
     """Start the state from all historical files of a folder."""
     feed = {f.name: f for f in params.feeds}
+    landed = f"{state}/landing/seed-{as_of}"
     store.open_days(spark, state, [as_of])
     history = bulk.process_all_labs(
-        spark, folder, params.rules, report_folder, feed=feed[feeds.LABS.name]
+        spark, folder, params.rules, report_folder, feed=feed[feeds.LABS.name],
+        landing_folder=landed,
     )
     # Sorted by date, so that a later read of recent days skips most row groups.
     history = history.repartitionByRange("date", "base_name", "lab_value").sortWithinPartitions(
         "date"
     )
     store.write_day(history, state, "labs", as_of)
-    rows = bulk.checked(spark, folder, feed[feeds.CENSUS.name])
+    rows = bulk.checked(spark, folder, feed[feeds.CENSUS.name], landing_folder=landed)
     census = bulk.finish(bulk.process_census(rows), report_folder)
     store.write_day(census, state, "census", as_of)
     usage = bulk.process_all_transfusion(
-        spark, folder, report_folder, feed=feed[feeds.TRANSFUSION.name]
+        spark, folder, report_folder, feed=feed[feeds.TRANSFUSION.name], landing_folder=landed
     )
     store.write_day(usage, state, "usage", as_of)
     last = store.read_day(spark, state, "usage", as_of).agg(F.max("date").alias("date"))
@@ -47,22 +49,25 @@ def seed(
 
 def process_days(
     spark: SparkSession, folder: str, dates: Sequence[str], params: Params = Params(),
-    report_folder: str | None = None,
+    report_folder: str | None = None, landing_folder: str | None = None,
 ) -> dict[str, DataFrame]:
     """The cleaned increments of the given days by table, each with ``as_of``.
 
     Every day needs one lab, one census and one transfusion file, and at most one inventory file.
+    The files are parsed once, into ``landing_folder`` or a new one; checks, reports and increments
+    read what has landed.
     """
     checks.require_empty(
         checks.file_cardinality_violations(spark, folder, dates, params.feeds),
         "Days without their one file of a feed",
     )
     by_name = {f.name: f for f in params.feeds}
+    into = landing_folder or landing.new_folder(spark)
     rows = {}
     for feed in params.feeds:
-        rows[feed.name] = feeds.read_feed_for_dates(spark, folder, feed, dates)
         pattern = feed.daily_pattern("(" + "|".join(dates) + ")")
-        bulk.check_rows(spark, folder, feed, rows[feed.name], pattern, params.rules)
+        landed = landing.land(spark, folder, feed, into, pattern, params.rules)
+        rows[feed.name] = feeds.with_as_of(landed.require_sound(feed.name), feed)
     if report_folder is not None:
         for done in (
             bulk.process_labs(rows["labs"], params.rules),
@@ -144,7 +149,9 @@ def predict_for_date(
     store.require_day(spark, state, prev_day)
     store.open_days(spark, state, [date])
 
-    increments = process_days(spark, folder, [date], params, report_folder)
+    increments = process_days(
+        spark, folder, [date], params, report_folder, f"{state}/landing/{date}"
+    )
     for table, df in increments.items():
         store.write_day(df, state, table, date)
     written = [store.read_day(spark, state, t, date) for t in ("labs", "census", "usage")]
@@ -234,7 +241,9 @@ def backfill(
     if before is None:
         raise store.StateError(f"The state has no complete day before {dates[0]}")
     store.open_days(spark, state, dates)
-    increments = process_days(spark, folder, dates, params, report_folder)
+    increments = process_days(
+        spark, folder, dates, params, report_folder, f"{state}/landing/{dates[0]}-{dates[-1]}"
+    )
     for name, df in increments.items():
         store.write_days(df, state, name, dates)
 

@@ -7,8 +7,10 @@ Every column is read as text and cast with ``try_`` functions: an unparseable ce
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -143,25 +145,84 @@ def _csv_options(feed: Feed) -> dict[str, str]:
     return {
         "sep": feed.separator,
         "header": "true",
-        "enforceSchema": "false",  # a header in another order is an error, not swapped columns
+        "enforceSchema": "false",  # a file whose header isn't the one it is read by is an error
         "ignoreLeadingWhiteSpace": "true",
         "ignoreTrailingWhiteSpace": "true",
     }
 
 
+class HeaderError(ValueError):
+    """A file's header lacks a column, or has one twice."""
+
+
+def layouts(
+    spark: SparkSession, folder: str, feed: Feed, pattern: str | None = None
+) -> dict[tuple[str, ...], list[str]]:
+    """The feed's files by their header, as written. Of each file only the first line is read; a
+    file without any is left out, and a missing folder has none."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+    top = jvm.org.apache.hadoop.fs.Path(folder)
+    files = top.getFileSystem(conf)
+    named = re.compile(pattern or feed.pattern)
+    found: dict[tuple[str, ...], list[str]] = {}
+    for place in files.globStatus(top) or []:
+        for one in files.listStatus(place.getPath()) if place.isDirectory() else [place]:
+            path = one.getPath()
+            name = path.getName()
+            if one.isDirectory() or name[0] in "._" or not named.search(name):
+                continue
+            header = _first_line(jvm, files, codecs, path)
+            if header is not None:
+                cells = tuple(c.strip().strip('"') for c in header.split(feed.separator))
+                found.setdefault(cells, []).append(path.toString())
+    for cells, paths in found.items():
+        missing = [c for c in feed.columns if cells.count(c) != 1]
+        if missing:
+            raise HeaderError(f"header of {feed.name} file {paths[0]}: {missing} not there once")
+    return found
+
+
+def _first_line(jvm, files, codecs, path) -> str | None:
+    stream = files.open(path)
+    try:
+        codec = codecs.getCodec(path)
+        plain = codec.createInputStream(stream) if codec else stream
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8"))
+        return lines.readLine()
+    finally:
+        stream.close()
+
+
+def _read_csv(spark: SparkSession, paths: Sequence[str], feed: Feed, header: Sequence[str]) -> DataFrame:
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    return spark.read.schema(schema).options(**_csv_options(feed)).csv(list(paths))
+
+
 def read_feed(
     spark: SparkSession, folder: str, feed: Feed, pattern: str | None = None, format: str = "csv"
 ) -> DataFrame:
     """All rows of a feed's files in ``folder`` whose name matches ``pattern`` (a regex).
 
-    ``format`` may also be a columnar one with the declared column names, typed or as text;
+    Columns are found by the file's header: files in other orders, or with more columns, read
+    alike. ``format`` may also be a columnar one with the declared column names, typed or as text;
     ``folder`` may also be a single file.
     """
-    if format == "csv":
-        raw = spark.read.schema(feed.schema).options(**_csv_options(feed)).csv(folder)
-    else:
-        raw = spark.read.format(format).load(folder)
-    return _typed(raw.filter(_file_name().rlike(pattern or feed.pattern)), feed)
+    pattern = pattern or feed.pattern
+
+    def of_feed(raw: DataFrame) -> DataFrame:
+        return _typed(raw.filter(_file_name().rlike(pattern)), feed)
+
+    if format != "csv":
+        return of_feed(spark.read.format(format).load(folder))
+    found = layouts(spark, folder, feed, pattern)
+    if len(found) <= 1:
+        header = next(iter(found), tuple(feed.columns))
+        return of_feed(_read_csv(spark, [folder], feed, header))
+    escaped = {h: [re.sub(r"([\\{}\[\]*?])", r"\\\1", p) for p in paths] for h, paths in found.items()}
+    return reduce(
+        DataFrame.unionByName, [of_feed(_read_csv(spark, p, feed, h)) for h, p in escaped.items()]
+    )
 
 
 def read_feed_for_dates(

@@ -8,10 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from shelfcast.plans import bulk
 from shelfcast.plans.increments import clean_increment
 from shelfcast.settings import Params
-from shelfcast.sources import checks, feeds
+from shelfcast.sources import checks, feeds, landing
 from shelfcast.sources import state as store
 
 
@@ -32,7 +31,7 @@ def writer(
             counts = checks.file_counts(spark, folder, wanted_feeds=[feed])
             repeated = counts.filter("n_files > 1").join(days, "date", "left_semi")
             checks.require_empty(repeated, f"Several {feed.name} files for a day")
-            bad = rows.filter(bulk.bad_stamp(feed, params.rules)).select("file_name")
+            bad = rows.filter(landing.bad_stamp(feed, params.rules)).select("file_name")
             checks.require_empty(bad, f"Bad time stamps in {feed.name} files")
             table, increment = clean_increment(feed, rows, params)
             store.write_days(increment, state, table, [str(d["date"]) for d in days.collect()])

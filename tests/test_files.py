@@ -9,7 +9,7 @@ from shelfcast.functions import times
 from shelfcast.operators import labs
 from shelfcast.plans import bulk
 from shelfcast.settings import DEFAULT_RULES
-from shelfcast.sources import checks, feeds, reports
+from shelfcast.sources import checks, feeds, landing, reports
 
 D9, D10 = dt.date(2018, 4, 9), dt.date(2018, 4, 10)
 
@@ -108,7 +108,7 @@ def test_checks_on_files(spark, folder, tmp_path):
     assert rows(checks.empty_files(spark, path, feeds.LABS)) == [(ff.CBC % "2018-04-10",)]
     raw = feeds.read_feed(spark, path, feeds.LABS)
     assert rows(checks.bad_timestamps(raw, "result_time")) == [(ff.CBC % "2018-04-11", 2)]
-    problems = checks.file_problems(spark, path, feeds.LABS, raw, bulk.bad_stamp(feeds.LABS))
+    problems = checks.file_problems(spark, path, feeds.LABS, raw, landing.bad_stamp(feeds.LABS))
     assert rows(problems) == [(ff.CBC % "2018-04-10", 0, 0), (ff.CBC % "2018-04-11", 2, 1)]
     with pytest.raises(checks.FeedError):
         bulk.process_all_labs(spark, path)
@@ -128,14 +128,74 @@ def test_daily_files_carry_as_of(spark, folder):
     assert both.select("as_of").distinct().count() == 2
 
 
-def test_header_in_other_order_is_an_error(spark, tmp_path):
-    columns = list(feeds.CENSUS.columns)
-    columns[0], columns[3] = columns[3], columns[0]
-    (tmp_path / (ff.CENSUS % "2018-04-10")).write_text(
-        "\t".join(columns) + "\n" + "\t".join("x" * len(columns)) + "\n"
-    )
-    with pytest.raises(Exception, match="header"):
-        feeds.read_feed(spark, str(tmp_path), feeds.CENSUS).collect()
+def reordered(folder, name, feed, order, rows, extra=()):
+    columns = [*[list(feed.columns)[i] for i in order], *extra]
+    lines = ["\t".join(columns), *["\t".join(str(r.get(c, "extra")) for c in columns) for r in rows]]
+    (folder / name).write_text("\n".join(lines) + "\n")
+
+
+def test_columns_are_found_by_each_files_header(spark, folder, tmp_path):
+    """Two orders and one more column in a folder, with names that are patterns, read as one order does."""
+    n = len(feeds.CENSUS.columns)
+    full = [{c: r.get(c, "") for c in feeds.CENSUS.columns} for r in ff.CENSUS_A]
+    reordered(tmp_path, ff.CENSUS % "2018-04-10", feeds.CENSUS, range(n), full)
+    reordered(tmp_path, ff.CENSUS % "2018-04-11", feeds.CENSUS, [3, 5, *[i for i in range(n) if i not in (3, 5)]], full)
+    reordered(tmp_path, (ff.CENSUS % "2018-04-12").replace(".txt", "[a] {b}.txt"), feeds.CENSUS, reversed(range(n)), full, ("MORE", "YET"))
+    got = feeds.read_feed(spark, str(tmp_path), feeds.CENSUS)
+    assert got.count() == 15 and "more" not in got.columns and "pat_id" not in got.columns
+    columns = [c for c in got.columns if c != "file_name"]
+    files = [r[0] for r in got.select("file_name").distinct().collect()]
+    want = rows(feeds.read_feed(spark, folder, feeds.CENSUS, ff.CENSUS % "2018-04-10"), *columns)
+    assert len(files) == 3
+    assert all(rows(got.filter(F.col("file_name") == f), *columns) == want for f in files)
+
+
+def test_one_file_in_another_order(spark, folder, tmp_path):
+    reordered(tmp_path, ff.CENSUS % "2018-04-10", feeds.CENSUS, reversed(range(len(feeds.CENSUS.columns))),
+              [{c: r.get(c, "") for c in feeds.CENSUS.columns} for r in ff.CENSUS_B])
+    assert rows(bulk.process_census(feeds.read_feed(spark, str(tmp_path), feeds.CENSUS)).data, "ward", "n") == [("B1", 1)]
+
+
+def test_header_without_a_column_is_an_error(spark, tmp_path):
+    for name, columns in (("2018-04-10", list(feeds.CENSUS.columns)[1:]), ("2018-04-11", [*feeds.CENSUS.columns, "PAT_ID"])):
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / (ff.CENSUS % name)).write_text("\t".join(columns) + "\nx\n")
+        with pytest.raises(feeds.HeaderError, match="header"):
+            feeds.read_feed(spark, str(folder), feeds.CENSUS)
+
+
+def text_scans(spark, since=0):
+    """Executions from ``since`` on that scan text files, and the number of executions so far."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    seen = store.executionsList()
+    plans = [seen.apply(i).physicalPlanDescription() for i in range(since, seen.size())]
+    return [p.count("Scan csv") for p in plans if "Scan csv" in p], seen.size()
+
+
+def test_raw_text_is_scanned_once_per_feed(spark, folder, tmp_path):
+    """Checks, reports and series of labs, patients and units read what has landed."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+    _, before = text_scans(spark)
+    bulk.process_all_labs(spark, folder, report_folder=str(tmp_path)).collect()
+    bulk.process_all_census(spark, folder, report_folder=str(tmp_path)).collect()
+    bulk.process_all_transfusion(spark, folder, str(tmp_path)).collect()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+    scans, after = text_scans(spark, before)
+    assert after - before > 6 and len(scans) == 3
+
+
+def test_landed_files(spark, folder, tmp_path):
+    ff.write(tmp_path, ff.CBC % "2018-04-10", feeds.LABS, [])
+    ff.write(tmp_path, ff.CBC % "2018-04-11", feeds.LABS, [ff.lab("nonsense", "RBC", "4.1"), ff.lab("nonsense", "HCT", "30")])
+    got = landing.land(spark, str(tmp_path), feeds.LABS, str(tmp_path / "into"))
+    assert (got.n_rows, got.n_bad) == (2, 1) and got.rows.count() == 2
+    assert rows(got.manifest) == [(ff.CBC % "2018-04-10", 0, 0), (ff.CBC % "2018-04-11", 2, 1)] == rows(got.problems())
+    with pytest.raises(checks.FeedError, match="labs"):
+        got.require_sound("labs")
+    again = landing.land(spark, folder, feeds.LABS, str(tmp_path / "into"))
+    assert again.rows.count() == 10 and again.problems().count() == 0
+    assert not any("pat_" in c and "pat_enc" not in c for c in spark.read.parquet(str(tmp_path / "into/labs/rows")).columns)
 
 
 def test_stamps(spark):

@@ -9,9 +9,9 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from shelfcast.plans import bulk, increments
+from shelfcast.plans import increments
 from shelfcast.settings import Params, constant_rule, quantile_rule
-from shelfcast.sources import checks, feeds
+from shelfcast.sources import checks, feeds, landing
 from shelfcast.sources import state as store
 from shelfcast.streaming import counts, ingest
 
@@ -241,7 +241,7 @@ def test_feeds_under_other_names(spark, tmp_path, tmp_path_factory):
     got = increments.predict_for_date(spark, str(new), str(tmp_path), day, params).first()
     assert math.isfinite(got.t_pred)
     bad = spark.createDataFrame([(None, "HGB")], "result_time timestamp_ntz, base_name string")
-    assert bad.select(bulk.bad_stamp(own[0], params.rules)).first()[0]
+    assert bad.select(landing.bad_stamp(own[0], params.rules)).first()[0]
 
 
 def test_report_from_state(spark, folders, daily_state, tmp_path):
