@@ -141,30 +141,53 @@ def rolling_scaler(
     first ``smoothing - 1`` rows of the cut and its frame is that much shorter. Dates with fewer
     than ``history`` rows before them get NULL. Returns (date, predictor, center, scale), with
     ``retrain`` if the table has it.
+
+    The cost per row does not depend on ``history``. Each predictor of a key is a series of its own,
+    in blocks as long as a frame. A frame is the end of one block and the start of the next, so
+    moments that run from both ends of each block, merged in pairs, are those of all frames.
+    Nothing outside a frame enters it, and a frame of equal values has a scale of exactly zero.
     """
     names = list(columns or predictors(table, keys))
-    smoothed = set(smoothed_columns(names))
-    by = "PARTITION BY " + ", ".join(_quoted(keys)) if keys else ""
-
-    def over(rows_back: int) -> str:
-        return f"OVER ({by} ORDER BY date ROWS BETWEEN {rows_back} PRECEDING AND 1 PRECEDING)"
-
-    frames = {c: over(history - smoothing + 1 if c in smoothed else history) for c in names}
-    heads = [c for c in (*keys, "date", RETRAIN) if c in table.columns]
-    wide = table.selectExpr(
-        *_quoted(heads),
-        f"row_number() OVER ({by} ORDER BY date) > {history} AS _enough",
-        *[f"avg(`{c}`) {frames[c]} AS c{i}" for i, c in enumerate(names)],
-        *[f"stddev_samp(`{c}`) {frames[c]} AS s{i}" for i, c in enumerate(names)],
+    smoothed = ", ".join(sql_text(c) for c in smoothed_columns(names)) or "NULL"
+    heads = _quoted([c for c in (*keys, "date", RETRAIN) if c in table.columns])
+    by = ", ".join([*_quoted(keys), "predictor"])
+    series, short = f"OVER (PARTITION BY {by} ORDER BY date)", history - smoothing + 1
+
+    cells = ", ".join(f"{sql_text(c)}, CAST(`{c}` AS DOUBLE)" for c in names)
+    blocks = (
+        table.selectExpr(*heads, f"stack({len(names)}, {cells}) AS (predictor, v)")
+        .selectExpr(
+            "*", f"row_number() {series} AS row",
+            f"CASE WHEN predictor IN ({smoothed}) THEN {short} ELSE {history} END AS size",
+        )
+        .withColumn("block", F.expr("(row - 1) div size"))
     )
-    rows = ", ".join(f"{sql_text(c)}, c{i}, s{i}" for i, c in enumerate(names))
-    long = wide.selectExpr(
-        *_quoted(heads), "_enough",
-        f"stack({len(names)}, {rows}) AS (predictor, center, scale)",
+
+    def moments(order: str, name: str) -> str:
+        run = f"OVER (PARTITION BY {by}, block ORDER BY {order} ROWS UNBOUNDED PRECEDING)"
+        return (
+            f"named_struct('n', count(v) {run}, 'mean', avg(v) {run}, "
+            f"'m2', var_pop(v) {run} * count(v) {run}) AS {name}"
+        )
+
+    run = blocks.selectExpr("*", moments("date", "starts"), moments("date DESC", "ends"))
+    frames = run.selectExpr(
+        *heads, "predictor", f"row > {history} AS enough", f"lag(starts, 1) {series} AS b",
+        f"""CASE WHEN (row - 1) % size > 0 THEN CASE WHEN size = {history}
+            THEN lag(ends, {history}) {series} ELSE lag(ends, {short}) {series} END END AS a""",
+    )
+    merged = frames.selectExpr(
+        *heads, "predictor", "enough", "coalesce(a.n, 0) AS n1", "coalesce(b.n, 0) AS n2",
+        "coalesce(a.mean, b.mean) AS mean1", "coalesce(b.mean, a.mean) AS mean2",
+        "coalesce(a.m2, 0D) + coalesce(b.m2, 0D) AS m2",
+    ).selectExpr(
+        *heads, "predictor", "enough", "n1 + n2 AS n",
+        "mean1 + (mean2 - mean1) * try_divide(n2, n1 + n2) AS mean",
+        "m2 + (mean2 - mean1) * (mean2 - mean1) * n1 * try_divide(n2, n1 + n2) AS m2",
     )
-    return long.selectExpr(
-        *_quoted(heads), "predictor",
-        "CASE WHEN _enough THEN center END AS center", "CASE WHEN _enough THEN scale END AS scale",
+    return merged.selectExpr(
+        *heads, "predictor", "CASE WHEN enough THEN mean END AS center",
+        "CASE WHEN enough AND n > 1 THEN sqrt(m2 / (n - 1)) END AS scale",
     )
 
 

@@ -280,6 +280,34 @@ def test_rolling_scaler_equals_cut_then_smooth(spark, table):
         assert got[(pdf["date"][at], "B1")] == pytest.approx((ward.mean(), ward.std()))
 
 
+def test_rolling_scaler_of_equal_and_missing_values(spark):
+    """Frames of equal values scale to exactly zero, also behind far larger ones."""
+    history, values = 4, [1e6, 3.7, -2e5, 0.1, 0.1, None, 0.1, 0.1, 0.1, 0.3, None, None, None, None, 5.0, 0.1]
+    df = spark.createDataFrame(
+        [(s, day(i), v, None if i < 6 else 1.5 * i) for s in "ab" for i, v in enumerate(values)],
+        "site string, date date, a double, b double",
+    )
+    got = {
+        (r.site, r.date, r.predictor): (r.center, r.scale)
+        for r in training.rolling_scaler(df, history, 1, ["site"], ["a", "b"]).collect()
+    }
+    assert len(got) == 2 * 2 * len(values)
+    for i in range(len(values)):
+        for name, series in (("a", values), ("b", [None if k < 6 else 1.5 * k for k in range(len(values))])):
+            frame = [v for v in series[max(0, i - history):i] if v is not None] if i >= history else []
+            center, scale = got["b", day(i), name]
+            assert got["a", day(i), name] == (center, scale)
+            mean = sum(frame) / len(frame) if frame else None
+            assert center == (None if mean is None else pytest.approx(mean, abs=1e-9))
+            if len(frame) < 2:
+                assert scale is None
+            elif len(set(frame)) == 1:
+                assert scale == 0
+            else:
+                sd = (sum((v - mean) ** 2 for v in frame) / (len(frame) - 1)) ** 0.5
+                assert scale == pytest.approx(sd, rel=1e-12)
+
+
 # --- run log and forecast ---------------------------------------------------------------------
 
 def test_model_age_reasons(spark):
