@@ -283,9 +283,10 @@ def forecast_windows(spark, d):
 
 
 def forecast_gradient(spark, d):
-    """The slope of each model's penalised squares at its coefficients: zero at the solution."""
-    models = forecast.rolling_models(_table_with_runs(spark, d))
-    return models.select("model_date", (F.col("gradient") > 1e-6).alias("off_optimum"))
+    """Whether some slope of a model's penalised squares isn't zero at its coefficients."""
+    table = _table_with_runs(spark, d)
+    slopes = forecast.slopes(forecast.rolling_models(table), table)
+    return slopes.groupBy("model_date").agg((F.max(F.abs("slope")) > 1e-6).alias("off_optimum"))
 
 
 # --- increments by arrival, texts of files ------------------------------------------------------

@@ -46,7 +46,6 @@ class _Fit:
     intercept: float
     coef: np.ndarray  # in the predictors' own units
     rows: np.ndarray  # the complete rows of the window
-    gradient: float  # largest slope of the penalised squares at the solution
 
 
 def _fit_ridge(x: np.ndarray, y: np.ndarray, penalty: float) -> _Fit:
@@ -61,15 +60,14 @@ def _fit_ridge(x: np.ndarray, y: np.ndarray, penalty: float) -> _Fit:
     z = (x[:, use] - center[use]) / scale[use]
     rows = ~np.isnan(z).any(axis=1) & ~np.isnan(y)
     if not rows.any():
-        return _Fit(float("nan"), coef, rows, float("nan"))
+        return _Fit(float("nan"), coef, rows)
     z, y = z[rows], y[rows]
     mean_z, mean_y = z.mean(axis=0), y.mean()
     z, y = z - mean_z, y - mean_y
     beta = np.linalg.solve(z.T @ z + penalty * np.eye(z.shape[1]), z.T @ y)
     coef[use] = beta / scale[use]
-    slopes = z.T @ (z @ (coef[use] * scale[use]) - y) + penalty * beta
     intercept = float(mean_y - mean_z @ beta - coef[use] @ center[use])
-    return _Fit(intercept, coef, rows, float(np.abs(slopes).max(initial=0.0)))
+    return _Fit(intercept, coef, rows)
 
 
 def _packed(table: DataFrame, names: Sequence[str], keys: Keys) -> DataFrame:
@@ -182,8 +180,7 @@ def rolling_models(
     """The models behind :func:`rolling_forecast`, one row per key and retrain date.
 
     Columns: model_date, n (complete training rows), target_sum, predictor_sums (a map, over those
-    rows), intercept, coef (a map) and gradient, the largest slope of the penalised squares at the
-    solution.
+    rows), intercept and coef (a map).
     """
     names = predictors(table, keys)
     uses, smoothed = _blocks(table, keys, history)
@@ -195,7 +192,6 @@ def rolling_models(
             T.StructField("model_date", T.DateType()), T.StructField("n", T.LongType()),
             T.StructField("target_sum", T.DoubleType()), T.StructField("sums", lists),
             T.StructField("intercept", T.DoubleType()), T.StructField("coefs", lists),
-            T.StructField("gradient", T.DoubleType()),
         ]
     )
 
@@ -207,7 +203,7 @@ def rolling_models(
             sums = x[train][fit.rows].sum(axis=0).tolist()
             out.append((
                 *pdf.iloc[start][list(keys)], dates[start], int(fit.rows.sum()),
-                float(y[fit.rows].sum()), sums, fit.intercept, fit.coef.tolist(), fit.gradient,
+                float(y[fit.rows].sum()), sums, fit.intercept, fit.coef.tolist(),
             ))
         return pd.DataFrame(out, columns=schema.names)
 
@@ -220,6 +216,52 @@ def rolling_models(
     )
 
 
+def slopes(
+    models: DataFrame, table: DataFrame, keys: Keys = (), history: int = 200, smoothing: int = 7,
+    penalty: float = 15.0,
+) -> DataFrame:
+    """(model_date, predictor, slope) of :func:`rolling_models` at their coefficients, all zero at the
+    optimum: the derivative of the penalised squares by each standardised coefficient, and by the
+    intercept (predictor NULL).
+
+    Worked out from the training rows and the stored coefficients alone, without the solver: a
+    model meets the rows of its window by their numbers.
+    """
+    names = predictors(table, keys)
+    short = smoothed_columns(names)
+    lag = smoothing - 1 if short else 0
+    named = "array(" + ", ".join(sql_text(c) for c in names) + ")"
+    rows = _packed(table, names, keys)
+    by = [*keys, "model_date"]
+    firsts = rows.select(*keys, F.col("date").alias("model_date"), F.col("row").alias("first"))
+    windows = models.join(firsts, by).selectExpr(
+        *[f"`{c}`" for c in by], "first", "intercept",
+        f"transform({named}, c -> coef[c]) AS coefs",
+        f"explode(sequence(first - {history}, first - 1)) AS row",
+    )
+    uses = windows.join(rows.select(*keys, "row", "x", "y3"), [*keys, "row"]).selectExpr(
+        "*", f"""CASE WHEN row >= first - {history} + {lag} AND row <= first - 3 AND forall(x, v -> v IS NOT NULL)
+            THEN intercept + aggregate(zip_with(x, coefs, (v, c) -> v * c), 0D, (a, b) -> a + b) - y3
+            END AS residual""",
+    )
+    cells = uses.selectExpr(
+        *[f"`{c}`" for c in by], "row", "first", "coefs", "residual",
+        "posexplode(concat(x, array(1D))) AS (place, v)",
+    ).selectExpr(
+        *[f"`{c}`" for c in by], "residual", "v", "row", "first",
+        f"get({named}, place) AS predictor", "coalesce(get(coefs, place), 0D) AS coef",
+    )
+    late = F.col("predictor").isin(short) & (F.col("row") < F.col("first") - history + lag)
+    known = F.when(~F.coalesce(late, F.lit(False)), F.col("v"))
+    sums = cells.groupBy(*by, "predictor", "coef").agg(
+        F.sum(F.col("v") * F.col("residual")).alias("cross"), F.stddev_samp(known).alias("scale")
+    )
+    slope = F.when(F.col("predictor").isNull(), F.col("cross")).when(
+        F.col("scale") > 0, F.col("cross") / F.col("scale") + penalty * F.col("coef") * F.col("scale")
+    ).otherwise(F.col("coef"))
+    return sums.select(*by, "predictor", slope.alias("slope"))
+
+
 def _models(
     pdf: pd.DataFrame, smoothed: np.ndarray, history: int, smoothing: int, penalty: float
 ) -> Iterator[tuple[int, _Fit, tuple[np.ndarray, np.ndarray]]]:

@@ -364,6 +364,18 @@ def test_rolling_forecast_equals_brute_force(spark, table, block, monkeypatch):
         assert t is None if m is None else t == pytest.approx(want[d], rel=1e-8)
 
 
+def test_slopes_are_zero_at_the_fit_only(spark, table):
+    flagged = table.withColumn("retrain", F.dayofmonth("date") % 9 == 0)
+    models = forecast.rolling_models(flagged, (), 30, 7, 2.0)
+    got = forecast.slopes(models, flagged, (), 30, 7, 2.0).collect()
+    assert len({r.model_date for r in got}) > 3 and len({r.predictor for r in got}) == len(training.predictors(flagged)) + 1
+    assert max(abs(r.slope) for r in got) < 1e-8
+    for moved in (models.withColumn("intercept", F.col("intercept") + 0.1),
+                  models.withColumn("coef", F.transform_values("coef", lambda k, v: F.when(k == "B1", v + 0.1).otherwise(v)))):
+        off = forecast.slopes(moved, flagged, (), 30, 7, 2.0).groupBy("model_date").agg(F.max(F.abs("slope")).alias("most"))
+        assert min(r.most for r in off.collect()) > 0.1
+
+
 def test_rolling_forecast_per_key(spark, table):
     flagged = table.withColumn("retrain", F.dayofmonth("date") % 9 == 0)
     one = rows(forecast.rolling_forecast(flagged, (), 30), "date", "t_pred")
