@@ -9,6 +9,8 @@ from pyspark.sql import Window as W
 from shelfcast.llm.shared import stored
 
 OVERHEAD = 16
+#: Equal rows that are written out by one row of a plan.
+TOGETHER = 4096
 
 
 def ring(spark: SparkSession, shards: int, replicas: int, positions: int) -> DataFrame:
@@ -44,8 +46,8 @@ def load_plan(ring_counts: DataFrame, shards: int, positions: int) -> DataFrame:
     nodes, and is taken first come first served. All of it is running sums over ``positions`` rows,
     a number fixed by the ring, not by the data.
 
-    Returns cell and pieces, an array of (from_row, shard, slot): row i of the cell belongs to the
-    last piece with from_row <= i.
+    Returns pieces as rows (cell, from_row, shard, slot): row i of a cell belongs to its last piece
+    with from_row <= i.
     """
     everything = W.partitionBy()
     own = W.partitionBy("owner")
@@ -110,21 +112,66 @@ def load_plan(ring_counts: DataFrame, shards: int, positions: int) -> DataFrame:
     stayed = lapped.filter("keep > 0").selectExpr(
         "cell", "0L AS from_row", "owner AS shard", "base AS slot"
     )
-    return stayed.unionByName(moved).groupBy("cell").agg(
-        F.array_sort(F.collect_list(F.struct("from_row", "shard", "slot"))).alias("pieces")
+    return stayed.unionByName(moved)
+
+
+def _places(groups: DataFrame, counts: DataFrame, plan: DataFrame) -> DataFrame:
+    """Equal rows of one piece as one line: the row, ``shard``, first ``slot`` and ``length``.
+
+    Groups of equal rows and pieces both cut the rows of a cell; what lies between two cuts belongs
+    to the last group and the last piece. No row is sent the pieces of its cell.
+    """
+    order = W.partitionBy("cell").orderBy("key", "doc_id", "text_crc32", "size")
+    before = F.sum("n").over(order.rowsBetween(W.unboundedPreceding, -1))
+    cuts = (
+        groups.select(
+            "cell", F.coalesce(before, F.lit(0)).alias("at"),
+            F.struct("doc_id", "size", "text_crc32").alias("row"),
+        )
+        .unionByName(
+            plan.select(
+                "cell", F.col("from_row").alias("at"), F.struct("shard", "slot", "from_row").alias("piece")
+            ),
+            allowMissingColumns=True,
+        )
+        .unionByName(counts.select("cell", F.col("n").alias("at")), allowMissingColumns=True)
+    )
+    so_far = W.partitionBy("cell").orderBy("at").rangeBetween(W.unboundedPreceding, 0)
+    ahead = W.partitionBy("cell").orderBy("at")
+    return (
+        cuts.select(
+            "cell", "at", (F.lead("at").over(ahead) - F.col("at")).alias("length"),
+            F.last("row", ignorenulls=True).over(so_far).alias("row"),
+            F.last("piece", ignorenulls=True).over(so_far).alias("piece"),
+        )
+        .filter("length > 0")
+        .selectExpr(
+            "row.*", "cell", "at", "piece.shard AS shard",
+            "piece.slot + at - piece.from_row AS slot", "length",
+        )
     )
 
 
+def _one_by_one(lines: DataFrame) -> DataFrame:
+    """Every line ``length`` times, at one slot after the other. Long lines are spread over tasks."""
+    parts = lines.withColumn(
+        "part", F.explode(F.expr(f"sequence(0L, (length - 1) div {TOGETHER})"))
+    ).repartition("cell", "at", "part")
+    step = f"sequence(part * {TOGETHER}, least((part + 1) * {TOGETHER}, length) - 1)"
+    return parts.withColumn("step", F.explode(F.expr(step)))
+
+
 def shard(
     docs: DataFrame, shards: int = 40, replicas: int = 64, positions: int = 16384
 ) -> DataFrame:
     """Puts documents into shards whose row counts differ by one at most.
 
     The ring key is a hash of id and text, so NULL or repeated ids spread over the ring. Rows equal
-    in both are interchangeable. A NULL text has size 16 and the CRC of no bytes; NULL ids are
-    ordinary rows. An empty table gives an empty result. Only doc_id and text are read; other
-    columns are ignored. The position count is a parameter: a position holds rows / positions rows,
-    ranked in one sort of narrow rows.
+    in both are interchangeable: they are counted, placed as one line per shard, and written out
+    again from there, so that repeated rows cost no more than others, however many they are. A NULL
+    text has size 16 and the CRC of no bytes; NULL ids are ordinary rows. An empty table gives an empty
+    result. Only doc_id and text are read; other columns are ignored. The position count is a
+    parameter: a position holds different rows / positions, ranked in one sort of narrow rows.
 
     Returns doc_id, size, text_crc32, law, shard, slot, grown_shard.
     """
@@ -142,14 +189,9 @@ def shard(
     counts = rows.groupBy("cell").agg(F.count("*").alias("n"))
     counted = ring(spark, shards, replicas, positions).join(counts, "cell", "left")
     plan = load_plan(counted.fillna({"n": 0}), shards, positions)
-    turn = W.partitionBy("cell").orderBy("key", "doc_id", "text_crc32", "size")
-    numbered = rows.withColumn("i", F.row_number().over(turn).cast("long") - 1)
-    piece = F.element_at(F.filter("pieces", lambda p: p["from_row"] <= F.col("i")), -1)
-    return (
-        numbered.join(plan, "cell")
-        .withColumn("piece", piece)
-        .selectExpr(
-            "doc_id", "size", "text_crc32", "'rows' AS law", "piece.shard AS shard",
-            "piece.slot + i - piece.from_row AS slot", "CAST(null AS INT) AS grown_shard",
-        )
+    groups = rows.groupBy("cell", "key", "doc_id", "text_crc32", "size").agg(F.count("*").alias("n"))
+    lines = _places(groups, counts, plan)
+    return _one_by_one(lines).selectExpr(
+        "doc_id", "size", "text_crc32", "'rows' AS law", "shard", "slot + step AS slot",
+        "CAST(null AS INT) AS grown_shard",
     )

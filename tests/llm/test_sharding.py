@@ -38,6 +38,71 @@ def test_rows_of_all_kinds(spark):
     assert (None, 16, 0) in {(r.doc_id, r.size, r.text_crc32) for r in rows}
 
 
+def placed(rows, owner, nodes, shards):
+    """(key, doc_id, crc, size) and shard, slot of every row, walking around the ring row by row.
+
+    ``rows`` maps a cell to its rows in order, ``nodes`` a shard to the cells of its virtual nodes.
+    """
+    total = sum(map(len, rows.values()))
+    size = {s: total // shards + (s < total % shards) for s in range(shards)}
+    stay, over = {s: [] for s in range(shards)}, {}
+    for cell in sorted(owner):
+        for r in rows.get(cell, []):
+            home = stay[owner[cell]]
+            home.append(r) if len(home) < size[owner[cell]] else over.setdefault(cell, []).append(r)
+    room = {}
+    for s, cells in nodes.items():
+        free = size[s] - len(stay[s])
+        for k, cell in enumerate(sorted(cells), 1):
+            room[cell] = free * k // len(cells) - free * (k - 1) // len(cells)
+    level, lowest, start = 0, 0, None
+    for cell in sorted(owner):
+        level += len(over.get(cell, [])) - room.get(cell, 0)
+        if start is None or level < lowest:
+            lowest, start = level, cell + 1
+    waiting = []
+    for cell in [(start + k) % len(owner) for k in range(len(owner))]:
+        waiting += over.get(cell, [])
+        take, waiting = waiting[:room.get(cell, 0)], waiting[room.get(cell, 0):]
+        stay[owner[cell]] += take
+    assert not waiting
+    return {(r, s, slot) for s, held in stay.items() for slot, r in enumerate(held)}
+
+
+def test_against_a_walk_around_the_ring(spark):
+    from pyspark.sql import functions as F
+    docs = frame(spark, 700, [(5, "text 5 é")] * 90 + [(None, None)] * 260 + [(7, None)] * 3)
+    shards, replicas, positions = 5, 6, 64
+    got = sharding.shard(docs, shards, replicas, positions).collect()
+    cells = sharding.ring(spark, shards, replicas, positions).collect()
+    owner, nodes = {r.cell: r.owner for r in cells}, {}
+    for r in cells:
+        if r.node_shard is not None:
+            nodes.setdefault(r.node_shard, []).append(r.cell)
+    keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key")).collect()
+    rows = {}
+    for r in sorted(keyed, key=lambda r: r.key):
+        data = (r.text or "").encode()
+        rows.setdefault(r.key % positions, []).append((r.doc_id, len(data) + 16, zlib.crc32(data)))
+    want = placed(rows, owner, nodes, shards)
+    assert len(got) == 1053 and {((r.doc_id, r.size, r.text_crc32), r.shard, r.slot) for r in got} == want
+
+
+def test_many_equal_rows(spark):
+    """Half a million of them, with a third of that many of other kinds, in the memory of the tests."""
+    from pyspark.sql import functions as F
+    same = spark.range(500_000).select(F.lit(1).cast("long").alias("doc_id"), F.lit("t").alias("text"))
+    null = spark.range(100_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"))
+    rest = spark.range(50_000).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    out = sharding.shard(same.unionByName(null).unionByName(rest))
+    sizes = out.groupBy("shard").agg(
+        F.count("*").alias("n"), F.countDistinct("slot").alias("slots"), F.max("slot").alias("last")
+    ).collect()
+    assert len(sizes) == 40 and {r.n for r in sizes} == {16_250}
+    assert all(r.n == r.slots == r.last + 1 for r in sizes)
+    assert out.filter("doc_id IS NULL").count() == 100_000 and out.filter("size = 17 AND doc_id = 1").count() >= 500_000
+
+
 def test_fewer_rows_than_shards_and_none(spark):
     for n in (0, 1, 5):
         rows = small(frame(spark, n), shards=9)
