@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from shelfcast.llm.shared import stored
 
 #: Conversations a shard may have, and the number of nodes the top may have.
-SHARD_CONVERSATIONS = 1_000
+SHARD_CONVERSATIONS = 100
 TOP_NODES = 100_000
 #: Messages that a queue holds before it spills, ids in a piece of text, rows in a batch.
 QUEUE, PIECE, BATCH = 200_000, 4_096, 8_192
