@@ -71,8 +71,8 @@ def process_all_labs(
     report_folder: str | None = None, pattern: str | None = None, dedupe: str = "values",
     feed: feeds.Feed = feeds.LABS, landing_folder: str | None = None,
 ) -> DataFrame:
-    rows = checked(spark, folder, feed, pattern, rules, landing_folder)
-    return finish(process_labs(rows, rules, dedupe), report_folder)
+    landed = checked(spark, folder, feed, pattern, rules, landing_folder)
+    return finish(process_labs(landed.rows, rules, dedupe), report_folder, landed)
 
 
 def process_all_census(
@@ -81,8 +81,8 @@ def process_all_census(
     feed: feeds.Feed = feeds.CENSUS, landing_folder: str | None = None,
 ) -> DataFrame:
     """One row per date, one column per configured ward."""
-    rows = checked(spark, folder, feed, pattern, landing_folder=landing_folder)
-    return daily.census_wide(finish(process_census(rows), report_folder), wards)
+    landed = checked(spark, folder, feed, pattern, landing_folder=landing_folder)
+    return daily.census_wide(finish(process_census(landed.rows), report_folder, landed), wards)
 
 
 def process_all_transfusion(
@@ -90,8 +90,8 @@ def process_all_transfusion(
     pattern: str | None = None, feed: feeds.Feed = feeds.TRANSFUSION,
     landing_folder: str | None = None,
 ) -> DataFrame:
-    rows = checked(spark, folder, feed, pattern, landing_folder=landing_folder)
-    return finish(process_transfusion(rows), report_folder)
+    landed = checked(spark, folder, feed, pattern, landing_folder=landing_folder)
+    return finish(process_transfusion(landed.rows), report_folder, landed)
 
 
 def process_all_inventory(
@@ -99,22 +99,24 @@ def process_all_inventory(
     pattern: str | None = None, feed: feeds.Feed = feeds.INVENTORY,
     landing_folder: str | None = None,
 ) -> DataFrame:
-    rows = checked(spark, folder, feed, pattern, landing_folder=landing_folder)
-    return finish(process_inventory(rows), report_folder)
+    landed = checked(spark, folder, feed, pattern, landing_folder=landing_folder)
+    return finish(process_inventory(landed.rows), report_folder, landed)
 
 
 def checked(
     spark: SparkSession, folder: str, feed: feeds.Feed, pattern: str | None = None,
     rules: Sequence[LabRule] = DEFAULT_RULES, landing_folder: str | None = None,
-) -> DataFrame:
-    """Rows of a feed's files after the checks that stop processing: files without rows, and
-    unparseable time stamps. The files are parsed once, into ``landing_folder`` or a new one."""
+) -> landing.Landed:
+    """A feed's files after the checks that stop processing: files without rows, and unparseable
+    time stamps. They are parsed once, into ``landing_folder`` or a new one."""
     into = landing_folder or landing.new_folder(spark)
-    return landing.land(spark, folder, feed, into, pattern, rules).require_sound(feed.name)
+    landed = landing.land(spark, folder, feed, into, pattern, rules)
+    landed.require_sound(feed.name)
+    return landed
 
 
-def finish(done: Processed, report_folder: str | None) -> DataFrame:
+def finish(done: Processed, report_folder: str | None, landed: landing.Landed) -> DataFrame:
     """The cleaned series, its reports written if a folder is given."""
     if report_folder is not None:
-        reports.save_reports(done.reports, report_folder)
+        reports.save_reports(done.reports, report_folder, files=landed.manifest)
     return done.data

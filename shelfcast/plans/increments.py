@@ -35,8 +35,8 @@ def seed(
         "date"
     )
     store.write_day(history, state, "labs", as_of)
-    rows = bulk.checked(spark, folder, feed[feeds.CENSUS.name], landing_folder=landed)
-    census = bulk.finish(bulk.process_census(rows), report_folder)
+    stays = bulk.checked(spark, folder, feed[feeds.CENSUS.name], landing_folder=landed)
+    census = bulk.finish(bulk.process_census(stays.rows), report_folder, stays)
     store.write_day(census, state, "census", as_of)
     usage = bulk.process_all_transfusion(
         spark, folder, report_folder, feed=feed[feeds.TRANSFUSION.name], landing_folder=landed
@@ -63,19 +63,20 @@ def process_days(
     )
     by_name = {f.name: f for f in params.feeds}
     into = landing_folder or landing.new_folder(spark)
-    rows = {}
+    rows, files = {}, {}
     for feed in params.feeds:
         pattern = feed.daily_pattern("(" + "|".join(dates) + ")")
         landed = landing.land(spark, folder, feed, into, pattern, params.rules)
         rows[feed.name] = feeds.with_as_of(landed.require_sound(feed.name), feed)
+        files[feed.name] = landed.manifest
     if report_folder is not None:
-        for done in (
-            bulk.process_labs(rows["labs"], params.rules),
-            bulk.process_census(rows["census"]),
-            bulk.process_transfusion(rows["transfusion"]),
-            bulk.process_inventory(rows["inventory"]),
+        for name, done in (
+            ("labs", bulk.process_labs(rows["labs"], params.rules)),
+            ("census", bulk.process_census(rows["census"])),
+            ("transfusion", bulk.process_transfusion(rows["transfusion"])),
+            ("inventory", bulk.process_inventory(rows["inventory"])),
         ):
-            reports.save_reports(done.reports, report_folder)
+            reports.save_reports(done.reports, report_folder, files=files[name])
     return dict(clean_increment(by_name[name], df, params) for name, df in rows.items())
 
 

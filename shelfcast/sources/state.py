@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.settings import MODEL_FIELDS
+from shelfcast.sources.feeds import FEEDS
 
 # Columns of the tables, without ``as_of``.
 TABLES = {
@@ -28,6 +29,7 @@ TABLES = {
     "scaler": "predictor string, center double, scale double",
     "model": "predictors array<string>, intercept double, coef array<double>",
     "prediction": "date date, t_pred double",
+    **{f"files_{feed}": "file_name string" for feed in FEEDS},
 }
 
 

@@ -14,27 +14,45 @@ from shelfcast.sources import checks, feeds, landing
 from shelfcast.sources import state as store
 
 
+def taken_table(feed: feeds.Feed) -> str:
+    """State table of the files a feed's days were written from."""
+    return f"files_{feed.name}"
+
+
 def writer(
-    feed: feeds.Feed, folder: str, state: str, params: Params = Params()
+    feed: feeds.Feed, state: str, params: Params = Params(), replace: bool = False
 ) -> Callable[[DataFrame, int], None]:
-    """Micro-batch function: clean the new files and replace their days' partitions.
+    """Micro-batch function: clean the new files and write their days' partitions.
 
-    A retried batch rewrites the same partitions. A second file for a day would replace the first
-    one's rows, so it stops the stream instead.
+    The files a day was written from are part of the state. A retried batch has the same files and
+    writes the same partitions. Another file for a day, in the batch or from an earlier one, stops the
+    stream before anything changes, or, with ``replace``, takes the place of the earlier one's rows; of
+    two in one batch the one whose name sorts last does. A day that had its line in ``runs`` loses
+    it first, so that it counts again only once it is whole.
     """
 
     def write(batch: DataFrame, _batch_id: int) -> None:
         spark = batch.sparkSession
         rows = feeds.with_as_of(batch, feed).persist()
         try:
-            days = rows.select(F.col("as_of").alias("date")).distinct()
-            counts = checks.file_counts(spark, folder, wanted_feeds=[feed])
-            repeated = counts.filter("n_files > 1").join(days, "date", "left_semi")
-            checks.require_empty(repeated, f"Several {feed.name} files for a day")
             bad = rows.filter(landing.bad_stamp(feed, params.rules)).select("file_name")
             checks.require_empty(bad, f"Bad time stamps in {feed.name} files")
-            table, increment = clean_increment(feed, rows, params)
-            store.write_days(increment, state, table, [str(d["date"]) for d in days.collect()])
+            files = rows.select("as_of", "file_name").distinct()
+            days = [str(r["as_of"]) for r in files.select("as_of").distinct().collect()]
+            if replace:
+                last = files.groupBy("as_of").agg(F.max("file_name").alias("file_name"))
+                files, used = last, rows.join(last, ["as_of", "file_name"], "left_semi")
+            else:
+                known = store.of_days(store.read_table(spark, state, taken_table(feed)), days)
+                each = files.unionByName(known).distinct().groupBy("as_of").count()
+                checks.require_empty(
+                    each.filter("count > 1"), f"Several {feed.name} files for a day"
+                )
+                used = rows
+            store.open_days(spark, state, days)
+            table, increment = clean_increment(feed, used, params)
+            store.write_days(increment, state, table, days)
+            store.write_days(files, state, taken_table(feed), days)
         finally:
             rows.unpersist()
 
@@ -43,13 +61,16 @@ def writer(
 
 def ingest(
     spark: SparkSession, folder: str, state: str, checkpoint: str, params: Params = Params(),
-    **options: str,
+    replace: bool = False, **options: str,
 ) -> list[StreamingQuery]:
-    """One query per feed that takes in all files present and ends; run it again for new ones."""
+    """One query per feed that takes in all files present and ends; run it again for new ones.
+
+    ``replace`` lets a later file for a day replace an earlier one, see :func:`writer`.
+    """
     return [
         feeds.stream_feed(spark, folder, feed, **options)
         .filter(F.col("file_name").rlike(feed.daily_pattern()))
-        .writeStream.foreachBatch(writer(feed, folder, state, params))
+        .writeStream.foreachBatch(writer(feed, state, params, replace))
         .option("checkpointLocation", f"{checkpoint}/{feed.name}")
         .trigger(availableNow=True)
         .start()

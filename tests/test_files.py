@@ -256,3 +256,28 @@ def test_reports_of_several_runs_stay(spark, tmp_path):
     assert got == [("CBC_2017-summary", 1), ("CBC_2018-summary", 5), ("a2018-04-10-summary", 3),
                    ("b2018-04-10-summary", 4)]
     assert rows(reports.read_report(spark, str(tmp_path), "sheet", "2018-04-10"), "n") == [(4,)]
+
+
+def test_a_report_that_loses_its_rows_is_cleared(spark, folder, tmp_path):
+    """A corrected lab file has no missing values any more; another file's report stays."""
+    feed, out = tmp_path / "feed", tmp_path / "reports"
+    feed.mkdir()
+    for day in ("2018-04-10", "2018-04-11"):
+        ff.write(feed, ff.CBC % day, feeds.LABS, ff.LABS_A)
+    bulk.process_all_labs(spark, str(feed), report_folder=str(out)).collect()
+    assert reports.read_report(spark, str(out), "lab_missing_values", "2018-04-10").count() == 2
+    ff.write(feed, ff.CBC % "2018-04-10", feeds.LABS, [ff.lab("09-Apr-18 08:01:54", "WBC", "12.5")])
+    bulk.process_all_labs(spark, str(feed), report_folder=str(out), pattern="CBC_Daily2018-04-10").collect()
+    assert reports.read_report(spark, str(out), "lab_missing_values", "2018-04-10").count() == 0
+    assert reports.read_report(spark, str(out), "lab_missing_values", "2018-04-11").count() == 2
+    assert reports.read_report(spark, str(out), "lab_summary", "2018-04-10").count() == 1
+
+
+def test_cleared_reports_without_a_date_and_with_odd_names(spark, tmp_path):
+    names, schema = ["CBC 2017=a%.txt", "b2018-04-10:x.txt"], "file_name string, n int"
+    files = spark.createDataFrame([(n,) for n in names], "file_name string")
+    full = reports.of_file(spark.createDataFrame([(n, 1) for n in names], schema))
+    for sheet in (full, full.filter("report_date IS NOT NULL"), full.limit(0)):
+        reports.save_reports({"sheet": sheet}, str(tmp_path), files=files)
+        left = spark.read.parquet(f"{tmp_path}/sheet").select("report")
+        assert rows(left) == rows(sheet, "report")

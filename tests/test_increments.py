@@ -299,6 +299,33 @@ def test_stream_ingest_writes_the_same_increments(spark, folders, daily_state, t
         assert rows(store.read_table(spark, state, "runs"), "reason") == [("ingested",)] * len(days)
 
 
+def test_second_file_for_a_committed_day(spark, tmp_path, tmp_path_factory):
+    """In another batch: it stops the stream and changes nothing, or replaces and reopens the day."""
+    folder, state, cp = tmp_path_factory.mktemp("twice"), str(tmp_path / "state"), str(tmp_path / "cp")
+    days = [write_day(folder, SEED_DAYS + i) for i in range(2)]
+
+    def take(replace=False):
+        for q in ingest.ingest(spark, str(folder), state, cp, PARAMS, replace=replace):
+            q.awaitTermination()
+
+    take()
+    ingest.close_days(spark, state)
+    before = rows(store.read_committed(spark, state, "usage"), "as_of", "date", "used")
+    assert [str(a) for a, _, _ in before] == days
+    slash = (FIRST + dt.timedelta(days=SEED_DAYS)).strftime("%m/%d/%Y")
+    second = (ff.ISSUES % days[0]).replace("08-01-54", "09-30-00")
+    ff.write(folder, second, feeds.TRANSFUSION, [ff.issue(f"{slash}  09:00:00 AM")] * 40)
+    with pytest.raises(Exception, match="Several transfusion files"):
+        take()
+    assert rows(store.read_committed(spark, state, "usage"), "as_of", "date", "used") == before
+    take(replace=True)
+    assert [str(a) for (a,) in rows(store.read_committed(spark, state, "usage"), "as_of")] == days[1:]
+    ingest.close_days(spark, state)
+    after = rows(store.read_committed(spark, state, "usage"), "as_of", "date", "used")
+    assert after == [(*before[0][:2], 40), before[1]]
+    assert rows(store.read_table(spark, state, "files_transfusion"), "file_name") == [(second,), (ff.ISSUES % days[1],)]
+
+
 def test_running_counts_take_late_rows(spark, tmp_path):
     folder = tmp_path / "files"
     folder.mkdir()
