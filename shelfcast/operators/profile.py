@@ -2,11 +2,11 @@
 
 The rows are first reduced to (group, value, n), combined on the map side. Values are then put
 in ordered buckets, and only a group's bucket totals are brought together to find the buckets
-that hold the wanted ranks. Each of these is cut again, into equal parts of its own range, and the
+that hold the wanted ranks. Those with many different values are cut again at approximate quantiles
+of these, into parts with about as many values each, wherever in the bucket they lie. The
 rows of just the parts that hold a wanted rank are ranked, each part on its own. A group with a
 third of all rows is thus spread over its values, buckets and parts, also where all its values lie
-close together. Not so where an outlier stretches a bucket's range: there is no third cut, and the
-distinct values that fall into one part are ranked in one task.
+close together or beside an outlier.
 """
 
 from __future__ import annotations
@@ -19,7 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS_PER_E = 256  # a bucket spans 0.4 % of its values
-PARTS = 4096  # of a bucket that holds a wanted rank
+PART_VALUES = 4096  # different values that a bucket may have before it is cut
+PARTS = 16  # squared, the parts of a bucket that is cut
 _SHIFT = 200_000  # above BUCKETS_PER_E * |ln v| of every double
 
 # Integer that never decreases as the value grows; NULL for NULL.
@@ -110,6 +111,7 @@ def _bucket_totals(counts: DataFrame, keys: Sequence[str], tallies: Mapping[str,
         counts.groupBy(*keys, "bucket")
         .agg(
             F.expr("sum(n) AS bucket_n"),
+            F.expr("count(*) AS bucket_values"),
             F.expr("min(value) AS bucket_min"),
             F.expr("max(value) AS bucket_max"),
             F.expr(f"sum((value - {_CENTRE}) * n) AS s1"),
@@ -117,7 +119,8 @@ def _bucket_totals(counts: DataFrame, keys: Sequence[str], tallies: Mapping[str,
             *[F.sum(F.when(cond, F.col("n")).otherwise(0)).alias(c) for c, cond in tallies.items()],
         )
         .selectExpr(
-            *_names(keys), "bucket", "bucket_n", "bucket_min", "bucket_max", *_names(tallies),
+            *_names(keys), "bucket", "bucket_n", "bucket_values", "bucket_min", "bucket_max",
+            *_names(tallies),
             "CASE WHEN bucket IS NULL THEN 0 ELSE bucket_n END AS known",
             f"{_CENTRE} + s1 / bucket_n AS bucket_mean",
             "greatest(s2 - s1 * s1 / bucket_n, 0D) AS bucket_m2",
@@ -135,8 +138,7 @@ def _group_stats(hist: DataFrame, keys: Sequence[str], tallies: Mapping[str, Col
     group = f"OVER ({ordered} AND UNBOUNDED FOLLOWING)"  # one sort serves both frames
     earlier = f"OVER ({ordered} AND 1 PRECEDING)"
     hist = hist.selectExpr(
-        *_names(keys), "bucket", "bucket_n", "bucket_min", "bucket_max", "known", "bucket_mean",
-        "bucket_m2",
+        *_names(keys), "bucket", "bucket_n", "bucket_values", "known", "bucket_mean", "bucket_m2",
         f"sum(known) {group} AS n",
         f"sum(bucket_n - known) {group} AS n_missing",
         f"min(bucket_min) {group} AS min",
@@ -147,7 +149,7 @@ def _group_stats(hist: DataFrame, keys: Sequence[str], tallies: Mapping[str, Col
     )
     m2 = f"sum(bucket_m2 + known * (bucket_mean - mean) * (bucket_mean - mean)) {group}"
     return hist.selectExpr(
-        *_names(keys), "bucket", "bucket_min", "bucket_max", "known", "before", "n", "n_missing",
+        *_names(keys), "bucket", "bucket_values", "known", "before", "n", "n_missing",
         "min", "max", "mean",
         f"CASE WHEN n > 1 THEN sqrt({m2} / (n - 1)) END AS sd",
         *_names(tallies),
@@ -162,18 +164,14 @@ def _rank_within_parts(
     Keys are compared null-safe: a NULL key is a group like any other, and no filter gets in
     between that would keep both readers of ``counts`` from sharing its shuffle.
     """
-    spans = buckets.select(*keys, "bucket", "bucket_min", "bucket_max")
-    place = (
-        f"least(floor((value - bucket_min) / (bucket_max - bucket_min) * {PARTS}), {PARTS - 1})"
-    )
-    rows = _join(counts.withColumnRenamed("n", "value_n"), spans, [*keys, "bucket"]).withColumn(
-        "part", F.expr(f"CAST(CASE WHEN bucket_max > bucket_min THEN {place} ELSE 0 END AS INT)")
-    )
+    spans = buckets.select(*keys, "bucket", "bucket_values")
+    rows = _join(counts.withColumnRenamed("n", "value_n"), spans, [*keys, "bucket"])
+    rows = _with_cuts(rows, keys).withColumn("part", F.expr(_PART))
     rows = rows.select(*keys, "bucket", "part", "value", "value_n")
     parts = rows.groupBy(*keys, "bucket", "part").agg(F.sum("value_n").alias("part_n"))
     by = ", ".join([*_names(keys), "bucket"])
     parts = (
-        _join(parts, buckets.drop("bucket_min", "bucket_max"), [*keys, "bucket"])
+        _join(parts, buckets.drop("bucket_values"), [*keys, "bucket"])
         .withColumn(
             "before",
             F.expr(
@@ -198,6 +196,33 @@ def _rank_within_parts(
     )
 
 
+# Place of the value among the cuts, looked up in two steps; 0 without cuts.
+_BELOW = f"transform(sequence(1, {PARTS - 1}), i -> cuts[i * {PARTS} - 1])"
+_COARSE = f"size(filter({_BELOW}, c -> c < value))"
+_PART = f"""CASE WHEN cuts IS NULL OR value IS NULL THEN 0
+    ELSE transform(array({_COARSE}), k -> k * {PARTS}
+        + size(filter(slice(cuts, k * {PARTS} + 1, {PARTS - 1}), c -> c < value)))[0] END"""
+
+
+def _with_cuts(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Adds ``cuts``, the values that divide the rows of a bucket of many values into equal parts.
+
+    They are approximate quantiles of its different values, which partial sketches of a fixed size
+    give; buckets of few values have none. Null-safe like :func:`_join`, and the rows of a bucket
+    that is not cut stay.
+    """
+    points = ", ".join(f"{k}D / {PARTS * PARTS}" for k in range(1, PARTS * PARTS))
+    cuts = (
+        rows.filter((F.col("bucket_values") > PART_VALUES) & F.col("value").isNotNull())
+        .groupBy(*keys, "bucket")
+        .agg(F.expr(f"percentile_approx(value, array({points}), {10 * PARTS * PARTS})").alias("cuts"))
+    )
+    on = [*keys, "bucket"]
+    named = cuts.withColumnsRenamed({c: f"_{c}" for c in on})
+    same = reduce(and_, [F.col(f"`{c}`").eqNullSafe(F.col(f"`_{c}`")) for c in on])
+    return rows.join(named, same, "left").drop(*[f"_{c}" for c in on])
+
+
 def _join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Inner join on columns of equal name, NULL equal to NULL."""
     named = right.withColumnsRenamed({c: f"_{c}" for c in on})

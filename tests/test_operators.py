@@ -502,10 +502,26 @@ def test_parameters_are_validated():
         Params(initial_expiry=(1, -2))
 
 
-@pytest.mark.parametrize("shape", ["narrow", "ties", "wide"])
+OUTLIER = "CASE WHEN id = 0 THEN 1001D ELSE 1000 + id / 4e8 END"
+
+
+def test_parts_hold_few_values_beside_an_outlier(spark):
+    """A million values within a ten-millionth of a bucket that an outlier stretches."""
+    frame = spark.range(1_000_000).selectExpr("'a' AS k", f"{OUTLIER} AS v")
+    counts = profile.value_counts(frame, ["k"], "v").withColumn("bucket", F.expr(profile._BUCKET))
+    size = counts.groupBy("k", "bucket").agg(F.count("*").alias("bucket_values"))
+    assert size.count() == 1
+    cut = profile._with_cuts(counts.join(size, ["k", "bucket"]), ["k"]).withColumn("part", F.expr(profile._PART))
+    parts = cut.groupBy("part").agg(F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+    got = sorted(parts.collect(), key=lambda r: r.part)
+    assert len(got) == 256 and max(r.n for r in got) < 6_000
+    assert all(a.hi < b.lo for a, b in zip(got, got[1:]))
+
+
+@pytest.mark.parametrize("shape", ["narrow", "ties", "wide", "outlier"])
 def test_profile_of_values_close_together(spark, shape):
     """A group within one bucket, with and without ties, next to a NULL group."""
-    value = {"narrow": "1000 + id / 20000D", "ties": "1000 + floor(id / 500) / 40D", "wide": "id * id"}[shape]
+    value = {"narrow": "1000 + id / 20000D", "ties": "1000 + floor(id / 500) / 40D", "wide": "id * id", "outlier": OUTLIER}[shape]
     frame = spark.range(20000).selectExpr("CASE WHEN id % 3 > 0 THEN 'a' END AS k", f"CAST({value} AS DOUBLE) AS v")
     probs = (0.0, 0.25, 0.5, 0.999, 1.0)
     got = profile.profile(profile.value_counts(frame, ["k"], "v"), ["k"], probs)
