@@ -184,12 +184,37 @@ def rolling_scaler(spark, d):
     return training.rolling_scaler(training_table(spark, d), SHORT_HISTORY)
 
 
-def run_log(dates: DataFrame) -> DataFrame:
+def site_training_table(spark, d):
+    lines = adapters.regional_lines(spark, d)
+    counts = labs.lab_threshold_counts(lines, adapters.LINE_RULES, SITE)
+    features = labs.lab_features_wide(counts, adapters.LINE_RULES, SITE)
+    census = daily.census_counts(adapters.regional_census(spark, d), SITE)
+    census = daily.census_wide(census, adapters.WARDS, SITE)
+    used = daily.daily_usage(lines, adapters.UNIT_TYPE, SITE)
+    return training.training_table(features, census, used, SITE)
+
+
+def site_rolling_scaler(spark, d):
+    return training.rolling_scaler(site_training_table(spark, d), SHORT_HISTORY, keys=SITE)
+
+
+def site_forecast_windows(spark, d):
+    """What each model of each site is fitted on."""
+    table = site_training_table(spark, d)
+    flagged = run_log(table, SITE).drop("age_before", "reason")
+    models = forecast.rolling_models(flagged, SITE)
+    return models.select(
+        *SITE, "model_date", "n", "target_sum",
+        F.explode("predictor_sums").alias("predictor", "total"),
+    )
+
+
+def run_log(dates: DataFrame, keys=()) -> DataFrame:
     """One run per date; the window length changes once and some increments span dates."""
     fields = {c: F.lit(float(getattr(PARAMS, c))) for c in MODEL_FIELDS}
     fields["history_window"] = F.when(F.col("date") >= "1998-07-01", 100.0).otherwise(200.0)
     fields["multi_date"] = F.dayofmonth("date") == 15
-    return runs.model_age(runs.run_gaps(dates).withColumns(fields))
+    return runs.model_age(runs.run_gaps(dates, keys).withColumns(fields), keys)
 
 
 def model_age_ledger(spark, d):
@@ -381,6 +406,9 @@ _PLAIN: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scaler_apply": scaler_apply,
     "scaler_center_only": scaler_center_only,
     "rolling_scaler": rolling_scaler,
+    "site_training_table": site_training_table,
+    "site_rolling_scaler": site_rolling_scaler,
+    "site_forecast_windows": site_forecast_windows,
     "model_age_ledger": model_age_ledger,
     "last_scaler_asof": last_scaler_asof,
     "accumulate_counts": accumulate_counts,

@@ -296,6 +296,71 @@ used_rows as (
     on t.rn between f.rn - 194 and f.rn - 3 and t.y3 is not null and {known})"""
 
 
+BY_SITE = "partition by site"
+
+
+def _site_training() -> str:
+    """The training table of every site: regions are sites, nations their wards."""
+    features = ", ".join(
+        f"cast(coalesce(sum(nq) filter (where base_name = '{b}'), 0) as bigint) as {b}_Nq" for b in LINE_LABS
+    )
+    smoothed = ", ".join(f"{trailing('avg', f'{b}_Nq', 7, BY_SITE)} as {b}_Nq" for b in LINE_LABS)
+    beds = ", ".join(f"cast(count(*) filter (where ward = '{w}') as bigint) as {w}" for w in WARDS)
+    days = ", ".join(f"cast(isodow(l.date) = {k} as integer) as {d}" for k, d in enumerate(WEEKDAYS, 1))
+    return f"""stays as (
+  select o_orderkey, cast(o_orderdate as date) as date, n_regionkey as site,
+    'N' || cast(c_nationkey as varchar) as ward
+  from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey),
+site_lines as (
+  select site, cast(l_shipdate as date) as date, l_returnflag as type,
+    l_returnflag || l_linestatus as base_name, l_quantity as lab_value
+  from lineitem join stays on l_orderkey = o_orderkey),
+thresholds as (
+  select site, date, base_name, case base_name when 'AO' then 12.0 when 'RF' then 25.0
+    else quantile_cont(lab_value, 0.25) end as threshold
+  from site_lines group by site, date, base_name),
+site_counts as (
+  select l.site as site, l.date as date, l.base_name as base_name,
+    case when l.base_name = 'NO' then count(*) filter (where lab_value >= threshold)
+      else count(*) filter (where lab_value < threshold) end as nq
+  from site_lines l join thresholds t using (site, date, base_name)
+  group by l.site, l.date, l.base_name),
+site_features as (select site, date, {features} from site_counts group by site, date),
+site_smoothed as (select site, date, {smoothed} from site_features),
+site_census as (select site, date, {beds} from stays group by site, date),
+site_lagged as (
+  select site, date, used as plt_used, {trailing('avg', 'used', 7, BY_SITE)} as seven_lag
+  from (select site, date, count(*) as used from site_lines where type = 'R' group by site, date)),
+training as (
+  select l.site, l.date, {days}, seven_lag, {', '.join(f'{b}_Nq' for b in LINE_LABS)},
+    {', '.join(WARDS)}, plt_used
+  from site_lagged l join site_smoothed using (site, date) join site_census using (site, date))"""
+
+
+def _with_site(parts: str) -> str:
+    """Fragments on one series, for a series per site."""
+    return (
+        parts.replace("over (order by date", f"over ({BY_SITE} order by date")
+        .replace("as (order by date", f"as ({BY_SITE} order by date")
+        .replace("select date,", "select site, date,")
+    )
+
+
+def _site_windows() -> str:
+    known = " and ".join(f"t.{c} is not null" for c in PREDICTORS)
+    return f"""placed as (
+  select *, row_number() over ({BY_SITE} order by date) as rn,
+    case when count(*) over ahead = 3 then sum(plt_used) over ahead end as y3
+  from training
+  window ahead as ({BY_SITE} order by date rows between 1 following and 3 following)),
+fits as (
+  select site, date as model_date, rn from placed join ages using (site, date)
+  where reason is not null and rn > 200),
+used_rows as (
+  select f.model_date, t.* from fits f join placed t
+    on t.site = f.site and t.rn between f.rn - 194 and f.rn - 3 and t.y3 is not null and {known})"""
+
+
 def oracle_sql() -> dict[str, str]:
     ledger_out = ", ".join(r6(c, c) for c in LEDGER_COLUMNS)
     shown = f"""shown as (
@@ -435,6 +500,24 @@ ranges as (select measure, min(value) as lo, max(value) as hi from measures grou
             [*TRAINING_PARTS, ROLLING],
             f"select date, predictor, {r6('center', 'center')}, {r6('scale', 'scale')} from rolling",
         ),
+        "site_training_table": _query(
+            [_site_training()],
+            f"select site, date, {', '.join(WEEKDAYS)}, {r6('seven_lag', 'seven_lag')}, "
+            + ", ".join(r6(f"{b}_Nq", f"{b}_Nq") for b in LINE_LABS)
+            + f", {', '.join(WARDS)}, plt_used from training",
+        ),
+        "site_rolling_scaler": _query(
+            [_site_training(), _with_site(ROLLING)],
+            f"select site, date, predictor, {r6('center', 'center')}, {r6('scale', 'scale')} from rolling",
+        ),
+        "site_forecast_windows": _query(
+            [_site_training(), _with_site(runs("training")), _site_windows()],
+            " union all ".join(
+                f"select site, model_date, count(*) as n, cast(sum(y3) as double) as target_sum, "
+                f"'{c}' as predictor, round(sum({c}), 6) as total from used_rows group by site, model_date"
+                for c in PREDICTORS
+            ),
+        ),
         "model_age_ledger": _query(
             [USAGE, runs("usage")],
             "select date, age_before, reason is not null as retrain, reason from ages",

@@ -91,6 +91,40 @@ def site_transfusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _regional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with the customer's nation as ward and its region as ``site``."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    return (
+        orders.join(customer, orders.o_custkey == customer.c_custkey)
+        .join(nation, customer.c_nationkey == nation.n_nationkey)
+        .select(
+            "o_orderkey", "o_orderdate", F.col("n_regionkey").alias("site"),
+            F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("ward"),
+        )
+    )
+
+
+def regional_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines of each site, as issued units and as cleaned lab values at once."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", F.col("l_returnflag").alias("type"), F.col("l_shipdate").alias("issue_time"),
+        F.col("l_shipdate").cast("date").alias("date"),
+        F.concat("l_returnflag", "l_linestatus").alias("base_name"),
+        F.col("l_quantity").alias("lab_value"),
+    )
+    sites = _regional(spark, sf_dir).select("o_orderkey", "site")
+    return lines.join(sites, lines.l_orderkey == sites.o_orderkey).drop("l_orderkey", "o_orderkey")
+
+
+def regional_census(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of each site as patients."""
+    return _regional(spark, sf_dir).select(
+        "site", F.col("o_orderdate").cast("date").alias("location_time"), "ward"
+    )
+
+
 def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as shelf stock: shelf life from -1 to 3.5 days."""
     days = (F.col("l_quantity") % 5) - 1 + F.when(F.col("l_partkey") % 2 == 1, 0.5).otherwise(0.0)
