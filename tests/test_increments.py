@@ -343,3 +343,29 @@ def test_running_counts_take_late_rows(spark, tmp_path):
     assert run() == [(dt.date(2018, 4, 9), 3), (dt.date(2018, 4, 10), 3)]
     ff.write(folder, ff.ISSUES % "2018-04-11", feeds.TRANSFUSION, ff.ISSUES_B)
     assert run() == [(dt.date(2018, 4, 9), 3), (dt.date(2018, 4, 10), 6)]
+
+
+def test_running_counts_are_merged(spark, tmp_path):
+    """A reader's input is bounded by the groups and a few batches; a broken merge changes nothing."""
+    folder = tmp_path / "files"
+    folder.mkdir()
+    path, cp = str(tmp_path / "counts"), str(tmp_path / "cp")
+    for i in range(7):
+        ff.write(folder, ff.ISSUES % f"2018-04-{10 + i}", feeds.TRANSFUSION, ff.ISSUES_A)
+        stream = feeds.stream_feed(spark, str(folder), feeds.TRANSFUSION)
+        counts.write_updates(counts.running_usage(stream), path, cp, every=3).trigger(
+            availableNow=True
+        ).start().awaitTermination()
+        n = 3 * (i + 1)
+        want = [(dt.date(2018, 4, 9), n), (dt.date(2018, 4, 10), n)]
+        assert rows(counts.current_counts(spark, path, ["date"], "used")) == want
+    assert rows(spark.read.parquet(f"{path}/bases")) == [(2,), (5,)]
+    read = counts.current_counts(spark, path, ["date"], "used")
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "InitialPlan" not in line]
+    assert any("(batch" in x and "> 5" in x.split("PartitionFilters")[1] for x in scans)
+    assert any("(upto" in x and "= 5" in x.split("PartitionFilters")[1] for x in scans)
+    spark.read.parquet(f"{path}/base/upto=5").limit(1).write.parquet(f"{path}/base/upto=6")
+    assert rows(counts.current_counts(spark, path, ["date"], "used")) == want
+    counts.compact(spark, path, ["date"], "used", 6)
+    assert rows(counts.current_counts(spark, path, ["date"], "used")) == want
