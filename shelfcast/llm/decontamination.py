@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.shared import map_texts
+from shelfcast.llm.shared import map_texts, stored, unused
 
 #: Words are runs of digits, letters and everything outside ASCII, after A-Z became a-z.
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 WINDOW = 10
-#: Characters of benchmark text behind one automaton; a larger benchmark takes several passes.
-AUTOMATON_CHARS = 16_000_000
+#: Characters of all windows of an automaton, so of its states; more take several passes.
+AUTOMATON_CHARS = 8_000_000
 
 HITS = T.ArrayType(
     T.StructType([
@@ -102,17 +102,54 @@ def verdict(text: str, n_words: int, hits: list[tuple]) -> tuple:
     return n_words, n_hit, len(items), items, offsets(text, spans), bool(spans)
 
 
-def _passes(benchmark: DataFrame, most_chars: int) -> list[list[tuple[str, str | None]]]:
-    """The items in parts whose texts stay under ``most_chars`` together, where single texts do."""
-    items = benchmark.select(
+def _items(benchmark: DataFrame) -> DataFrame:
+    return benchmark.select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text"
     )
+
+
+def _passes(items: DataFrame, window: int, most_chars: int) -> int:
+    """Parts in which the windows stay under ``most_chars``, where those of single items do. A
+    character of an item is in at most ``window`` windows."""
     chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    n = 1 + 2 * (chars // most_chars)
-    if n == 1:
-        return [[tuple(r) for r in items.collect()]]
-    part = F.pmod(F.xxhash64("item", "text"), F.lit(n))
-    return [[tuple(r) for r in items.filter(part == k).collect()] for k in range(n)]
+    return 1 + 2 * (chars * window // most_chars)
+
+
+def _scanner(shipped, window: int, finish):
+    """Starts a task: one automaton, and a function from texts to ``finish(text, n_words, hits)``."""
+    def start():
+        finder = automaton(shipped.value, window)
+        return lambda texts: [finish(t or "", *scan(t, finder)) for t in texts]
+
+    return start
+
+
+def _found_in_parts(docs: DataFrame, items: DataFrame, window: int, n: int) -> DataFrame:
+    """(t1, t2, hits) of the texts, by two hashes of theirs, in which some part is found.
+
+    One part of the items at a time comes to the driver and becomes an automaton; its hits are
+    written out before the next one's turn.
+    """
+    context = docs.sparkSession.sparkContext
+    part, found = F.pmod(F.xxhash64("item", "text"), F.lit(n)), None
+    for k in range(n):
+        shipped = context.broadcast([tuple(r) for r in items.filter(part == k).collect()])
+        scanned = map_texts(
+            docs.select("text"), _scanner(shipped, window, lambda text, n_words, hits: (hits,)),
+            [T.StructField("hits", HITS)],
+        )
+        hits = stored(
+            scanned.filter("size(hits) > 0").select(*_text_key(), F.explode("hits").alias("hit"))
+            .distinct(),
+            "benchmark-hits",
+        )
+        shipped.destroy()
+        found = hits if found is None else found.unionByName(hits)
+    return found.groupBy("t1", "t2").agg(F.collect_set("hit").alias("hits"))
+
+
+def _text_key() -> list:
+    return [F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2")]
 
 
 def decontaminate(
@@ -125,10 +162,10 @@ def decontaminate(
     has no words. A NULL item id counts as the id ''. Equal items share their windows. Windows of
     an empty or NULL item do not exist. An empty benchmark marks nothing.
 
-    The benchmark's size is measured first. Up to ``most_chars`` it becomes one broadcast
-    automaton, more is cut into several, each one pass over the documents.
+    The benchmark's size is measured first. With up to ``most_chars`` in its windows it becomes one
+    broadcast automaton and one pass over the documents. More is cut into parts, each one pass
+    that keeps the hits of the few texts that have any; these are joined to the documents in the end.
     """
-    context = docs.sparkSession.sparkContext
     span = T.StructType(
         [T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]
     )
@@ -139,26 +176,28 @@ def decontaminate(
         T.StructField("hit_spans", T.ArrayType(span)),
         T.StructField("contaminated", T.BooleanType()),
     ]
-    *parts, last = [context.broadcast(p) for p in _passes(benchmark, most_chars)]
-    out = docs.drop(*[f.name for f in made]).withColumn("_hits", F.lit(None).cast(HITS))
-
-    def found(shipped, finish):
-        def start():
-            finder = automaton(shipped.value, window)
-
-            def work(texts, earlier):
-                rows = []
-                for text, seen in zip(texts, earlier):
-                    n, hits = scan(text, finder)
-                    hits = [(h["first"], h["last"], h["item"]) for h in seen or []] + hits
-                    rows.append(finish(text or "", n, hits))
-                return rows
+    out, items = docs.drop(*[f.name for f in made]), _items(benchmark)
+    n = _passes(items, window, most_chars)
+    if n == 1:
+        shipped = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in items.collect()])
+        return map_texts(out, _scanner(shipped, window, verdict), made)
+    mark = unused(out.columns)
+    hits = _found_in_parts(docs, items, window, n).select(
+        F.col("t1").alias(f"{mark}1"), F.col("t2").alias(f"{mark}2"), F.col("hits").alias(f"{mark}hits")
+    )
+    one, two = _text_key()
+    joined = out.select("*", one.alias(f"{mark}1"), two.alias(f"{mark}2")).join(
+        hits, [f"{mark}1", f"{mark}2"], "left"
+    )
 
-            return work
+    def start():
+        def work(texts, found):
+            return [
+                verdict(t or "", scan(t, None)[0], [(h["first"], h["last"], h["item"]) for h in hits or []])
+                for t, hits in zip(texts, found)
+            ]
 
-        return start
+        return work
 
-    for part in parts:
-        collect = found(part, lambda text, n, hits: (hits,))
-        out = map_texts(out, collect, [T.StructField("_hits", HITS)], reads=("text", "_hits"))
-    return map_texts(out, found(last, verdict), made, reads=("text", "_hits")).drop("_hits")
+    marked = map_texts(joined, start, made, reads=("text", f"{mark}hits"))
+    return marked.select(*[F.col(f"`{c}`") for c in out.columns], *[f.name for f in made])

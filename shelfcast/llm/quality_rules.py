@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.shared import SPACES, UPPER, stored
+from shelfcast.llm.shared import SPACES, UPPER, stored, unused
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = SPACES.replace("\n", "")
@@ -243,10 +243,7 @@ def quality_rules(docs: DataFrame, limits: Limits = Limits(), host: str = "sourc
     judged = stored(
         verdicts(docs.select("doc_id", F.col(host).alias("host"), "text"), limits), "quality-verdicts"
     )
-    # Names that no input column begins with.
-    mark = "_"
-    while any(c.lower().startswith(mark) for c in docs.columns):
-        mark += "_"
+    mark = unused(docs.columns)
     keyed = docs.select("*", *[
         c.alias(f"{mark}{k}") for k, c in zip(KEY, _keys(F.col("doc_id"), F.col(host), F.col("text")))
     ])

@@ -77,6 +77,14 @@ def map_texts(
     return kept.mapInArrow(run, schema)
 
 
+def unused(columns: Sequence[str]) -> str:
+    """A prefix that no column's name begins with."""
+    mark = "_"
+    while any(c.lower().startswith(mark) for c in columns):
+        mark += "_"
+    return mark
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of ``value``, with ``value`` computed once per row however often it is used."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

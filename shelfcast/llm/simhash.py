@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.shared import map_texts, stored
+from shelfcast.llm.shared import map_texts, stored, unused
 
 SEED = 42
 MOST_BITS = 2
@@ -175,15 +175,18 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3, max_bits: int = 2)
 def deduplicate(docs: DataFrame, shingle_words: int = 3, max_bits: int = 2) -> DataFrame:
     """The rows of ``docs`` that come first in their component, all columns kept, one of each.
 
-    First is the least doc_id (NULL last), then the hash of the text; equal rows collapse.
+    First is the least doc_id (NULL last), then the hash of the text; of rows equal in both, the one
+    whose other columns come first in order (NULL first), so that equal rows collapse. The columns must have
+    an order.
     """
     _, members = _members(docs, shingle_words, max_bits)
+    mark = unused(docs.columns)
+    row, said, head = f"{mark}row", f"{mark}text", f"{mark}id"
     heads = members.select(
-        F.col("head.doc_id").alias("_id"), F.col("head._text").alias("_text")
+        F.col("head.doc_id").alias(head), F.col("head._text").alias(f"{mark}head")
     ).distinct()
-    hashed = docs.withColumn("_text", F.xxhash64("text"))
+    hashed = docs.select("doc_id", F.xxhash64("text").alias(said), F.struct("*").alias(row))
     kept = hashed.join(
-        heads, hashed["doc_id"].eqNullSafe(heads["_id"]) & (hashed["_text"] == heads["_text"]),
-        "left_semi",
+        heads, F.col("doc_id").eqNullSafe(F.col(head)) & (F.col(said) == F.col(f"{mark}head")), "left_semi"
     )
-    return kept.dropDuplicates(["doc_id", "_text"]).drop("_text")
+    return kept.groupBy("doc_id", said).agg(F.min(row).alias(row)).select(f"{row}.*")

@@ -30,13 +30,14 @@ def corpus():
 
 def test_matches_brute_force(spark):
     docs, items = corpus()
-    frame = spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, text string, items string")
+    frame = spark.createDataFrame([(*d, "x", "kept") for d in docs], "doc_id long, text string, items string, _1 string")
     bench = spark.createDataFrame(items, "item_id long, text string")
     named = [("" if i is None else str(i), t) for i, t in items]
     want = {d: brute(t, named, 4) for d, t in docs}
-    for most in (10_000_000, 60):
+    for most in (10_000_000, 150):
+        assert (D._passes(D._items(bench), 4, most) > 1) == (most == 150)
         got = D.decontaminate(frame, bench, 4, most).collect()
-        assert len(got) == len(docs)
+        assert len(got) == len(docs) and got[0].asDict()["_1"] == "kept"
         assert {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in got} == want
         assert all(r.contaminated == (r.n_hit > 0) and r.n_items == len(r["items"]) for r in got)
     row = next(r for r in got if r.doc_id == 100)

@@ -102,3 +102,10 @@ def test_bits_of_hashes_are_counted_in_blocks():
     assert simhash.fingerprint(text, 3) == whole
     simhash.BLOCK = block
     assert np.int64(whole) == whole
+
+
+def test_rows_equal_in_id_and_text(spark):
+    """The other columns decide, whatever their names."""
+    rows = [(1, "a b c d", s, k) for s, k in (("z", 1), (None, 9), ("b", 3), (None, 2))] * 2 + [(1, "x y", "q", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _text string, _id int").repartition(4)
+    assert sorted(tuple(r) for r in simhash.deduplicate(docs).collect()) == [(1, "a b c d", None, 2), (1, "x y", "q", 5)]
