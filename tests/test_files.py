@@ -165,24 +165,25 @@ def test_header_without_a_column_is_an_error(spark, tmp_path):
             feeds.read_feed(spark, str(folder), feeds.CENSUS)
 
 
-def text_scans(spark, since=0):
-    """Executions from ``since`` on that scan text files, and the number of executions so far."""
-    store = spark._jsparkSession.sharedState().statusStore()
-    seen = store.executionsList()
-    plans = [seen.apply(i).physicalPlanDescription() for i in range(since, seen.size())]
-    return [p.count("Scan csv") for p in plans if "Scan csv" in p], seen.size()
+def executions(spark, after=-1):
+    """(number, scans of text files) of the executions later than ``after`` that Spark still lists."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+    seen = spark._jsparkSession.sharedState().statusStore().executionsList()
+    found = [seen.apply(i) for i in range(seen.size())]
+    return [
+        (e.executionId(), e.physicalPlanDescription().count("Scan csv"))
+        for e in found if e.executionId() > after
+    ]
 
 
 def test_raw_text_is_scanned_once_per_feed(spark, folder, tmp_path):
     """Checks, reports and series of labs, patients and units read what has landed."""
-    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
-    _, before = text_scans(spark)
+    before = max((n for n, _ in executions(spark)), default=-1)
     bulk.process_all_labs(spark, folder, report_folder=str(tmp_path)).collect()
     bulk.process_all_census(spark, folder, report_folder=str(tmp_path)).collect()
     bulk.process_all_transfusion(spark, folder, str(tmp_path)).collect()
-    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
-    scans, after = text_scans(spark, before)
-    assert after - before > 6 and len(scans) == 3
+    made = executions(spark, before)
+    assert len(made) > 6 and len([n for n, scans in made if scans]) == 3
 
 
 def test_landed_files(spark, folder, tmp_path):
