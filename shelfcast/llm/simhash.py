@@ -11,7 +11,10 @@ from pyspark.sql import types as T
 from shelfcast.llm.shared import map_texts, stored, unused
 
 SEED = 42
-MOST_BITS = 2
+#: Points grow with the square of the number of segments from three bits on.
+MOST_BITS = 4
+#: Fingerprints at a grid point that are compared with each other.
+CROWD = 64
 #: Hashes whose bits are counted at a time.
 BLOCK = 65536
 
@@ -42,62 +45,90 @@ def fingerprints(docs: DataFrame, shingle_words: int) -> DataFrame:
     return map_texts(docs, start, [T.StructField("fp", T.LongType())])
 
 
-def grid_points(points: DataFrame) -> DataFrame:
-    """Each fingerprint's point on the grid of segment counts, and all points one step away.
+def _ball(center: str, step: str, radius: int) -> str:
+    """SQL for the array of ``center`` and all values up to ``radius`` steps from it, each once.
+
+    ``step`` is SQL for the array of values one step from ``x``.
+    """
+    ball = f"array({center})"
+    for _ in range(radius):
+        ball = f"array_distinct(flatten(transform({ball}, x -> concat(array(x), {step}))))"
+    return ball
+
+
+def grid_point(fp: str) -> str:
+    """SQL for a fingerprint's point on the grid of segment counts.
 
     A segment is two bits; its count, 0 to 2, takes two bits of the packed point. Bits that differ
     move the counts by no more than one each, so the Manhattan distance of two points bounds the
-    bit distance from below. Points within distance two have a common one among these.
+    bit distance from below.
     """
     low = "6148914691236517205L"  # every second bit
-    packed = points.selectExpr(
-        "fp",
-        f"(((shiftrightunsigned(fp, 1) ^ fp) & {low}) | "
-        f"shiftleft(shiftrightunsigned(fp, 1) & fp & {low}, 1)) AS point",
+    return (
+        f"(((shiftrightunsigned({fp}, 1) ^ {fp}) & {low}) | "
+        f"shiftleft(shiftrightunsigned({fp}, 1) & {fp} & {low}, 1))"
     )
+
+
+def grid_points(points: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, point): each fingerprint at its own point and at all within half of ``max_bits`` steps.
+
+    Points within Manhattan distance ``max_bits`` have a common one among these.
+    """
     # On packed counts, 0 <-> 1 is an XOR with 1 and 1 <-> 2 an XOR with 3.
-    return packed.selectExpr(
-        "fp",
-        "explode(concat(array(point), flatten(transform(sequence(0, 62, 2), at -> CASE "
-        "shiftrightunsigned(point, at) & 3L "
-        "WHEN 0 THEN array(point ^ shiftleft(1L, at)) "
-        "WHEN 1 THEN array(point ^ shiftleft(1L, at), point ^ shiftleft(3L, at)) "
-        "ELSE array(point ^ shiftleft(3L, at)) END)))) AS point",
+    step = (
+        "flatten(transform(sequence(0, 62, 2), at -> CASE shiftrightunsigned(x, at) & 3L "
+        "WHEN 0 THEN array(x ^ shiftleft(1L, at)) "
+        "WHEN 1 THEN array(x ^ shiftleft(1L, at), x ^ shiftleft(3L, at)) "
+        "ELSE array(x ^ shiftleft(3L, at)) END))"
+    )
+    ball = _ball(grid_point("fp"), step, (max_bits + 1) // 2)
+    return points.selectExpr("fp", f"explode({ball}) AS point")
+
+
+def crowd_links(crowd: DataFrame, max_bits: int) -> DataFrame:
+    """Links (a, b), a > b, that connect all of ``fp`` within ``max_bits`` of each other, by stars.
+
+    Here the segments have one bit, so that the grid's distance is the bit distance itself. Two
+    values within ``max_bits`` share a point to which one has half of it, rounded down, and the
+    other the rest. All values at a point are in reach of the least of its inner ones and are
+    linked to that, so a crowd makes as many links as it has members and points, never its pairs.
+    """
+    step = "transform(sequence(0, 63), at -> x ^ shiftleft(1L, at))"
+    balls = crowd.selectExpr(
+        "fp", f"explode({_ball('fp', step, (max_bits + 1) // 2)}) AS z"
+    ).repartition("z")
+    inner = F.when(F.bit_count(F.col("fp").bitwiseXOR(F.col("z"))) <= max_bits // 2, F.col("fp"))
+    hubs = balls.groupBy("z").agg(F.min(inner).alias("hub"), F.count("*").alias("n"))
+    return (
+        balls.join(hubs.filter("n > 1").hint("merge"), "z").filter("fp != hub")
+        .selectExpr("greatest(fp, hub) AS a", "least(fp, hub) AS b")
     )
 
 
 def links(prints: DataFrame, max_bits: int) -> DataFrame:
     """Pairs (a, b), a > b, that connect all distinct ``fp`` within ``max_bits`` of each other.
 
-    Fingerprints that share a grid point with another one go on to the exact check: each is
-    written under every value one bit away from it, and those under one value lie within two bits.
-    They are linked to the least of them, so a group makes as many links as it has members and
-    values, never all its pairs.
+    Fingerprints at one grid point are candidates, and those within ``max_bits`` by their bits are
+    linked. At a point of over ``CROWD`` fingerprints the candidates would be too many; these go to
+    :func:`crowd_links`, which connects the same ones. Two that are near share a point, crowded or
+    not, so none is missed.
     """
     if not 0 <= max_bits <= MOST_BITS:
-        raise ValueError(f"the exact check handles distances up to {MOST_BITS} bits")
-    points = grid_points(prints).repartition("point")
-    crowded = (
-        points.groupBy("point").agg(F.min("fp").alias("low"), F.max("fp").alias("high"))
-        .filter("low < high").select("point")
-    )
-    near = stored(
-        points.join(crowded, "point", "left_semi").select("fp").distinct(), "simhash-near"
-    )
-    if max_bits == 0:
-        return near.selectExpr("fp AS a", "fp AS b").filter("a > b")
-    flips = near.selectExpr(
-        "fp", "explode(transform(sequence(0, 63), at -> fp ^ shiftleft(1L, at))) AS z"
-    )
-    if max_bits == 1:
-        met = flips.join(near.withColumnRenamed("fp", "z"), "z").selectExpr("fp AS a", "z AS b")
-        return met.filter("a > b")
-    balls = flips.unionByName(near.selectExpr("fp", "fp AS z"))
-    least = balls.groupBy("z").agg(F.min("fp").alias("b"), F.max("fp").alias("high"))
-    return (
-        balls.join(least.filter("b < high").select("z", "b"), "z")
-        .filter("fp > b").selectExpr("fp AS a", "b").distinct()
+        raise ValueError(f"distances go up to {MOST_BITS} bits")
+    points = grid_points(prints, max_bits).repartition("point")
+    sizes = points.groupBy("point").agg(F.count("*").alias("n")).hint("merge")
+    at = points.join(sizes.filter(f"n BETWEEN 2 AND {CROWD}"), "point").select("point", "fp")
+    other = at.selectExpr("point", "fp AS b").hint("merge")
+    # Two fingerprints with one point share all the points around; they meet at their own.
+    near = (
+        at.withColumnRenamed("fp", "a").join(other, "point")
+        .filter(f"a > b AND bit_count(a ^ b) <= {max_bits}")
+        .filter(f"{grid_point('a')} != {grid_point('b')} OR point = {grid_point('a')}")
+        .select("a", "b")
     )
+    crowd = points.join(sizes.filter(f"n > {CROWD}"), "point").select("fp").distinct()
+    return near.unionByName(crowd_links(crowd, max_bits)).distinct()
 
 
 def components(pairs: DataFrame) -> DataFrame:

@@ -1,6 +1,8 @@
 """Fingerprints, links and components against brute force."""
 
+import itertools
 import random
+from unittest import mock
 
 import numpy as np
 import xxhash
@@ -55,11 +57,81 @@ def near_prints(n=260, seed=4):
     return sorted(prints)
 
 
+def test_grid_distance_bounds_the_bits(spark):
+    """Points within the distance have one in common; the counts differ by no more than the bits."""
+    rng = random.Random(8)
+    pairs = []
+    for _ in range(60):
+        a = rng.getrandbits(64)
+        b = a
+        for at in rng.sample(range(64), rng.randrange(1, 5)):
+            b ^= 1 << at
+        pairs.append((a, b))
+
+    def signed(f):
+        return f - (1 << 64) if f >> 63 else f
+
+    frame = spark.createDataFrame([(signed(f),) for pair in pairs for f in pair], "fp long")
+    counts = dict(frame.selectExpr("fp", f"{simhash.grid_point('fp')} AS point").collect())
+    for a, b in pairs:
+        at = [counts[signed(f)] & (1 << 64) - 1 for f in (a, b)]
+        for f, point in zip((a, b), at):
+            assert [point >> k & 3 for k in range(0, 64, 2)] == [
+                (f >> k & 1) + (f >> k + 1 & 1) for k in range(0, 64, 2)
+            ]
+        moved = sum(abs((at[0] >> k & 3) - (at[1] >> k & 3)) for k in range(0, 64, 2))
+        assert moved <= bin(a ^ b).count("1")
+    balls = {}
+    for r in simhash.grid_points(frame, 4).collect():
+        balls.setdefault(r.fp, []).append(r.point)
+    for a, b in pairs:
+        assert set(balls[signed(a)]) & set(balls[signed(b)])
+
+
+def test_links_are_near(spark):
+    """Every link is one, whichever way it was found, and small groups have all of theirs."""
+    prints = near_prints(seed=6)
+    frame = spark.createDataFrame([(f,) for f in prints], "fp long")
+    for bits in (1, 2, 3):
+        near = {(a, b) for a in prints for b in prints
+                if a > b and bin((a ^ b) & (1 << 64) - 1).count("1") <= bits}
+        for crowd in (0, 5, 64):
+            with mock.patch.object(simhash, "CROWD", crowd):
+                got = [(r.a, r.b) for r in simhash.links(frame, bits).collect()]
+            assert len(got) == len(set(got)) and set(got) <= near
+            assert crowd < 64 or set(got) == near
+
+
+def test_crowd(spark):
+    """A crowd of thousands makes links as its members and their points, not its pairs."""
+    rng = random.Random(9)
+    center = rng.getrandbits(62)
+    prints = {center}
+    while len(prints) < 1500:
+        f = center
+        for at in rng.sample(range(62), rng.randrange(1, 4)):
+            f ^= 1 << at
+        prints.add(f)
+    frame = spark.createDataFrame([(f,) for f in sorted(prints)], "fp long")
+    found = simhash.links(frame, 2).cache()
+    assert 1499 <= found.count() <= 65 * len(prints)
+    got = {r.node: r.root for r in simhash.components(found).collect()}
+    want = slow_components(sorted(prints), 2)
+    roots = {}
+    for f in prints:
+        roots.setdefault(want[f], set()).add(got.get(f, f))
+    assert all(len(r) == 1 for r in roots.values())
+    assert len({got.get(f, f) for f in prints}) == len(roots)
+    found.unpersist()
+
+
 def test_components_match_brute_force(spark):
     prints = near_prints()
     frame = spark.createDataFrame([(f,) for f in prints], "fp long")
-    for bits in (0, 1, 2):
-        got = {r.node: r.root for r in simhash.components(simhash.links(frame, bits)).collect()}
+    for bits, crowd in itertools.product((0, 1, 2, 3, 4), (3, 64)):
+        with mock.patch.object(simhash, "CROWD", crowd):
+            pairs = simhash.links(frame, bits)
+        got = {r.node: r.root for r in simhash.components(pairs).collect()}
         want = slow_components(prints, bits)
         groups = {}
         for f in prints:
