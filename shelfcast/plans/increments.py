@@ -25,7 +25,6 @@ def seed(
     """Start the state from all historical files of a folder."""
     feed = {f.name: f for f in params.feeds}
     landed = f"{state}/landing/seed-{as_of}"
-    store.open_days(spark, state, [as_of])
     history = bulk.process_all_labs(
         spark, folder, params.rules, report_folder, feed=feed[feeds.LABS.name],
         landing_folder=landed,
@@ -148,7 +147,6 @@ def predict_for_date(
     prev_day = prev_day or str(day - dt.timedelta(days=1))
     gap = (day - dt.date.fromisoformat(prev_day)).days
     store.require_day(spark, state, prev_day)
-    store.open_days(spark, state, [date])
 
     increments = process_days(
         spark, folder, [date], params, report_folder, f"{state}/landing/{date}"
@@ -186,7 +184,8 @@ def _retrain_and_score(
         _fit(table, state, date, params)
     else:
         for kind in ("scaler", "model"):
-            store.write_day(store.read_day(spark, state, kind, prev_day), state, kind, date)
+            kept = store.read_day(spark, state, kind, prev_day, committed=True)
+            store.write_day(kept, state, kind, date)
 
     scored = daily.last_days(table, 1)
     prediction = forecast.score(scored, store.read_day(spark, state, "model", date))
@@ -241,7 +240,6 @@ def backfill(
     before = store.latest_day(spark, state, before=dates[0])
     if before is None:
         raise store.StateError(f"The state has no complete day before {dates[0]}")
-    store.open_days(spark, state, dates)
     increments = process_days(
         spark, folder, dates, params, report_folder, f"{state}/landing/{dates[0]}-{dates[-1]}"
     )
@@ -327,7 +325,7 @@ def _forecast_days(
             table.join(F.broadcast(fits), versions.RUN), by, params.smoothing,
             params.penalty_factor, params.history_window,
         ).persist()  # one row per retrain
-        old = store.read_day(spark, state, "model", before).drop("as_of")
+        old = store.read_day(spark, state, "model", before, committed=True).drop("as_of")
         all_models = models.withColumnRenamed(versions.RUN, "fitted").unionByName(
             old.withColumn("fitted", F.lit(-1))
         )
@@ -346,7 +344,8 @@ def _forecast_days(
         last = fits.agg(F.max(versions.RUN)).first()[0]
         if last is None:
             for kind in ("scaler", "model"):
-                store.write_day(store.read_day(spark, state, kind, before), state, kind, dates[-1])
+                kept = store.read_day(spark, state, kind, before, committed=True)
+                store.write_day(kept, state, kind, dates[-1])
         else:
             window = daily.first_days(
                 table.filter(F.col(versions.RUN) == last).drop(versions.RUN), params.history_window

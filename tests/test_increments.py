@@ -226,6 +226,77 @@ def test_days_that_lose_their_rows_are_cleared(spark, tmp_path):
     assert rows(store.read_table(spark, path, "usage"), "as_of", "used") == [(d[0], 5), (d[2], 1)]
 
 
+def test_readers_keep_the_old_day_until_the_new_one_is_whole(
+    spark, folders, tmp_path, tmp_path_factory, monkeypatch
+):
+    """A rerun with a corrected file: read in its midst, after it broke, and after it is through."""
+    old, new, seed_day, days = folders
+    corrected, state, day = tmp_path_factory.mktemp("corrected"), str(tmp_path), days[1]
+    assert write_day(corrected, SEED_DAYS + 1, late=40) == day
+    increments.seed(spark, old, state, seed_day, PARAMS)
+    for d in days[:2]:
+        increments.predict_for_date(spark, new, state, d, PARAMS)
+
+    def seen():
+        return {
+            t: rows(store.read_committed(spark, state, t), *c)
+            for t, c in (("usage", ("as_of", "date", "used")), ("prediction", ("as_of", "t_pred")),
+                         ("labs", ("as_of", "date", "lab_value")))
+        }
+
+    before, early = seen(), store.read_committed(spark, state, "usage")
+    score, midst = increments.forecast.score, []
+    for broken in (True, False):
+        def look(*args, broken=broken):
+            written = rows(store.read_day(spark, state, "usage", day), "used")
+            midst.append((written, seen(), store.latest_day(spark, state)))
+            if broken:
+                raise RuntimeError("broken")
+            return score(*args)
+
+        with monkeypatch.context() as m:
+            m.setattr(increments.forecast, "score", look)
+            if broken:
+                with pytest.raises(RuntimeError, match="broken"):
+                    increments.predict_for_date(spark, str(corrected), state, day, PARAMS)
+                assert seen() == before and store.latest_day(spark, state) == day
+            else:
+                increments.predict_for_date(spark, str(corrected), state, day, PARAMS)
+    for written, meanwhile, latest in midst:
+        assert (40,) in written and meanwhile == before and latest == day
+    after = seen()
+    assert sum(r[2] for r in after["usage"]) == sum(r[2] for r in before["usage"]) + 40
+    assert after["labs"] == before["labs"] and after["prediction"] != before["prediction"]
+    assert rows(early, "as_of", "date", "used") == before["usage"]
+
+    def attempts(table):
+        return len(list((tmp_path / table / f"as_of={day}").glob("attempt=*")))
+
+    assert store.vacuum(spark, state) == 0 and attempts("usage") == 3
+    assert store.vacuum(spark, state, dt.timedelta(0)) > 0
+    assert [attempts(t) for t in ("usage", "labs", "prediction", "runs")] == [1] * 4
+    assert len(list((tmp_path / "writes").glob("*/*.parquet"))) == 1 and seen() == after
+    assert store.vacuum(spark, state, dt.timedelta(0)) == 0
+
+
+def test_attempts_that_are_not_committed_outlive_a_vacuum(spark, tmp_path):
+    """Written after a day's line, and not yet part of it: kept, as is what the line points at."""
+    path, day = str(tmp_path), "2018-04-10"
+    d = dt.date.fromisoformat(day)
+    for used in (1, 2):
+        store.write_day(spark.createDataFrame([(d, used)], "date date, used bigint"), path, "usage", day)
+    line = spark.createDataFrame([(d, d)], "as_of date, date date")
+    store.write_day(store.plain_lines(line, "seed"), path, "runs", day)
+    store.write_day(spark.createDataFrame([(d, 3)], "date date, used bigint"), path, "usage", day)
+    for gone in (1, 0):
+        assert store.vacuum(spark, path, dt.timedelta(0)) == gone
+        assert rows(store.read_committed(spark, path, "usage"), "used") == [(2,)]
+        assert rows(store.read_table(spark, path, "usage"), "used") == [(3,)]
+    store.open_days(spark, path, [day])
+    assert rows(store.read_committed(spark, path, "usage"), "used") == []
+    assert store.latest_day(spark, path) is None
+
+
 def test_feeds_under_other_names(spark, tmp_path, tmp_path_factory):
     """File names are parameters of a run."""
     names = ("blood-%s-1.txt", "beds-%s-1.txt", "issues-%s-1.txt", "shelf-%s-1.csv")
