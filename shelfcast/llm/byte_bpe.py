@@ -16,8 +16,8 @@ from shelfcast.llm.shared import map_texts
 
 #: Byte b is the character with this code plus b; none of them is special to the library.
 FIRST_CHAR = 0x100
-#: Pre-tokens whose ids a task remembers.
-REMEMBERED = 200_000
+#: Characters of the pre-tokens whose ids a task remembers, besides those of the text at hand.
+REMEMBERED = 1_500_000
 #: Field numbers and enum values of the public model format.
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
 PIECE_TEXT, PIECE_SCORE, PIECE_TYPE = 1, 2, 3
@@ -90,15 +90,18 @@ class Codec:
         self.tokens = tokens
         self.split = regex.compile(pattern)
         self.known: dict[str, list[int]] = {}
+        self.remembered = 0
 
     def encode(self, text: str) -> list[int]:
         parts = self.split.findall(text)
         known = self.known
         new = [p for p in dict.fromkeys(parts) if p not in known]
         if new:
-            if len(known) > REMEMBERED:
+            if self.remembered > REMEMBERED:
                 known.clear()
+                self.remembered = 0
                 new = list(dict.fromkeys(parts))
+            self.remembered += sum(map(len, new))
             spelled = [mapped(p.encode()) for p in new]
             known.update(zip(new, self.encoder.encode(spelled, out_type=int, num_threads=1)))
         return [i for p in parts for i in known[p]]

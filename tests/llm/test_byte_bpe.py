@@ -52,6 +52,17 @@ def test_random_texts(codec, known):
         assert ids == known.encode_ordinary(text) and codec.decode(ids) == text.encode()
 
 
+def test_what_is_remembered_is_bounded(codec, known, monkeypatch):
+    """By characters, so that few long pre-tokens are forgotten as soon as many short ones."""
+    monkeypatch.setattr(byte_bpe, "REMEMBERED", 1000)
+    for i in range(60):
+        text = chr(97 + i % 26) * 400 + f" {i} and so on"
+        assert codec.encode(text) == known.encode_ordinary(text)
+        held = sum(map(len, codec.known))
+        assert held == codec.remembered <= 1000 + len(text)
+    assert codec.encode("") == []
+
+
 def test_digests_of_rows(spark, known):
     rows = [(1, "Hello  world", 7), (None, "Hello  world", 8), (2, None, None), (2, "", 1),
             (3, "word " * 40_000, 2)]
